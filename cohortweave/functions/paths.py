@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -72,12 +74,14 @@ def default_participant(file_stem: Column) -> Column:
     return F.coalesce(_keyed_part(file_stem, "sub-"), F.lit(UNKNOWN_SUBJECT))
 
 
+def _named(table: Mapping[str, str | None]) -> Column:
+    """A constant map of the entries that have a value."""
+    return F.create_map(*[F.lit(x) for pair in table.items() if pair[1] is not None for x in pair])
+
+
 def directory_plugin(directory: Column) -> Column:
     """Plugin that the first directory level stands for, or null."""
-    plugin = F.lit(None).cast("string")
-    for name, target in DIRECTORY_PLUGINS.items():
-        plugin = F.when(directory == name, F.lit(target).cast("string")).otherwise(plugin)
-    return plugin
+    return F.try_element_at(_named(DIRECTORY_PLUGINS), directory)
 
 
 def route(suffix: Column, directory: Column, json_kind: Column) -> Column:
@@ -85,12 +89,10 @@ def route(suffix: Column, directory: Column, json_kind: Column) -> Column:
 
     `json_kind` is 'bundle', 'wearable', 'other' or 'invalid'; null outside of JSON files.
     """
-    plugin = (
-        F.when(suffix == ".csv", directory_plugin(directory))
-        .when((suffix == ".json") & (json_kind == "bundle"), F.lit("ehr"))
-        .when((suffix == ".json") & (json_kind == "wearable"), F.lit("wearables"))
-        .when((suffix == ".json") & (json_kind == "other"), directory_plugin(directory))
+    by_directory = (suffix == ".csv") | ((suffix == ".json") & (json_kind == "other"))
+    by_content = F.when(json_kind == "bundle", F.lit("ehr")).when(json_kind == "wearable", F.lit("wearables"))
+    return (
+        F.when(by_directory, directory_plugin(directory))
+        .when(suffix == ".json", by_content)
+        .otherwise(F.try_element_at(_named(EXTENSION_PLUGINS), suffix))
     )
-    for name, target in EXTENSION_PLUGINS.items():
-        plugin = plugin.when(suffix == name, F.lit(target))
-    return plugin

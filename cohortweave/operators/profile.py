@@ -184,8 +184,9 @@ def full_profile(
 
 
 def overall_completeness(profile: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Mean of the rounded completeness values of a group's columns."""
-    return profile.groupBy(*[c(g) for g in group]).agg(F.bround(F.avg("completeness"), 3).alias("overall_completeness"))
+    """Mean of the rounded completeness values of a group's columns, in exact decimals."""
+    mean = F.avg(c("completeness").cast("decimal(4,3)"))
+    return profile.groupBy(*[c(g) for g in group]).agg(F.bround(mean, 3).cast("double").alias("overall_completeness"))
 
 
 def quality_issues(profile: DataFrame, group: Sequence[str]) -> DataFrame:

@@ -28,9 +28,16 @@ _OPERATORS: dict[str, Callable[[Column, Any], Column]] = {
 }
 
 
-def only_participants(df: DataFrame, participants: Sequence[str] | None) -> DataFrame:
-    """Rows of the named participants; no names means no filter."""
-    if not participants or PARTICIPANT not in df.columns:
+def only_participants(df: DataFrame, participants: Sequence[str] | DataFrame | None) -> DataFrame:
+    """Rows of the given participants: names, or a table with a participant column.
+
+    No names means no filter.
+    """
+    if PARTICIPANT not in df.columns:
+        return df
+    if isinstance(participants, DataFrame):
+        return lookup_join(df, participants.select(PARTICIPANT).distinct(), [PARTICIPANT], how="left_semi")
+    if not participants:
         return df
     if len(participants) <= IN_LIST:
         return df.filter(c(PARTICIPANT).isin(list(participants)))

@@ -42,7 +42,7 @@ class CohortResult:
 
 def query_gold(
     gold: DataFrame,
-    participants: Sequence[str] | None = None,
+    participants: Sequence[str] | DataFrame | None = None,
     modalities: Sequence[str] | None = None,
     variables: Sequence[str] | None = None,
     exclude_nonstandard: bool = False,
