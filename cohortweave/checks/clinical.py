@@ -11,14 +11,16 @@ from cohortweave.functions.text import note_codes
 from cohortweave.functions.values import array_mean as mean_of
 from cohortweave.functions.values import stage_share as share_of
 from cohortweave.operators import fhir
-from cohortweave.sources.bundles import BUNDLE_DDL
+from cohortweave.sources.bronze import read_bundles
+from cohortweave.sources.workspace import new_folder
 
 AS_OF = "2020-06-30"
 
-# One bundle per order, as JSON text with the fields of each resource; %…% are columns of the order.
+# One JSON document per order with the fields of each resource.
 BUNDLE_JSON = """
-    CASE WHEN o_orderkey % 10 = 9 THEN '{"resourceType":"Other","entry":[{"resource":{"resourceType":"Patient"}}]}' ELSE
-    concat('{"resourceType":"Bundle","entry":[',
+    concat('{"o_orderkey":', o_orderkey, ',"path":"/bronze/ehr/sub-', o_custkey, '_ses-', o_orderkey, '.json",',
+    CASE WHEN o_orderkey % 10 = 9 THEN '"resourceType":"Other","entry":[{"resource":{"resourceType":"Patient"}}]}' ELSE
+    concat('"resourceType":"Bundle","entry":[',
         '{"resource":{"resourceType":"Patient","id":"pt-', o_custkey, '"',
             CASE WHEN o_custkey % 3 = 0 THEN ',"gender":"male"' WHEN o_custkey % 3 = 1 THEN ',"gender":"female"' ELSE '' END,
             ',"birthDate":"', CASE WHEN o_orderkey % 4 = 0 THEN '1980-05' ELSE concat('19', 40 + o_custkey % 50, '-03-1', o_custkey % 10) END, '"',
@@ -34,16 +36,20 @@ BUNDLE_JSON = """
         ',{"resource":{"resourceType":"Procedure","code":{"coding":[{"system":"urn:HCPCS","code":"H1","display":"Scan"},{"system":"snomed","code":"S2"}]},"performedPeriod":{"start":"2020-', o_orderkey % 10, '"}}}',
         ',{"resource":{"resourceType":"Encounter","id":"e', o_orderkey, '","class":{"code":"AMB"},"period":{"start":"a"},"type":[{"coding":[{"display":"Visit"}]}]}}',
         ',{"resource":{"resourceType":"Device","id":"ignored"}}',
-    ']}') END
+    ']}') END)
 """
 
 
 def bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One bundle per order; a tenth of the documents are not bundles."""
-    orders = table(spark, sf_dir, "orders")
-    document = F.from_json(F.expr(BUNDLE_JSON), BUNDLE_DDL)
-    path = F.concat(F.lit("/bronze/ehr/sub-"), c("o_custkey"), F.lit("_ses-"), c("o_orderkey"), F.lit(".json"))
-    return orders.select("o_orderkey", path.alias("path"), document.alias("d")).select("o_orderkey", "path", "d.*")
+    """One bundle per order, a tenth of them other documents: written as JSON lines and read back.
+
+    The documents are many times larger than the orders, so orders are spread out first.
+    """
+    folder = new_folder(spark, "bundles")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    spread = orders.repartition(spark.sparkContext.defaultParallelism)
+    spread.select(F.expr(BUNDLE_JSON)).write.option("compression", "gzip").text(folder)
+    return read_bundles(spark, folder, one_per_line=True, extra="o_orderkey bigint, path string")
 
 
 def code_registry(spark: SparkSession, sf_dir: str) -> DataFrame:

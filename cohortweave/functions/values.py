@@ -68,6 +68,12 @@ def plain_text(value: Column, data_type: T.DataType) -> Column:
     return text
 
 
+def number_text(text: Column) -> Column:
+    """The shortest spelling of a fractional number read as text; other text is unchanged."""
+    fractional = text.rlike(r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$") & text.rlike(r"[.eE]")
+    return F.when(fractional, plain_text(text.try_cast("double"), T.DoubleType())).otherwise(text)
+
+
 def row_hash(fields: Iterable[T.StructField]) -> Column:
     """SHA-256 over the text of the given columns in order; null is written as 'nan'."""
     parts = [

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from cohortweave.constants import MODALITY, PARTICIPANT, SESSION, VITAL_SIGN_WORDS
 from cohortweave.functions.names import c, snake
 from cohortweave.functions.paths import session_of, subject_of
-from cohortweave.functions.values import full_date, whole_years
+from cohortweave.functions.values import full_date, number_text, whole_years
 from cohortweave.operators.variables import standard_names_by_code
 
 Coding = Callable[[Column], Column]
@@ -89,7 +89,7 @@ def _loinc_display(r: Column) -> Column:
 def _observed(r: Column) -> Column:
     concept = r["valueCodeableConcept"]
     return (
-        F.when(r["valueQuantity"].isNotNull(), r["valueQuantity"]["value"])
+        F.when(r["valueQuantity"].isNotNull(), number_text(r["valueQuantity"]["value"]))
         .when(concept.isNotNull(), F.coalesce(concept["text"], F.get(concept["coding"], F.lit(0))["display"], F.lit("")))
         .otherwise(r["valueString"])
     )
@@ -135,11 +135,11 @@ def _dose(part: Callable[[Column], Column]) -> Callable[[Column], Column]:
     return value
 
 
-def _dose_quantity(name: str) -> Callable[[Column], Column]:
+def _dose_quantity(name: str, spell: Callable[[Column], Column] = lambda v: v) -> Callable[[Column], Column]:
     def part(dosage: Column) -> Column:
         rates = dosage["doseAndRate"]
         stated = rates.isNull() | (F.size(rates) > 0)
-        return F.when(stated, _blank(F.get(rates, F.lit(0))["doseQuantity"][name]))
+        return F.when(stated, _blank(spell(F.get(rates, F.lit(0))["doseQuantity"][name])))
 
     return _dose(part)
 
@@ -180,7 +180,7 @@ FIELDS: tuple[Field, ...] = (
     Field("MedicationRequest", "medication_status", lambda r: _blank(r["status"])),
     Field("MedicationRequest", "medication_intent", lambda r: _blank(r["intent"])),
     Field("MedicationRequest", "medication_dose_text", _dose(lambda d: _blank(d["text"]))),
-    Field("MedicationRequest", "medication_dose_value", _dose_quantity("value")),
+    Field("MedicationRequest", "medication_dose_value", _dose_quantity("value", number_text)),
     Field("MedicationRequest", "medication_dose_unit", _dose_quantity("unit")),
     Field("MedicationRequest", "medication_authored", lambda r: _blank(r["authoredOn"])),
     Field("Procedure", "procedure_cpt", lambda r: _last_code(r["code"]["coding"], _is_procedure_code)),
@@ -288,7 +288,7 @@ def long_observations(bundles: DataFrame, bundle_id: str, as_of: Column) -> Data
     observed = exploded.filter(resource["resourceType"] == OBSERVATION).select(
         c(bundle_id), "subject_id",
         F.coalesce(F.nullif(snake(first["display"]), F.lit("")), first["code"]).alias("variable"),
-        resource["valueQuantity"]["value"].alias("value"),
+        number_text(resource["valueQuantity"]["value"]).alias("value"),
         resource["effectiveDateTime"].alias("timestamp"), "position",
     )
     return about.unionByName(observed)

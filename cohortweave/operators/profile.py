@@ -140,7 +140,9 @@ def categorical_profile(
     """
     fields = [f for f in _profiled(df, group, columns) if not is_numeric(f.dataType)]
     keys = [*group, "column"]
-    position = F.struct(*[c(o) for o in order_by]) if order_by else F.lit(0)
+    # A single column keeps the aggregate a hash aggregate; several make it sort.
+    order = [c(o) for o in order_by or ()]
+    position = F.lit(0) if not order else order[0] if len(order) == 1 else F.struct(*order)
     cells = df.select(
         *[c(g) for g in group],
         position.alias("_seq"),

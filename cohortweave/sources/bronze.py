@@ -133,11 +133,16 @@ def read_bundles(
     paths: str | Sequence[str],
     *,
     one_per_line: bool = False,
+    extra: str | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Clinical bundles: one document per file, or one per line for bulk exports (splittable)."""
-    raw = spark.read.options(multiLine=not one_per_line, **(options or {})).schema(BUNDLE_DDL).json(paths)
-    return raw.select("resourceType", "entry", source_of_row())
+    """Clinical bundles: one document per file, or one per line for bulk exports.
+
+    `extra` declares further top-level fields of the documents to carry along.
+    """
+    schema = f"{BUNDLE_DDL}, {extra}" if extra else BUNDLE_DDL
+    raw = spark.read.options(multiLine=not one_per_line, **(options or {})).schema(schema).json(paths)
+    return raw.select(*[c(n) for n in raw.columns], source_of_row())
 
 
 def with_default_keys(df: DataFrame, path: Column) -> DataFrame:
