@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -64,10 +65,10 @@ def to_silver(df: DataFrame, plugin: str, registry: DataFrame) -> DataFrame:
 
 
 def harmonize_files(
-    spark: SparkSession, plugin: str, paths: list[str], registry: DataFrame, as_of: Column | None = None
+    spark: SparkSession, plugin: str, paths: list[str], registry: DataFrame, as_of: date | Column | None = None
 ) -> DataFrame:
     """All files of one plugin as one harmonized table."""
-    day = F.current_date() if as_of is None else as_of
+    day = F.current_date() if as_of is None else F.lit(as_of)
     tables = [to_silver(df, plugin, registry) for df in read_plugin(spark, plugin, paths, day, registry)]
     return union_by_name(tables)
 
@@ -104,7 +105,7 @@ def ingest(
     *,
     subject: str | None = None,
     dry_run: bool = False,
-    as_of: Column | None = None,
+    as_of: date | Column | None = None,
 ) -> IngestReport:
     """Discover raw files and write their harmonized rows.
 
