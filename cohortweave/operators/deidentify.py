@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Collection
+from collections.abc import Callable, Collection, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,31 +55,48 @@ def cap_ages(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def _is_birth(name: str) -> bool:
+def is_birth(name: str) -> bool:
+    """True for a column whose name stands for a date of birth."""
     part = last_part(name).lower()
     return bool(_DATE_NAME.search(part)) and "duration" not in part and ("birth" in part or "dob" in part)
 
 
-def birth_years(df: DataFrame) -> DataFrame:
-    """Birth dates become years. Text columns in which nothing reads as a date stay as they are."""
+def undated_births(df: DataFrame, names: Mapping[str, Column] | None = None) -> set[str]:
+    """Birth columns of text in which no value reads as a date, found by one aggregate.
+
+    `names` may give the text columns to test as name -> value instead of the table's own.
+    """
+    if names is None:
+        texts = [f for f in df.schema if is_birth(f.name) and isinstance(f.dataType, T.StringType)]
+        names = {f.name: c(f.name) for f in texts}
+    if not names:
+        return set()
+    counts = df.agg(
+        *[F.count(parsed_timestamp(v, T.StringType())).alias(f"_{i}") for i, v in enumerate(names.values())]
+    ).first()
+    return {name for i, name in enumerate(names) if counts[i] == 0}
+
+
+def birth_years(df: DataFrame, undated: Collection[str] | None = None) -> DataFrame:
+    """Birth dates become years. Text columns in which nothing reads as a date stay as they are.
+
+    Pass `undated` if those columns are known, to save the pass over the table that finds them.
+    """
+    undated = undated_births(df) if undated is None else undated
     dates = (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
-    births = [f for f in df.schema if _is_birth(f.name) and isinstance(f.dataType, dates)]
-    texts = [f for f in births if isinstance(f.dataType, T.StringType)]
-    undated: set[str] = set()
-    if texts:
-        counts = df.agg(
-            *[F.count(parsed_timestamp(c(f.name), f.dataType)).alias(f"_{i}") for i, f in enumerate(texts)]
-        ).first()
-        undated = {f.name for i, f in enumerate(texts) if counts[i] == 0}
-    truncated = {f.name: f for f in births if f.name not in undated}
+    births = {
+        f.name: f.dataType for f in df.schema
+        if is_birth(f.name) and isinstance(f.dataType, dates) and f.name not in undated
+    }
     return df.select(
-        *[
-            F.year(parsed_timestamp(c(n), truncated[n].dataType)).cast("long").alias(n) if n in truncated else c(n)
-            for n in df.columns
-        ]
+        *[F.year(parsed_timestamp(c(n), births[n])).cast("long").alias(n) if n in births else c(n) for n in df.columns]
     )
 
 
-def deidentify(keep: Collection[str] = ()) -> Callable[[DataFrame], DataFrame]:
+def deidentify(
+    keep: Collection[str] = (), undated: Collection[str] | None = None
+) -> Callable[[DataFrame], DataFrame]:
     """Drop identifiers, cap ages, truncate birth dates: projections only, no shuffle."""
-    return lambda df: df.transform(drop_identifiers(keep)).transform(cap_ages).transform(birth_years)
+    return lambda df: (
+        df.transform(drop_identifiers(keep)).transform(cap_ages).transform(lambda d: birth_years(d, undated))
+    )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cohortweave.constants import HASH, KEYS, MODALITY, SOURCE, SYSTEM_FIELDS, UNKNOWN_MODALITY
 from cohortweave.functions.names import c
-from cohortweave.operators.ordering import HOT_FLOOR, measure_groups, row_index
+from cohortweave.operators.ordering import HOT_FLOOR, GroupSizes, measure_groups, row_index
 
 # Position of a row of the wide form inside its subject-session: 0 unless a group is wider than the table.
 CHUNK = "_chunk"
@@ -74,8 +74,8 @@ def nest(
         c(MODALITY).isin(list(variables))
     )
     group = [*keys, MODALITY]
-    sizes = measure_groups(tagged, group, floor)
-    layout = Layout(variables, _widths(tagged, group, variables, sizes.largest, width))
+    sizes = measure_groups(tagged, group, floor, by=MODALITY)
+    layout = Layout(variables, _widths(variables, sizes, width))
 
     indexed = row_index(tagged, group, order_by, sizes=sizes, distribute_by=keys)
     width_of = reduce(
@@ -95,25 +95,17 @@ def nest(
 
 
 def _widths(
-    tagged: DataFrame,
-    group: Sequence[str],
-    variables: Mapping[str, Sequence[str]],
-    largest: int,
-    width: Mapping[str, int] | int | None,
+    variables: Mapping[str, Sequence[str]], sizes: GroupSizes, width: Mapping[str, int] | int | None
 ) -> dict[str, int]:
     if isinstance(width, int):
         asked = dict.fromkeys(variables, width)
     elif width is not None:
         asked = dict(width)
-    elif largest <= 1:
-        asked = dict.fromkeys(variables, 1)
     else:
-        per_group = tagged.groupBy(*[c(g) for g in group]).agg(F.count(F.lit(1)).alias("_rows"))
-        found = per_group.groupBy(MODALITY).agg(F.max("_rows").alias("_largest")).collect()
         share = MAX_COLUMNS // max(1, sum(len(names) for names in variables.values()))
-        asked = {row[MODALITY]: min(row["_largest"], max(2, share)) for row in found}
+        asked = {m: min(largest, max(2, share)) for m, largest in sizes.largest_by.items()}
     # A width of one cannot tell the only row of a group from the first of several.
-    return {m: 1 if largest <= 1 else max(2, asked.get(m, 1)) for m in variables}
+    return {m: 1 if sizes.largest_by.get(m, 0) <= 1 else max(2, asked.get(m, 2)) for m in variables}
 
 
 def _record(modality: str, variable: str, slot: int) -> Column:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ class GroupSizes:
     bound: float
     largest: int
     hot: DataFrame | None
+    largest_by: Mapping[Any, int] = field(default_factory=dict)
 
 
 def range_count(spark: SparkSession) -> int:
@@ -35,18 +37,27 @@ def range_count(spark: SparkSession) -> int:
     return max(8, 4 * int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def measure_groups(df: DataFrame, group: Sequence[str], floor: int = HOT_FLOOR) -> GroupSizes:
-    """Largest group and hot groups, from one aggregate over the group columns alone."""
+def measure_groups(
+    df: DataFrame, group: Sequence[str], floor: int = HOT_FLOOR, by: str | None = None
+) -> GroupSizes:
+    """Largest group and hot groups, from one aggregate over the group columns alone.
+
+    `by` names a group column of few values (such as the modality) to find the largest group of
+    each of them in the same pass.
+    """
     spark = df.sparkSession
     sizes = df.groupBy(*[c(g) for g in group]).agg(F.count(F.lit(1)).alias("_rows"))
-    largest, total = sizes.agg(F.max("_rows"), F.sum("_rows")).first()
-    if largest is None:
+    split = F.lit(None).cast("string") if by is None else c(by)
+    found = sizes.groupBy(split.alias("_by")).agg(F.max("_rows").alias("largest"), F.sum("_rows").alias("total")).collect()
+    if not found:
         return GroupSizes(floor, 0, None)
+    largest, total = max(r["largest"] for r in found), sum(r["total"] for r in found)
+    largest_by = {r["_by"]: r["largest"] for r in found}
     bound = max(floor, total / range_count(spark))
     if largest <= bound:
-        return GroupSizes(bound, largest, None)
+        return GroupSizes(bound, largest, None, largest_by)
     rows = sizes.filter(F.col("_rows") > bound).collect()
-    return GroupSizes(bound, largest, spark.createDataFrame(rows, sizes.schema))
+    return GroupSizes(bound, largest, spark.createDataFrame(rows, sizes.schema), largest_by)
 
 
 def _marked(group: Sequence[str]) -> list[Column]:

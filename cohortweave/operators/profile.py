@@ -24,6 +24,7 @@ from cohortweave.functions.paths import file_name, subject_of
 from cohortweave.functions.text import is_na_like
 from cohortweave.functions.values import missing_nan
 from cohortweave.operators.lookups import lookup_join
+from cohortweave.sources.workspace import stored
 
 
 def is_numeric(data_type: T.DataType) -> bool:
@@ -109,7 +110,7 @@ def outlier_counts(df: DataFrame, group: Sequence[str], columns: Sequence[str] |
             for i in range(len(fields))
         ]
     )
-    joined = lookup_join(numbers, stats, group, null_safe=True)
+    joined = lookup_join(numbers, stored(stats, "group-statistics"), group, null_safe=True)
 
     def is_outlier(i: int) -> Column:
         return F.abs((c(f"_x{i}") - c(f"_s{i}").getField("mean")) / c(f"_s{i}").getField("std")) > OUTLIER_Z
@@ -150,8 +151,11 @@ def categorical_profile(
             F.array(*[F.struct(F.lit(f.name).alias("column"), c(f.name).cast("string").alias("value")) for f in fields])
         ),
     ).filter("value IS NOT NULL")
-    values = cells.groupBy(*[c(k) for k in keys], "value").agg(
-        F.count(F.lit(1)).alias("_rows"), F.min("_seq").alias("_seq")
+    values = stored(
+        cells.groupBy(*[c(k) for k in keys], "value").agg(
+            F.count(F.lit(1)).alias("_rows"), F.min("_seq").alias("_seq")
+        ),
+        "distinct-values",
     )
     counts = values.groupBy(*[c(k) for k in keys]).agg(
         F.count(F.lit(1)).alias("unique_values"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,18 +28,24 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float] = QUARTILES, max_rows: int = PERCENTILE_ROWS
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float] = QUARTILES,
+    max_rows: int = PERCENTILE_ROWS,
+    counts: Mapping[str, int] | None = None,
 ) -> dict[str, list[float | None]]:
     """Exact quantiles with linear interpolation between the two nearest ranks.
 
     A large column is never gathered in one place. An approximate percentile brackets each
     wanted rank, one aggregate counts what lies below and inside every bracket, and brackets are
     narrowed until each holds at most `max_rows` distinct values, which are then counted and
-    ranked exactly. Every pass is a map-side combined aggregate with a small result.
+    ranked exactly. Every pass is a map-side combined aggregate with a small result. Known
+    `counts` of present values save the first pass.
     """
     values = {n: _present(df, n).cast("double") for n in columns}
-    counted = df.agg(*[F.count(v).alias(f"_{i}") for i, v in enumerate(values.values())]).first()
-    counts = dict(zip(values, counted))
+    if counts is None and values:
+        counted = df.agg(*[F.count(v).alias(f"_{i}") for i, v in enumerate(values.values())]).first()
+        counts = dict(zip(values, counted))
     result: dict[str, list[float | None]] = {n: [None] * len(probabilities) for n in columns}
 
     small = [n for n in columns if 0 < counts[n] <= max_rows]
@@ -158,12 +164,13 @@ def describe(df: DataFrame, columns: Sequence[str], max_rows: int = PERCENTILE_R
                 F.array(F.avg(number), F.stddev_samp(number), F.min(number), F.max(number)).alias(f"_stats_{i}")
             )
     totals = df.agg(*expressions).first()
-    quantiles = exact_quantiles(df, numeric, max_rows=max_rows)
+    counts = {n: totals[f"_count_{i}"] for i, n in enumerate(valid)}
+    quantiles = exact_quantiles(df, numeric, max_rows=max_rows, counts=counts)
     tops = _most_frequent(df, texts)
 
     rows = []
     for i, n in enumerate(valid):
-        count = totals[f"_count_{i}"]
+        count = counts[n]
         missing = 100.0 * (totals["_rows"] - count) / totals["_rows"] if totals["_rows"] else None
         if n in numeric:
             mean, std, low, high = totals[f"_stats_{i}"]

@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cohortweave.constants import HASH, KEYS, SOURCE
+from cohortweave.constants import HASH, KEYS, MODALITY, SOURCE, UNKNOWN_MODALITY
+from cohortweave.functions.names import c
 from cohortweave.functions.values import row_hash
-from cohortweave.operators.deidentify import deidentify
+from cohortweave.operators.deidentify import deidentify, is_birth, undated_births
 from cohortweave.operators.flatten import Layout, hash_order, nest, variables_by_modality, widen
 from cohortweave.operators.ordering import HOT_FLOOR
 
@@ -24,7 +27,7 @@ def gold_nested(
 ) -> tuple[DataFrame, Layout]:
     """Nested cohort: an ordered array of records per modality. See `operators.flatten.nest`."""
     layout = variables if variables is not None else variables_by_modality(
-        silver, skip=[*keys, "modality_category", *order_by, SOURCE, "_plugin"]
+        silver, skip=[*keys, MODALITY, *order_by, SOURCE, "_plugin"]
     )
     return nest(silver, layout, order_by, width, keys=keys, floor=floor)
 
@@ -48,4 +51,23 @@ def build_gold(
     nested, layout = gold_nested(silver, order_by, variables, width, keys=keys, floor=floor)
     wide = widen(nested, layout, keys)
     hashed = wide.withColumn(HASH, row_hash(hash_order(wide, keys)))
-    return hashed.transform(deidentify(keep))
+    return hashed.transform(deidentify(keep, _undated(silver, layout)))
+
+
+def _undated(silver: DataFrame, layout: Layout) -> set[str]:
+    """Wide names of text birth variables without any date, found in the harmonized rows.
+
+    Testing the rows before they are grouped costs a scan of these columns only; a variable is
+    tested as a whole, not each of its indexed columns.
+    """
+    of_modality = F.coalesce(c(MODALITY), F.lit(UNKNOWN_MODALITY))
+    texts = {
+        f"{modality}.{variable}": F.when(of_modality == modality, c(variable))
+        for modality, names in layout.variables.items()
+        for variable in names
+        if is_birth(variable) and isinstance(silver.schema[variable].dataType, T.StringType)
+    }
+    undated = undated_births(silver, texts)
+    return {name if slot is None else f"{name}_{slot}"
+            for name in undated
+            for slot in (None, *range(layout.width[name.partition(".")[0]]))}
