@@ -9,6 +9,7 @@ from cohortweave.checks import query, table
 from cohortweave.functions.names import c
 from cohortweave.operators import profile
 from cohortweave.operators.modalities import specimen_modality
+from cohortweave.plans.report import QualityReport
 
 GROUP = ("modality_category", "file")
 NUMERIC = ("nonstandard_quantity", "price", "late_tax", "returned")
@@ -122,16 +123,25 @@ def categorical_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("sample_values", F.array_join("sample_values", "|"))
 
 
-@query(f"""
+COMPLETENESS_SQL = f"""
     WITH profile AS ({PROFILE_SQL})
     SELECT modality_category, file,
            round_even(sum(CAST(round(completeness * 1000) AS BIGINT))::DOUBLE / (1000 * count(*)), 3) AS overall_completeness
     FROM profile GROUP BY modality_category, file
-""")
+"""
+
+
+@query(COMPLETENESS_SQL)
 def overall_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.overall_completeness(line_profile(spark, sf_dir), GROUP)
 
 
+@query(COMPLETENESS_SQL)
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completeness out of the whole report: profile, outliers and categorical measures together."""
+    return QualityReport(measured(spark, sf_dir), "file", order_by=["seq_a", "seq_b", "seq_c"]).completeness
+
+
 @query(f"""
     WITH profile AS ({PROFILE_SQL}), outliers AS ({OUTLIER_SQL})
     SELECT modality_category, file, "column", 'completeness' AS rule,
@@ -143,8 +153,8 @@ def overall_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM outliers WHERE outlier_count > 0
 """)
 def quality_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    full = profile.full_profile(measured(spark, sf_dir), GROUP, [*NUMERIC, *TEXTS])
-    return profile.quality_issues(full, GROUP).drop("position")
+    checked = profile.profile_with_outliers(measured(spark, sf_dir), GROUP, [*NUMERIC, *TEXTS])
+    return profile.quality_issues(checked, GROUP).drop("position")
 
 
 @query("""

@@ -140,9 +140,7 @@ def categorical_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     lookups = table(spark, sf_dir, "nation").join(regions, c("n_regionkey") == c("r_regionkey")).select(
         c("r_name").alias("standard_name"), c("n_nationkey").cast("string").alias("code"), c("n_name").alias("label")
     )
-    asked = table(spark, sf_dir, "customer").join(
-        F.broadcast(regions), (c("c_custkey") % 5) == c("r_regionkey")
-    ).select("c_custkey", c("r_name").alias("variable"), c("c_nationkey").alias("code"))
+    asked = table(spark, sf_dir, "customer").join(regions, (c("c_custkey") % 5) == c("r_regionkey")).select("c_custkey", c("r_name").alias("variable"), c("c_nationkey").alias("code"))
     return variables.categorical_labels(asked, lookups, "variable", "code")
 
 

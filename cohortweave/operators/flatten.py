@@ -83,7 +83,7 @@ def nest(
     )
     slotted = (
         indexed.withColumn("_width", width_of.cast("long"))
-        .withColumn(CHUNK, F.floor(F.col("_index") / F.col("_width")).cast("long"))
+        .withColumn(CHUNK, F.expr("_index div _width"))
         .withColumn("_slot", F.pmod(F.col("_index"), F.col("_width")).cast("int"))
     )
     arrays = [

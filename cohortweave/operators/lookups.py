@@ -59,9 +59,10 @@ def lookup_join(
         joined = df.join(F.broadcast(renamed), condition, how)
         return joined.drop(*temporary)
 
-    other = [name for name in df.columns if name not in keys]
-    spread = F.pmod(F.xxhash64(*[c(name) for name in (other or df.columns)]), F.lit(salts)).cast("int")
-    salted = df.withColumn("_salt", spread)
+    # Row content and input partition: the same on a retried task, and different for equal rows
+    # of different partitions.
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[c(name) for name in df.columns]), F.lit(salts))
+    salted = df.withColumn("_salt", spread.cast("int"))
     copies = renamed.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     joined = salted.join(copies, [*condition, c("_salt") == c("_copy")], how)
     return joined.drop(*temporary, "_salt", "_copy")

@@ -92,6 +92,10 @@ def _profiled(df: DataFrame, group: Sequence[str], columns: Sequence[str] | None
     return [df.schema[n] for n in names]
 
 
+def _ddl(df: DataFrame, names: Sequence[str]) -> str:
+    return ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names)
+
+
 def outlier_counts(df: DataFrame, group: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     """Values more than three standard deviations from the mean of their group and column.
 
@@ -100,8 +104,7 @@ def outlier_counts(df: DataFrame, group: Sequence[str], columns: Sequence[str] |
     """
     fields = [f for f in _profiled(df, group, columns) if is_numeric(f.dataType)]
     if not fields:
-        keys = [f"{c_.name} {c_.dataType.simpleString()}" for c_ in (df.schema[g] for g in group)]
-        return df.sparkSession.createDataFrame([], ", ".join([*keys, "column string", "outlier_count bigint"]))
+        return df.sparkSession.createDataFrame([], f"{_ddl(df, group)}, column string, outlier_count bigint")
     numbers = df.select(*[c(g) for g in group], *[_number(f).alias(f"_x{i}") for i, f in enumerate(fields)])
     stats = numbers.groupBy(*[c(g) for g in group]).agg(
         *[
@@ -141,6 +144,9 @@ def categorical_profile(
     """
     fields = [f for f in _profiled(df, group, columns) if not is_numeric(f.dataType)]
     keys = [*group, "column"]
+    if not fields:
+        measures = "unique_values bigint, na_like_values bigint, sample_values array<string>"
+        return df.sparkSession.createDataFrame([], f"{_ddl(df, group)}, column string, {measures}")
     # A single column keeps the aggregate a hash aggregate; several make it sort.
     order = [c(o) for o in order_by or ()]
     position = F.lit(0) if not order else order[0] if len(order) == 1 else F.struct(*order)
@@ -170,7 +176,20 @@ def categorical_profile(
         .withColumn("sample_values", c("_picked").getField("value"))
         .drop("_picked")
     )
-    return counts.join(_marked(picked, keys), _same_keys(keys), "left").drop(*[f"_g{i}" for i in range(len(keys))])
+    return _extend(counts, picked, keys)
+
+
+def _extend(profile: DataFrame, part: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join two summaries, one row per group and column each."""
+    joined = profile.join(_marked(part, keys), _same_keys(keys), "left")
+    return joined.drop(*[f"_g{i}" for i in range(len(keys))])
+
+
+def profile_with_outliers(
+    df: DataFrame, group: Sequence[str], columns: Sequence[str] | None = None
+) -> DataFrame:
+    """`column_profile` with outlier counts: what quality issues need."""
+    return _extend(column_profile(df, group, columns), outlier_counts(df, group, columns), [*group, "column"])
 
 
 def full_profile(
@@ -179,14 +198,9 @@ def full_profile(
     columns: Sequence[str] | None = None,
     order_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """`column_profile` with outliers and categorical measures. The joins are between summaries."""
-    keys = [*group, "column"]
-    profile = column_profile(df, group, columns)
-    for part in (outlier_counts(df, group, columns), categorical_profile(df, group, columns, order_by)):
-        profile = profile.join(_marked(part, keys), _same_keys(keys), "left").drop(
-            *[f"_g{i}" for i in range(len(keys))]
-        )
-    return profile
+    """`column_profile` with outliers and categorical measures."""
+    with_outliers = profile_with_outliers(df, group, columns)
+    return _extend(with_outliers, categorical_profile(df, group, columns, order_by), [*group, "column"])
 
 
 def overall_completeness(profile: DataFrame, group: Sequence[str]) -> DataFrame:

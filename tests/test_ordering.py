@@ -117,3 +117,13 @@ def test_gold_takes_one_exchange(spark):
     gold = build_gold(silver(spark), ["seq"], {"genomics": ["g"], "survey": ["s"]}, width=4)
     plan = gold._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1, plan
+
+
+def test_equal_rows_are_spread_by_the_salted_join(spark):
+    df = spark.range(4000, numPartitions=8).select(F.lit("same").alias("k"))
+    lookup = spark.createDataFrame([("same", 1)], "k string, n int")
+    joined = lookup_join(df, lookup, ["k"], max_rows=0, salts=8)
+    plan = joined._jdf.queryExecution().toString()
+    assert joined.count() == 4000 and "_salt" in plan
+    salts = df.select(F.pmod(F.xxhash64(F.spark_partition_id(), "k"), F.lit(8)).alias("s")).distinct().count()
+    assert salts > 3

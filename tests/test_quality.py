@@ -3,6 +3,7 @@
 import pytest
 
 from cohortweave.operators import profile
+from cohortweave.plans.report import QualityReport
 
 
 @pytest.fixture(scope="module")
@@ -76,3 +77,18 @@ def test_suggestions(spark):
     assert small["x"]["sample_values"] == "[0.5]" and small["empty"]["levels"] == "[]"
     large = {r["original_variable_name"]: r for r in profile.suggest_metadata(df, 12, ["Sub ID"]).collect()}
     assert (large["Sub ID"]["datatype"], large["Sub ID"]["levels"], large["Sub ID"]["sample_values"]) == ("ratio", "[]", "[0, 1, 2]")
+
+
+def test_report_tables_belong_together(silver):
+    report = QualityReport(silver, "file", "m", ["seq"])
+    assert {r["column"] for r in report.columns.collect()} == {"v", "nonstandard_few", "t", "b"}
+    assert [tuple(r) for r in report.modalities.collect()] == [("m", 22, 2, 2)]
+    assert report.completeness.count() == 2 and report.issues.filter("rule = 'outliers'").count() == 1
+    assert report.subjects.count() == 2
+
+
+def test_tables_of_one_kind_of_column(spark):
+    numbers = spark.createDataFrame([("f", 1.0), ("f", 2.0)], "file string, x double")
+    assert profile.full_profile(numbers, ["file"]).first()["unique_values"] is None
+    texts = spark.createDataFrame([("f", "a"), ("f", "b")], "file string, x string")
+    assert profile.full_profile(texts, ["file"]).first()["outlier_count"] is None
