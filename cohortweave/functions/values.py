@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortweave.constants import RESTORATIVE_STAGES
-from cohortweave.functions.names import c
+from cohortweave.functions.names import quoted
 
 
 def array_mean(values: Column) -> Column:
@@ -74,12 +74,25 @@ def number_text(text: Column) -> Column:
     return F.when(fractional, plain_text(text.try_cast("double"), T.DoubleType())).otherwise(text)
 
 
+def plain_text_sql(name: str, data_type: T.DataType) -> str:
+    """`plain_text` of a column as SQL text, for wide tables; missing values are written as 'nan'."""
+    value = quoted(name)
+    text = f"CAST({value} AS STRING)"
+    if isinstance(data_type, T.DoubleType):
+        digits = f"rtrim('0', CAST(try_cast({text} AS DECIMAL(38, 21)) AS STRING))"
+        spelled = f"CASE WHEN endswith({digits}, '.') THEN concat({digits}, '0') ELSE {digits} END"
+        inside = f"contains({text}, 'E') AND abs({value}) BETWEEN 1e-4D AND 9.999999999999998e15D"
+        text = f"CASE WHEN isnan({value}) THEN 'nan' WHEN {inside} THEN {spelled} ELSE {text} END"
+    elif isinstance(data_type, T.FloatType):
+        text = f"CASE WHEN isnan({value}) THEN 'nan' ELSE {text} END"
+    elif isinstance(data_type, T.BooleanType):
+        text = f"initcap({text})"
+    return f"coalesce({text}, 'nan')"
+
+
 def row_hash(fields: Iterable[T.StructField]) -> Column:
     """SHA-256 over the text of the given columns in order; null is written as 'nan'."""
-    parts = [
-        F.coalesce(plain_text(missing_nan(c(f.name), f.dataType), f.dataType), F.lit("nan")) for f in fields
-    ]
-    return F.sha2(F.concat(*parts), 256)
+    return F.expr(f"sha2(concat({', '.join(plain_text_sql(f.name, f.dataType) for f in fields)}), 256)")
 
 
 def pseudonym(value: Column, salt: str) -> Column:

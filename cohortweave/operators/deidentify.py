@@ -17,7 +17,7 @@ from cohortweave.constants import (
     NONSTANDARD_PREFIX,
     PII_NAME_PATTERN,
 )
-from cohortweave.functions.names import c, last_part
+from cohortweave.functions.names import c, last_part, quoted
 from cohortweave.functions.values import parsed_timestamp
 
 _PII_NAME = re.compile(PII_NAME_PATTERN, re.IGNORECASE)
@@ -37,7 +37,7 @@ def drop_identifiers(keep: Collection[str] = ()) -> Callable[[DataFrame], DataFr
 
     def apply(df: DataFrame) -> DataFrame:
         kept = [n for n in df.columns if n in keep or last_part(n) in keep or not is_identifier(n)]
-        return df.select(*[c(name) for name in kept])
+        return df.selectExpr(*[quoted(name) for name in kept])
 
     return apply
 
@@ -46,13 +46,12 @@ def cap_ages(df: DataFrame) -> DataFrame:
     """Numeric participant ages above the limit become the cap."""
     columns = []
     for field in df.schema:
-        lowered = field.name.lower()
-        value = c(field.name)
+        lowered, value = field.name.lower(), quoted(field.name)
         if "age" in lowered and "participant" in lowered and isinstance(field.dataType, T.NumericType):
-            capped = F.when(value > AGE_CAP_ABOVE, F.lit(AGE_CAP_VALUE).cast(field.dataType)).otherwise(value)
-            value = capped.alias(field.name)
+            cap = f"CAST({AGE_CAP_VALUE} AS {field.dataType.simpleString()})"
+            value = f"CASE WHEN {value} > {AGE_CAP_ABOVE} THEN {cap} ELSE {value} END AS {value}"
         columns.append(value)
-    return df.select(*columns)
+    return df.selectExpr(*columns)
 
 
 def is_birth(name: str) -> bool:
@@ -88,9 +87,8 @@ def birth_years(df: DataFrame, undated: Collection[str] | None = None) -> DataFr
         f.name: f.dataType for f in df.schema
         if is_birth(f.name) and isinstance(f.dataType, dates) and f.name not in undated
     }
-    return df.select(
-        *[F.year(parsed_timestamp(c(n), births[n])).cast("long").alias(n) if n in births else c(n) for n in df.columns]
-    )
+    years = {n: F.year(parsed_timestamp(c(n), data_type)).cast("long") for n, data_type in births.items()}
+    return df.withColumns(years) if years else df
 
 
 def deidentify(

@@ -6,11 +6,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortweave.constants import HASH, KEYS, MODALITY, SOURCE, SYSTEM_FIELDS, UNKNOWN_MODALITY
-from cohortweave.functions.names import c
+from cohortweave.functions.names import c, literal, quoted
 from cohortweave.operators.ordering import HOT_FLOOR, GroupSizes, measure_groups, row_index
 
 # Position of a row of the wide form inside its subject-session: 0 unless a group is wider than the table.
@@ -108,33 +108,31 @@ def _widths(
     return {m: 1 if sizes.largest_by.get(m, 0) <= 1 else max(2, asked.get(m, 2)) for m in variables}
 
 
-def _record(modality: str, variable: str, slot: int) -> Column:
-    return F.get(c(modality), F.lit(slot)).getField(variable)
-
-
 def widen(nested: DataFrame, layout: Layout, keys: Sequence[str] = KEYS) -> DataFrame:
     """Wide form of `nest`: `<modality>.<variable>` for a single record, else `…_<i>` per record.
 
     Row `_chunk` = k holds the records k*width, k*width+1, … of its subject and session, and
     its indexed columns count from there.
     """
-    columns: list[Column] = []
+    columns: list[str] = []
+
+    def add(condition: str, value: str, name: str) -> None:
+        columns.append(f"CASE WHEN {condition} THEN {value} END AS {quoted(name)}")
+
     for modality, variables in layout.variables.items():
-        size = F.size(c(modality))
-        single = (size == 1) & (F.col(CHUNK) == 0)
+        records = quoted(modality)
+        single = f"size({records}) = 1 AND {CHUNK} = 0"
+        slots = range(layout.width[modality]) if layout.width[modality] > 1 else ()
         for variable in variables:
-            columns.append(F.when(single, _record(modality, variable, 0)).alias(f"{modality}.{variable}"))
-        if layout.width[modality] > 1:
-            for slot in range(layout.width[modality]):
-                for variable in variables:
-                    columns.append(
-                        F.when(~single, _record(modality, variable, slot)).alias(f"{modality}.{variable}_{slot}")
-                    )
-        columns.append(F.when(size > 0, F.lit(modality)).alias(f"{modality}._modality"))
-    return nested.select(*[c(k) for k in keys], CHUNK, *columns)
+            add(single, f"get({records}, 0).{quoted(variable)}", f"{modality}.{variable}")
+        for slot in slots:
+            for variable in variables:
+                add(f"NOT ({single})", f"get({records}, {slot}).{quoted(variable)}", f"{modality}.{variable}_{slot}")
+        add(f"size({records}) > 0", literal(modality), f"{modality}._modality")
+    return nested.selectExpr(*[quoted(k) for k in keys], CHUNK, *columns)
 
 
 def hash_order(df: DataFrame, keys: Sequence[str] = KEYS) -> list:
     """Fields in the order in which the provenance hash reads them: keys, then sorted names."""
-    rest = sorted(name for name in df.columns if name not in keys and name not in (CHUNK, HASH))
-    return [df.schema[name] for name in (*keys, *rest)]
+    fields = {field.name: field for field in df.schema if field.name not in (CHUNK, HASH)}
+    return [fields[name] for name in (*keys, *sorted(set(fields) - set(keys)))]

@@ -8,10 +8,9 @@ from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from cohortweave.constants import HASH, KEYS, NONSTANDARD_PREFIX, PARTICIPANT
-from cohortweave.functions.names import c, split_qualified
+from cohortweave.functions.names import c, quoted, split_qualified
 from cohortweave.operators.flatten import CHUNK
 from cohortweave.operators.lookups import lookup_join
 
@@ -63,7 +62,8 @@ def matching(df: DataFrame, filters: Mapping[str, tuple[str, Any]]) -> DataFrame
 
 
 def _select(df: DataFrame, wanted: Iterable[str]) -> DataFrame:
-    return df.select(*[c(n) for n in dict.fromkeys(wanted) if n in df.columns])
+    existing = set(df.columns)
+    return df.selectExpr(*[quoted(n) for n in dict.fromkeys(wanted) if n in existing])
 
 
 def only_modalities(df: DataFrame, modalities: Sequence[str] | None) -> DataFrame:
@@ -89,8 +89,8 @@ def without_nonstandard(df: DataFrame) -> DataFrame:
 
 def without_empty(df: DataFrame) -> DataFrame:
     """Drop columns without any value, found by one aggregate; a table without rows keeps its columns."""
-    used = df.agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.max(c(n).isNotNull()).alias(f"_{i}") for i, n in enumerate(df.columns)]
+    used = df.selectExpr(
+        "count(1) AS _rows", *[f"max({quoted(n)} IS NOT NULL) AS _{i}" for i, n in enumerate(df.columns)]
     ).first()
     if used["_rows"] == 0:
         return df
@@ -105,4 +105,4 @@ def catalog(df: DataFrame) -> DataFrame:
 
 def to_records(df: DataFrame) -> DataFrame:
     """Each row as one JSON object; nulls are written out."""
-    return df.select(F.to_json(F.struct(*[c(n) for n in df.columns]), {"ignoreNullFields": "false"}).alias("record"))
+    return df.selectExpr("to_json(struct(*), map('ignoreNullFields', 'false')) AS record")
