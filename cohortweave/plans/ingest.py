@@ -21,8 +21,9 @@ from cohortweave.sources import bronze
 from cohortweave.sources.manifest import discover
 from cohortweave.sources.tables import read_silver as read_plugin_silver
 from cohortweave.sources.tables import write_silver
+from cohortweave.sources.workspace import stored
 
-# A plugin's file list longer than this is read through folder patterns instead of path by path.
+# Longer file lists are not collected: folders are searched by the readers instead.
 MAX_LISTED_FILES = 100_000
 
 
@@ -37,23 +38,65 @@ class IngestReport:
     errors: dict[str, str] = field(default_factory=dict)
 
 
-def read_plugin(spark: SparkSession, plugin: str, paths: list[str], as_of: Column, registry: DataFrame) -> list[DataFrame]:
-    """Raw rows of one plugin's files; one table per layout, as files may differ in their columns."""
-    tables: list[DataFrame] = []
+@dataclass(frozen=True)
+class Scan:
+    """Files of one plugin and suffix below one directory: listed, or a folder to search."""
+
+    suffix: str
+    paths: list[str]
+    options: dict[str, str] = field(default_factory=dict)
+
+
+def plan_scans(manifest: DataFrame, plugin: str, bronze_root: str, max_files: int = MAX_LISTED_FILES) -> list[Scan]:
+    """What to read for a plugin, per first-level directory and suffix.
+
+    Up to `max_files` files are listed. Beyond, their folders are searched by the readers: CSV and
+    Parquet files are routed by folder or suffix alone, and bundles are told from other JSON
+    documents when they are read. Other JSON files are routed by content and must be listed.
+    """
+    files = manifest.filter(c("plugin") == plugin)
+    kinds = files.select("modality_dir", "extension").distinct().orderBy("modality_dir", "extension").collect()
+    if is_small(files.select("path"), max_files):
+        listed = files.select("modality_dir", "extension", "path").orderBy("path").collect()
+        return [
+            Scan(k["extension"], [r["path"] for r in listed if (r["modality_dir"], r["extension"]) == tuple(k)])
+            for k in kinds
+        ]
+    if plugin != "ehr" and any(k["extension"] == ".json" for k in kinds):
+        raise ValueError(f"more than {max_files} JSON files for {plugin}: read them with `read_json` and a schema")
+    return [
+        Scan(
+            k["extension"],
+            [f"{bronze_root.rstrip('/')}/{k['modality_dir']}"],
+            {"recursiveFileLookup": "true", "pathGlobFilter": f"*{k['extension']}"},
+        )
+        for k in kinds
+    ]
+
+
+def read_scan(
+    spark: SparkSession, plugin: str, scan: Scan, as_of: Column, registry: DataFrame
+) -> list[DataFrame]:
+    """Raw rows of one scan; CSV files are read apart where their headers differ."""
     if plugin == "ehr":
-        bundles = bronze.read_bundles(spark, paths).withColumn("_path", c(SOURCE).getField("file"))
-        tables.append(flatten_bundles(bundles, registry, as_of, path="_path", keep=[SOURCE]).drop("_path"))
-        return tables
-    suffixes = {s: [path for path in paths if path.endswith(s)] for s in (".csv", ".parquet", ".json")}
-    if suffixes[".csv"]:
-        layouts = bronze.csv_layouts(spark, suffixes[".csv"])
-        for row in layouts.groupBy("header").agg(F.collect_list("file").alias("files")).orderBy("header").collect():
-            tables.append(bronze.read_csv(spark, row["files"], multi_line=plugin == "nlp"))
-    if suffixes[".parquet"]:
-        tables.append(bronze.read_parquet(spark, suffixes[".parquet"]))
-    if suffixes[".json"]:
-        tables.append(bronze.read_json(spark, suffixes[".json"]))
-    return tables
+        bundles = bronze.read_bundles(spark, scan.paths, options=scan.options)
+        named = bundles.withColumn("_path", c(SOURCE).getField("file"))
+        return [flatten_bundles(named, registry, as_of, path="_path", keep=[SOURCE]).drop("_path")]
+    if scan.suffix == ".parquet":
+        return [bronze.read_parquet(spark, scan.paths, options=scan.options)]
+    if scan.suffix == ".json":
+        return [bronze.read_json(spark, scan.paths, options=scan.options)]
+    layouts = stored(bronze.csv_layouts(spark, scan.paths, options=scan.options), "csv-layouts")
+    headers = [row["header"] for row in layouts.select("header").distinct().orderBy("header").collect()]
+    lines = {"multi_line": plugin == "nlp"}
+    if len(headers) == 1:
+        return [bronze.read_csv(spark, scan.paths, options=scan.options, **lines)]
+    return [
+        bronze.read_csv(
+            spark, [row["file"] for row in layouts.filter(c("header") == header).orderBy("file").collect()], **lines
+        )
+        for header in headers
+    ]
 
 
 def to_silver(df: DataFrame, plugin: str, registry: DataFrame) -> DataFrame:
@@ -65,12 +108,12 @@ def to_silver(df: DataFrame, plugin: str, registry: DataFrame) -> DataFrame:
 
 
 def harmonize_files(
-    spark: SparkSession, plugin: str, paths: list[str], registry: DataFrame, as_of: date | Column | None = None
+    spark: SparkSession, plugin: str, scans: list[Scan], registry: DataFrame, as_of: date | Column | None = None
 ) -> DataFrame:
     """All files of one plugin as one harmonized table."""
     day = F.current_date() if as_of is None else F.lit(as_of)
-    tables = [to_silver(df, plugin, registry) for df in read_plugin(spark, plugin, paths, day, registry)]
-    return union_by_name(tables)
+    raw = [table for scan in scans for table in read_scan(spark, plugin, scan, day, registry)]
+    return union_by_name([to_silver(table, plugin, registry) for table in raw])
 
 
 def union_by_name(tables: list[DataFrame]) -> DataFrame:
@@ -87,16 +130,6 @@ def union_by_name(tables: list[DataFrame]) -> DataFrame:
     return result
 
 
-def plugin_paths(manifest: DataFrame, plugin: str) -> list[str]:
-    """Paths of one plugin's files. The reader needs the list; its size is checked first."""
-    paths = manifest.filter(c("plugin") == plugin).select("path")
-    if not is_small(paths, MAX_LISTED_FILES):
-        raise ValueError(
-            f"more than {MAX_LISTED_FILES} files for {plugin}: pass folder patterns to `harmonize_files`"
-        )
-    return [row["path"] for row in paths.orderBy("path").collect()]
-
-
 def ingest(
     spark: SparkSession,
     bronze_root: str,
@@ -126,10 +159,10 @@ def ingest(
     if not plugins:
         return IngestReport(manifest, summary, "no_processable_clinical_files")
     report = IngestReport(manifest, summary, "processed")
-    paths = {plugin: plugin_paths(todo, plugin) for plugin in plugins}
+    scans = {plugin: plan_scans(todo, plugin, bronze_root) for plugin in plugins}
     for plugin in plugins:
         try:
-            silver = harmonize_files(spark, plugin, paths[plugin], registry, as_of)
+            silver = harmonize_files(spark, plugin, scans[plugin], registry, as_of)
             write_silver(silver, f"{silver_root}/{plugin}", mode="overwrite" if subject is None else "append")
             report.silver[plugin] = silver
         except Exception as error:  # one plugin's bad files must not stop the others

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cohortweave.operators import status
 from cohortweave.plans.explorer import CohortExplorer
 from cohortweave.plans.gold import build_gold
-from cohortweave.plans.ingest import ingest, read_silver, silver_files
+from cohortweave.plans.ingest import harmonize_files, ingest, plan_scans, read_silver, silver_files
 from cohortweave.plans.query import query_gold
 from cohortweave.sources import bronze, tables
 from cohortweave.sources.manifest import discover, list_files, tier_inventory
@@ -116,6 +116,21 @@ def test_subject_and_dry_run(spark, raw, registry, tmp_path):
     assert {r[0] for r in read_silver(spark, target).select("participant_id").distinct().collect()} == {"sub-01", "sub-02"}
 
 
+@pytest.mark.parametrize("plugin", ["omics", "assessments", "nlp", "ehr"])
+def test_searched_folders_give_the_rows_of_listed_files(spark, raw, registry, plugin):
+    manifest = discover(spark, raw)
+    listed = harmonize_files(spark, plugin, plan_scans(manifest, plugin, raw), registry, AS_OF)
+    searched = harmonize_files(spark, plugin, plan_scans(manifest, plugin, raw, max_files=0), registry, AS_OF)
+    compared = [n for n in listed.columns if n != "_source"]
+    assert sorted(map(str, listed.select(*[F.col(f"`{n}`") for n in compared]).collect())) == sorted(
+        map(str, searched.select(*[F.col(f"`{n}`") for n in compared]).collect()))
+
+
+def test_long_lists_of_wearable_documents_are_refused(spark, raw):
+    with pytest.raises(ValueError, match="JSON files"):
+        plan_scans(discover(spark, raw), "wearables", raw, max_files=0)
+
+
 def test_one_bad_plugin_does_not_stop_the_others(spark, raw, registry, tmp_path, monkeypatch):
     from cohortweave.operators.modalities import TAGGERS
 
