@@ -55,34 +55,28 @@ def missing_nan(value: Column, data_type: T.DataType) -> Column:
     return value
 
 
-def plain_text(value: Column, data_type: T.DataType) -> Column:
-    """Text of a value; doubles from 1e-4 up to 1e16 are written without an exponent."""
-    text = value.cast("string")
-    if isinstance(data_type, T.DoubleType):
-        spelled = F.rtrim(text.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
-        spelled = F.when(F.endswith(spelled, F.lit(".")), F.concat(spelled, F.lit("0"))).otherwise(spelled)
-        inside = F.contains(text, F.lit("E")) & F.abs(value).between(1e-4, 9.999999999999998e15)
-        return F.when(inside, spelled).otherwise(text)
-    if isinstance(data_type, T.BooleanType):
-        return F.initcap(text)
-    return text
+def plain_double_sql(value: str) -> str:
+    """SQL for the text of a double: without an exponent from 1e-4 up to 1e16."""
+    text = f"CAST({value} AS STRING)"
+    digits = f"rtrim('0', CAST(try_cast({text} AS DECIMAL(38, 21)) AS STRING))"
+    spelled = f"CASE WHEN endswith({digits}, '.') THEN concat({digits}, '0') ELSE {digits} END"
+    inside = f"contains({text}, 'E') AND abs({value}) BETWEEN 1e-4D AND 9.999999999999998e15D"
+    return f"CASE WHEN {inside} THEN {spelled} ELSE {text} END"
 
 
-def number_text(text: Column) -> Column:
-    """The shortest spelling of a fractional number read as text; other text is unchanged."""
-    fractional = text.rlike(r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$") & text.rlike(r"[.eE]")
-    return F.when(fractional, plain_text(text.try_cast("double"), T.DoubleType())).otherwise(text)
+def number_text_sql(text: str) -> str:
+    """SQL for the shortest spelling of a fractional number read as text; other text is unchanged."""
+    number = plain_double_sql(f"try_cast({text} AS DOUBLE)")
+    fractional = f"{text} RLIKE '^-?[0-9]+([.][0-9]+)?([eE][+-]?[0-9]+)?$' AND {text} RLIKE '[.eE]'"
+    return f"CASE WHEN {fractional} THEN {number} ELSE {text} END"
 
 
 def plain_text_sql(name: str, data_type: T.DataType) -> str:
-    """`plain_text` of a column as SQL text, for wide tables; missing values are written as 'nan'."""
+    """SQL for the text of a column's value; missing values are written as 'nan'."""
     value = quoted(name)
     text = f"CAST({value} AS STRING)"
     if isinstance(data_type, T.DoubleType):
-        digits = f"rtrim('0', CAST(try_cast({text} AS DECIMAL(38, 21)) AS STRING))"
-        spelled = f"CASE WHEN endswith({digits}, '.') THEN concat({digits}, '0') ELSE {digits} END"
-        inside = f"contains({text}, 'E') AND abs({value}) BETWEEN 1e-4D AND 9.999999999999998e15D"
-        text = f"CASE WHEN isnan({value}) THEN 'nan' WHEN {inside} THEN {spelled} ELSE {text} END"
+        text = f"CASE WHEN isnan({value}) THEN 'nan' ELSE {plain_double_sql(value)} END"
     elif isinstance(data_type, T.FloatType):
         text = f"CASE WHEN isnan({value}) THEN 'nan' ELSE {text} END"
     elif isinstance(data_type, T.BooleanType):

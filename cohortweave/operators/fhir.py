@@ -1,202 +1,153 @@
 """Clinical bundles -> one row per resource, and the long and pivoted observation forms.
 
 All resource types are flattened by one projection over one exploded scan: a column that does
-not belong to a row's resource type is null.
+not belong to a row's resource type is null. The columns are SQL text, which the driver builds
+faster than nested column objects.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortweave.constants import MODALITY, PARTICIPANT, SESSION, VITAL_SIGN_WORDS
-from cohortweave.functions.names import c, snake
+from cohortweave.functions.names import c, quoted, snake
 from cohortweave.functions.paths import session_of, subject_of
-from cohortweave.functions.values import full_date, number_text, whole_years
+from cohortweave.functions.values import full_date, number_text_sql, whole_years
 from cohortweave.operators.variables import standard_names_by_code
 
-Coding = Callable[[Column], Column]
+def _blank(value: str) -> str:
+    return f"coalesce({value}, '')"
 
 
-def _blank(value: Column) -> Column:
-    return F.coalesce(value, F.lit(""))
+def _system(*words: str) -> str:
+    """Condition on a coding x that its system contains one of the words."""
+    return "(" + " OR ".join(f"contains(lower({_blank('x.system')}), '{word}')" for word in words) + ")"
 
 
-def _system_has(*words: str) -> Coding:
-    def test(coding: Column) -> Column:
-        system = F.lower(_blank(coding["system"]))
-        found = F.contains(system, F.lit(words[0]))
-        for word in words[1:]:
-            found = found | F.contains(system, F.lit(word))
-        return found
+def _last(array: str, condition: str | None = None) -> str:
+    """Last element (that satisfies a condition on x), or null."""
+    return f"try_element_at(filter({array}, x -> {condition or 'true'}), -1)"
 
-    return test
 
+def _first(array: str) -> str:
+    return f"get({array}, 0)"
 
-def _last(array: Column) -> Column:
-    return F.get(array, F.size(array) - 1)
 
-
-def _last_code(codings: Column, belongs: Coding) -> Column:
+def _last_code(codings: str, condition: str) -> str:
     """Code of the last coding of a system: blank if it has none, null if there is no such coding."""
-    found = F.filter(codings, belongs)
-    return F.when(F.size(found) > 0, _blank(_last(found)["code"]))
-
-
-@dataclass(frozen=True)
-class Field:
-    """A column of one resource type."""
-
-    resource_type: str
-    name: str
-    value: Callable[[Column], Column]
-
-
-def _omb_category(word: str, unless: str | None = None) -> Callable[[Column], Column]:
-    def value(r: Column) -> Column:
-        def about(extension: Column) -> Column:
-            url = _blank(extension["url"])
-            match = F.contains(url, F.lit(word))
-            return match & ~F.contains(url, F.lit(unless)) if unless else match
-
-        categories = F.flatten(
-            F.transform(
-                F.filter(r["extension"], about),
-                lambda e: F.coalesce(F.filter(e["extension"], lambda s: s["url"] == "ombCategory"),
-                                     F.filter(e["extension"], lambda s: F.lit(False)), F.array()),
-            )
-        )
-        return F.when(F.size(categories) > 0, _blank(_last(categories)["valueCoding"]["display"]))
-
-    return value
-
-
-def _full_name(r: Column) -> Column:
-    first = F.get(r["name"], F.lit(0))
-    given = _blank(F.array_join(first["given"], " "))
-    return F.when(F.size(r["name"]) > 0, F.concat(given, F.lit(" "), _blank(first["family"])))
-
-
-def _loinc_display(r: Column) -> Column:
-    """Display of the last LOINC coding that has one, else the text of the code."""
-    shown = F.filter(r["code"]["coding"], lambda x: _system_has("loinc")(x) & x["display"].isNotNull())
-    return F.coalesce(_last(shown)["display"], r["code"]["text"], F.lit(""))
+    return f"CASE WHEN exists({codings}, x -> {condition}) THEN {_blank(_last(codings, condition) + '.code')} END"
 
 
-def _observed(r: Column) -> Column:
-    concept = r["valueCodeableConcept"]
-    return (
-        F.when(r["valueQuantity"].isNotNull(), number_text(r["valueQuantity"]["value"]))
-        .when(concept.isNotNull(), F.coalesce(concept["text"], F.get(concept["coding"], F.lit(0))["display"], F.lit("")))
-        .otherwise(r["valueString"])
-    )
-
-
-def _observed_unit(r: Column) -> Column:
-    return (
-        F.when(r["valueQuantity"].isNotNull(), _blank(r["valueQuantity"]["unit"]))
-        .when(r["valueCodeableConcept"].isNotNull(), F.lit("categorical"))
-        .when(r["valueString"].isNotNull(), F.lit("text"))
+def _omb_category(condition: str) -> str:
+    """Display of the last category below the extensions whose url satisfies a condition on x."""
+    categories = (
+        f"flatten(transform(filter(resource.extension, x -> {condition}), "
+        "x -> filter(coalesce(x.extension, array()), y -> y.url = 'ombCategory')))"
     )
-
-
-_is_icd = _system_has("icd")
-_is_snomed = _system_has("snomed")
-_is_rxnorm = _system_has("rxnorm")
-_is_procedure_code = _system_has("cpt", "hcpcs")
-
-
-def _diagnosis_display(r: Column) -> Column:
-    """Display of the last ICD or SNOMED coding; a SNOMED coding without one keeps the one before."""
-    folded = F.aggregate(
-        F.coalesce(r["code"]["coding"], F.array()),
-        F.lit(None).cast("string"),
-        lambda seen, x: F.when(_is_icd(x), _blank(x["display"]))
-        .when(_is_snomed(x), F.coalesce(x["display"], seen, F.lit("")))
-        .otherwise(seen),
-    )
-    return F.coalesce(folded, r["code"]["text"], F.lit(""))
-
-
-def _display_of_last(concept: Column) -> Column:
-    return F.coalesce(_last(concept["coding"])["display"], concept["text"], F.lit(""))
-
-
-def _dose(part: Callable[[Column], Column]) -> Callable[[Column], Column]:
-    """Part of the first dosage: blank if not stated, null if the list of dosages is empty."""
-
-    def value(r: Column) -> Column:
-        stated = r["dosageInstruction"].isNull() | (F.size(r["dosageInstruction"]) > 0)
-        return F.when(stated, part(F.get(r["dosageInstruction"], F.lit(0))))
-
-    return value
-
-
-def _dose_quantity(name: str, spell: Callable[[Column], Column] = lambda v: v) -> Callable[[Column], Column]:
-    def part(dosage: Column) -> Column:
-        rates = dosage["doseAndRate"]
-        stated = rates.isNull() | (F.size(rates) > 0)
-        return F.when(stated, _blank(spell(F.get(rates, F.lit(0))["doseQuantity"][name])))
-
-    return _dose(part)
-
-
-def _encounter_type(r: Column) -> Column:
-    first = F.get(r["type"], F.lit(0))
-    shown = F.coalesce(first["text"], F.get(first["coding"], F.lit(0))["display"], F.lit(""))
-    return F.when(F.size(r["type"]) > 0, shown)
-
-
-FIELDS: tuple[Field, ...] = (
-    Field("Patient", "patient_fhir_id", lambda r: _blank(r["id"])),
-    Field("Patient", "participant_sex", lambda r: F.coalesce(r["gender"], F.lit("unknown"))),
-    Field("Patient", "birth_date", lambda r: _blank(r["birthDate"])),
-    Field("Patient", "participant_race", _omb_category("race")),
-    Field("Patient", "participant_ethnicity", _omb_category("ethnicity", unless="race")),
-    Field("Patient", "_pii_patient_name", _full_name),
-    Field("Observation", "loinc_code", lambda r: _blank(_last_code(r["code"]["coding"], _system_has("loinc")))),
-    Field("Observation", "_display", _loinc_display),
-    Field("Observation", "observation_value", _observed),
-    Field("Observation", "observation_unit", _observed_unit),
-    Field("Observation", "observation_status", lambda r: _blank(r["status"])),
-    Field("Observation", "observation_datetime", lambda r: _blank(r["effectiveDateTime"])),
-    Field("Condition", "diagnosis_icd10", lambda r: _last_code(r["code"]["coding"], _is_icd)),
-    Field("Condition", "diagnosis_snomed",
-          lambda r: _last_code(r["code"]["coding"], lambda x: _is_snomed(x) & ~_is_icd(x))),
-    Field("Condition", "diagnosis_display", _diagnosis_display),
-    Field("Condition", "diagnosis_status",
-          lambda r: _blank(F.get(r["clinicalStatus"]["coding"], F.lit(0))["code"])),
-    Field("Condition", "diagnosis_onset", lambda r: _blank(r["onsetDateTime"])),
-    Field("Condition", "diagnosis_recorded", lambda r: _blank(r["recordedDate"])),
-    Field("MedicationRequest", "medication_rxnorm",
-          lambda r: _last_code(r["medicationCodeableConcept"]["coding"], _is_rxnorm)),
-    Field("MedicationRequest", "medication_ndc",
-          lambda r: _last_code(r["medicationCodeableConcept"]["coding"],
-                               lambda x: _system_has("ndc")(x) & ~_is_rxnorm(x))),
-    Field("MedicationRequest", "medication_name", lambda r: _display_of_last(r["medicationCodeableConcept"])),
-    Field("MedicationRequest", "medication_status", lambda r: _blank(r["status"])),
-    Field("MedicationRequest", "medication_intent", lambda r: _blank(r["intent"])),
-    Field("MedicationRequest", "medication_dose_text", _dose(lambda d: _blank(d["text"]))),
-    Field("MedicationRequest", "medication_dose_value", _dose_quantity("value", number_text)),
-    Field("MedicationRequest", "medication_dose_unit", _dose_quantity("unit")),
-    Field("MedicationRequest", "medication_authored", lambda r: _blank(r["authoredOn"])),
-    Field("Procedure", "procedure_cpt", lambda r: _last_code(r["code"]["coding"], _is_procedure_code)),
-    Field("Procedure", "procedure_snomed",
-          lambda r: _last_code(r["code"]["coding"], lambda x: _is_snomed(x) & ~_is_procedure_code(x))),
-    Field("Procedure", "procedure_display", lambda r: _display_of_last(r["code"])),
-    Field("Procedure", "procedure_status", lambda r: _blank(r["status"])),
-    Field("Procedure", "procedure_date",
-          lambda r: F.coalesce(r["performedDateTime"], r["performedPeriod"]["start"], F.lit(""))),
-    Field("Encounter", "encounter_id", lambda r: _blank(r["id"])),
-    Field("Encounter", "encounter_status", lambda r: _blank(r["status"])),
-    Field("Encounter", "encounter_class", lambda r: _blank(r["class"]["code"])),
-    Field("Encounter", "encounter_start", lambda r: _blank(r["period"]["start"])),
-    Field("Encounter", "encounter_end", lambda r: _blank(r["period"]["end"])),
-    Field("Encounter", "encounter_type", _encounter_type),
-)
+    return f"CASE WHEN size({categories}) > 0 THEN {_blank(_last(categories) + '.valueCoding.display')} END"
+
+
+def _display_of_last(concept: str) -> str:
+    return f"coalesce({_last(concept + '.coding')}.display, {concept}.text, '')"
+
+
+def _stated(array: str, value: str) -> str:
+    """A part of a list's first element: blank if the list is not there, null if it is empty."""
+    return f"CASE WHEN {array} IS NULL OR size({array}) > 0 THEN {value} END"
+
+
+def _dose(part: str) -> str:
+    rates = _first("resource.dosageInstruction") + ".doseAndRate"
+    value = f"{_first(rates)}.doseQuantity.{part}"
+    spelled = number_text_sql(value) if part == "value" else value
+    return _stated("resource.dosageInstruction", _stated(rates, _blank(spelled)))
+
+
+_CODINGS = "resource.code.coding"
+_DRUGS = "resource.medicationCodeableConcept.coding"
+_CONCEPT = "resource.valueCodeableConcept"
+_IS_LOINC, _IS_ICD, _IS_SNOMED = _system("loinc"), _system("icd"), _system("snomed")
+_IS_RXNORM, _IS_NDC, _IS_PROCEDURE = _system("rxnorm"), _system("ndc"), _system("cpt", "hcpcs")
+
+# A SNOMED coding without a display keeps the display of the coding before it.
+_DIAGNOSIS = f"""coalesce(
+    aggregate(coalesce({_CODINGS}, array()), CAST(NULL AS STRING), (seen, x) ->
+        CASE WHEN {_IS_ICD} THEN {_blank('x.display')}
+             WHEN {_IS_SNOMED} THEN coalesce(x.display, seen, '') ELSE seen END),
+    resource.code.text, '')"""
+
+_OBSERVED = f"""CASE WHEN resource.valueQuantity IS NOT NULL THEN {number_text_sql('resource.valueQuantity.value')}
+    WHEN {_CONCEPT} IS NOT NULL THEN coalesce({_CONCEPT}.text, {_first(_CONCEPT + '.coding')}.display, '')
+    ELSE resource.valueString END"""
+
+_OBSERVED_UNIT = f"""CASE WHEN resource.valueQuantity IS NOT NULL THEN {_blank('resource.valueQuantity.unit')}
+    WHEN {_CONCEPT} IS NOT NULL THEN 'categorical' WHEN resource.valueString IS NOT NULL THEN 'text' END"""
+
+_RACE = f"contains({_blank('x.url')}, 'race')"
+_ETHNICITY = f"contains({_blank('x.url')}, 'ethnicity') AND NOT {_RACE}"
+_NAME = _first("resource.name")
+_TYPE = _first("resource.`type`")
+
+# Columns of each resource type as SQL over its resource; `_display` is dropped in the end.
+FIELDS: dict[str, dict[str, str]] = {
+    "Patient": {
+        "patient_fhir_id": _blank("resource.id"),
+        "participant_sex": "coalesce(resource.gender, 'unknown')",
+        "birth_date": _blank("resource.birthDate"),
+        "participant_race": _omb_category(_RACE),
+        "participant_ethnicity": _omb_category(_ETHNICITY),
+        "_pii_patient_name": f"""CASE WHEN size(resource.name) > 0 THEN
+            concat({_blank(f"array_join({_NAME}.given, ' ')")}, ' ', {_blank(_NAME + '.family')}) END""",
+    },
+    "Observation": {
+        "loinc_code": _blank(_last_code(_CODINGS, _IS_LOINC)),
+        "_display": f"coalesce({_last(_CODINGS, _IS_LOINC + ' AND x.display IS NOT NULL')}.display, resource.code.text)",
+        "observation_value": _OBSERVED,
+        "observation_unit": _OBSERVED_UNIT,
+        "observation_status": _blank("resource.status"),
+        "observation_datetime": _blank("resource.effectiveDateTime"),
+    },
+    "Condition": {
+        "diagnosis_icd10": _last_code(_CODINGS, _IS_ICD),
+        "diagnosis_snomed": _last_code(_CODINGS, f"{_IS_SNOMED} AND NOT {_IS_ICD}"),
+        "diagnosis_display": _DIAGNOSIS,
+        "diagnosis_status": _blank(_first("resource.clinicalStatus.coding") + ".code"),
+        "diagnosis_onset": _blank("resource.onsetDateTime"),
+        "diagnosis_recorded": _blank("resource.recordedDate"),
+    },
+    "MedicationRequest": {
+        "medication_rxnorm": _last_code(_DRUGS, _IS_RXNORM),
+        "medication_ndc": _last_code(_DRUGS, f"{_IS_NDC} AND NOT {_IS_RXNORM}"),
+        "medication_name": _display_of_last("resource.medicationCodeableConcept"),
+        "medication_status": _blank("resource.status"),
+        "medication_intent": _blank("resource.intent"),
+        "medication_dose_text": _stated(
+            "resource.dosageInstruction", _blank(_first("resource.dosageInstruction") + ".text")
+        ),
+        "medication_dose_value": _dose("value"),
+        "medication_dose_unit": _dose("unit"),
+        "medication_authored": _blank("resource.authoredOn"),
+    },
+    "Procedure": {
+        "procedure_cpt": _last_code(_CODINGS, _IS_PROCEDURE),
+        "procedure_snomed": _last_code(_CODINGS, f"{_IS_SNOMED} AND NOT {_IS_PROCEDURE}"),
+        "procedure_display": _display_of_last("resource.code"),
+        "procedure_status": _blank("resource.status"),
+        "procedure_date": "coalesce(resource.performedDateTime, resource.performedPeriod.start, '')",
+    },
+    "Encounter": {
+        "encounter_id": _blank("resource.id"),
+        "encounter_status": _blank("resource.status"),
+        "encounter_class": _blank("resource.`class`.code"),
+        "encounter_start": _blank("resource.period.start"),
+        "encounter_end": _blank("resource.period.`end`"),
+        "encounter_type": f"""CASE WHEN size(resource.`type`) > 0 THEN
+            coalesce({_TYPE}.text, {_first(_TYPE + '.coding')}.display, '') END""",
+    },
+}
 
 RESOURCE_MODALITIES = {
     "Patient": "demographics",
@@ -230,11 +181,12 @@ def flatten_bundles(
     resource_type = c("resource").getField("resourceType")
     rows = entries(bundles, carried).filter(resource_type.isin(known))
     columns = [
-        F.when(resource_type == field.resource_type, field.value(c("resource"))).alias(field.name)
-        for field in FIELDS
+        f"CASE WHEN resource.resourceType = '{resource}' THEN {value} END AS {name}"
+        for resource, fields in FIELDS.items()
+        for name, value in fields.items()
     ]
-    flat = rows.select(
-        *[c(k) for k in carried], "entry_position", resource_type.alias("fhir_resource_type"), *columns
+    flat = rows.selectExpr(
+        *map(quoted, carried), "entry_position", "resource.resourceType AS fhir_resource_type", *columns
     ).withColumn("participant_age", whole_years(full_date(c("birth_date")), as_of))
 
     named = standard_names_by_code(flat, registry, "loinc_code", output="_registered")
@@ -288,7 +240,7 @@ def long_observations(bundles: DataFrame, bundle_id: str, as_of: Column) -> Data
     observed = exploded.filter(resource["resourceType"] == OBSERVATION).select(
         c(bundle_id), "subject_id",
         F.coalesce(F.nullif(snake(first["display"]), F.lit("")), first["code"]).alias("variable"),
-        number_text(resource["valueQuantity"]["value"]).alias("value"),
+        F.expr(number_text_sql("_entry.resource.valueQuantity.value")).alias("value"),
         resource["effectiveDateTime"].alias("timestamp"), "position",
     )
     return about.unionByName(observed)

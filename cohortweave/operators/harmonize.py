@@ -11,26 +11,28 @@ from cohortweave.constants import NONSTANDARD_PREFIX, SOURCE, SYSTEM_FIELDS
 from cohortweave.functions.names import c
 
 
-def rename_map(registry: DataFrame, columns: Sequence[str], order_by: str = "standard_name") -> dict[str, str]:
-    """Original -> standard name for the given columns; the last row by `order_by` decides.
-
-    Only registry rows about these columns are read, so the result is bounded by their number.
+def registry_names(
+    registry: DataFrame, columns: Sequence[str], order_by: str = "standard_name"
+) -> tuple[dict[str, str], set[str]]:
+    """(original -> standard name, known names) for the given columns.
+
+    Of several standard names the registry's last row by `order_by` decides. A column is known
+    if it is an original or a standard name. One aggregate whose result is bounded by the number
+    of columns, however large the registry is.
     """
-    named = registry.filter(
-        c("original_variable_name").isin(list(columns))
-        & (c("standard_name") != "")
-        & (c("original_variable_name") != c("standard_name"))
+    original, standard = c("original_variable_name"), c("standard_name")
+    target = F.when(
+        (original != "") & (standard != "") & (original != standard),
+        F.struct(c(order_by).alias("order"), standard.alias("standard_name")),
     )
-    last = named.groupBy("original_variable_name").agg(F.max_by("standard_name", c(order_by)).alias("standard_name"))
-    return {row["original_variable_name"]: row["standard_name"] for row in last.collect()}
-
-
-def known_fields(registry: DataFrame, columns: Sequence[str]) -> set[str]:
-    """Which of the given columns the registry knows, as an original or as a standard name."""
-    names = registry.select(c("original_variable_name").alias("name")).union(
-        registry.select(c("standard_name").alias("name"))
+    names = registry.select(
+        F.inline(F.array(
+            F.struct(original.alias("name"), target.alias("target")),
+            F.struct(standard.alias("name"), F.when(F.lit(False), target).alias("target")),
+        ))
     )
-    return {row["name"] for row in names.filter(c("name").isin(list(columns))).distinct().collect()}
+    found = names.filter(c("name").isin(list(columns))).groupBy("name").agg(F.max("target").alias("target")).collect()
+    return {r["name"]: r["target"]["standard_name"] for r in found if r["target"]}, {r["name"] for r in found}
 
 
 def harmonize(registry: DataFrame, order_by: str = "standard_name") -> Callable[[DataFrame], DataFrame]:
@@ -40,8 +42,8 @@ def harmonize(registry: DataFrame, order_by: str = "standard_name") -> Callable[
     """
 
     def apply(df: DataFrame) -> DataFrame:
-        mapping = rename_map(registry, df.columns, order_by)
-        known = known_fields(registry, df.columns) | set(SYSTEM_FIELDS) | {SOURCE}
+        mapping, listed = registry_names(registry, df.columns, order_by)
+        known = listed | set(SYSTEM_FIELDS) | {SOURCE}
         sources: dict[str, list[str]] = {}
         for name in df.columns:
             target = mapping.get(name) or (name if name in known else NONSTANDARD_PREFIX + name)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortweave.constants import EXPLICIT_IDENTIFIERS
 from cohortweave.functions.names import c
-from cohortweave.functions.values import plain_text, pseudonym, row_hash
+from cohortweave.functions.values import plain_double_sql, pseudonym, row_hash
 from cohortweave.operators.deidentify import birth_years, cap_ages, deidentify, is_identifier
 from cohortweave.operators.redact import add_noise, redact
 
@@ -63,7 +63,7 @@ def test_row_hash_formula(spark):
 def test_numbers_are_spelt_without_exponents(spark):
     values = [0.0, -0.5, 1e7, 123456789.125, 1e15, 1e16, 0.0005, 0.00012345, 1e-5, 98765432.1]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    spelt = [r[0] for r in df.select(plain_text(c("v"), df.schema["v"].dataType)).collect()]
+    spelt = [r[0] for r in df.select(F.expr(plain_double_sql("v"))).collect()]
     for value, text in zip(values, spelt):
         assert float(text) == value
         if 1e-4 <= abs(value) < 1e16:
