@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm import substring_dedup
+from cohortweave.llm import substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,3 +57,14 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(docs).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
     )
+
+
+@query()
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    held_out = toxicity.held_out(F.col("doc_id")).alias("held_out")
+    scored = toxicity.score(docs.select("doc_id", held_out, "text"), model)
+    return scored.select(
+        "doc_id", "held_out", "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    )

@@ -18,8 +18,10 @@ BLOCK_BYTES = 6_000_000
 LONG_WORD = 1_024
 
 SPACES = (0x20, *range(0x09, 0x0E))
-_IS_WORD = np.ones(256, bool)
-_IS_WORD[list(SPACES)] = False
+_BYTES = np.arange(256)
+# Bytes of words: all but white space, or ASCII letters, digits and everything beyond ASCII.
+NOT_SPACE = ~np.isin(_BYTES, SPACES)
+LETTERS = (_BYTES >= 0x80) | np.isin(_BYTES, list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -67,13 +69,13 @@ def joined(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def find_words(texts: pa.Array, lower: bool = False) -> Words:
-    """Words `[^\\x20\\x09-\\x0D]+` of every text; `lower` maps A-Z to a-z first."""
+def find_words(texts: pa.Array, lower: bool = False, of: np.ndarray = NOT_SPACE) -> Words:
+    """Words of every text, `[^\\x20\\x09-\\x0D]+` unless other bytes are given; `lower` maps A-Z to a-z first."""
     data, offsets = joined(texts)
     size = int(offsets[-1])
     if lower:
         data = _LOWER[data]
-    inside = _IS_WORD[data[:size]]
+    inside = of[data[:size]]
     begins = np.zeros(size + 1, bool)
     begins[offsets] = True
     begin, end = inside.copy(), inside.copy()
