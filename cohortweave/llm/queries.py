@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm import substring_dedup, toxicity
+from cohortweave.llm import decontaminate, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,3 +68,37 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", "held_out", "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
     )
+
+
+LETTER_WORDS = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+
+@query(rf"""
+    WITH items AS (SELECT item_id, {LETTER_WORDS} AS w FROM benchmark),
+    parts AS (
+        SELECT DISTINCT item_id, array_to_string(w[i : i + 9], ' ') AS s, least(len(w), 10) AS k
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+    docs AS (SELECT doc_id, {LETTER_WORDS} AS w FROM documents),
+    windows AS (
+        SELECT doc_id, i, k, array_to_string(w[i : i + k - 1], ' ') AS s
+        FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM docs, (SELECT DISTINCT k FROM parts))),
+    hits AS (SELECT doc_id, i, k, item_id FROM windows JOIN parts USING (k, s)),
+    words AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id),
+    found AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+""")
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
