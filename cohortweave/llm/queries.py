@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm import decontaminate, substring_dedup, toxicity
+from cohortweave.llm import decontaminate, line_dedup, mixing, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,3 +102,73 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query()
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id", "n_removed_lines", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
+    )
+
+
+# Sources are numbered; the first ten count as web crawl here, the others as books.
+DOMAIN = "CASE WHEN CAST(regexp_extract(source, '([0-9]+)$', 1) AS INT) < 10 THEN 'web' ELSE 'books' END"
+WEIGHTS = (("web", 3), ("books", 1), ("web/en", 2), ("books/en", 2))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    weights = spark.createDataFrame(list(WEIGHTS), "path string, weight long")
+    return mixing.mix(docs.withColumn("domain", F.expr(DOMAIN)), weights)
+
+
+def _budget_sql(depth: int) -> str:
+    """One level of the budget tree, after the CTE of the level above."""
+    names = ["domain", "lang", "source"][:depth]
+    parents = names[:-1]
+    parent = f"JOIN b{depth - 1} USING ({', '.join(parents)})" if parents else ", (SELECT CAST(floor(sum(n) * 0.5) AS HUGEINT) AS budget FROM docs)"
+    family = f"PARTITION BY {', '.join(parents)}" if parents else ""
+    path = " || '/' || ".join(names)
+    return f"""
+    l{depth} AS (
+        SELECT *, budget - coalesce(sum(capacity) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS remaining,
+               sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+        FROM (
+            SELECT {', '.join(names)}, {path} AS path, sum(n)::HUGEINT * 2 AS capacity, any_value(coalesce(v.weight, 1))::HUGEINT AS weight
+            FROM docs LEFT JOIN weights v ON v.path = {path} GROUP BY {', '.join(names)}) {parent}
+        WINDOW w AS ({family} ORDER BY capacity / weight, path)),
+    b{depth} AS (
+        SELECT {', '.join(names)}, CASE WHEN capacity * weights <= remaining * weight THEN capacity ELSE
+            (budget - coalesce(sum(capacity) FILTER (capacity * weights <= remaining * weight) OVER f, 0)) * weight
+            // (sum(weight) FILTER (NOT capacity * weights <= remaining * weight) OVER f) END AS budget
+        FROM l{depth} WINDOW f AS ({family}))"""
+
+
+@query(rf"""
+    WITH docs AS (
+        SELECT *, len({SPACE_WORDS})::BIGINT AS n FROM (
+            SELECT doc_id, text, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   CASE WHEN TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS INT) < 10 THEN 'web' ELSE 'books' END AS domain
+            FROM documents)
+        WHERE n > 0),
+    weights(path, weight) AS (VALUES {', '.join(map(str, WEIGHTS))}),
+    {_budget_sql(1)}, {_budget_sql(2)}, {_budget_sql(3)},
+    plan AS (
+        SELECT domain, lang, source, any_value(budget)::BIGINT // sum(n)::BIGINT AS epochs, any_value(budget)::BIGINT % sum(n)::BIGINT AS part
+        FROM docs JOIN b3 USING (domain, lang, source) GROUP BY domain, lang, source),
+    ordered AS (
+        SELECT *, sum(n) OVER (PARTITION BY domain, lang, source
+                               ORDER BY md5('mix-1:' || epochs || ':' || doc_id), doc_id) - n AS before
+        FROM docs JOIN plan USING (domain, lang, source)),
+    taken AS (
+        SELECT domain, lang, source, doc_id, text, n, unnest(range(0, epochs)) AS epoch, n AS k FROM ordered
+        UNION ALL
+        SELECT domain, lang, source, doc_id, text, n, epochs, least(n, part - before) FROM ordered WHERE before < part)
+    SELECT doc_id, domain, lang, source, epoch::BIGINT AS epoch, n AS n_words, k::BIGINT AS taken_words,
+           sha256(CASE WHEN k = n THEN text ELSE array_to_string(({SPACE_WORDS})[1 : k::BIGINT], ' ') END) AS text_sha256
+    FROM taken
+""")
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix(spark, table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")).select(
+        "doc_id", "domain", "lang", "source", "epoch", "n_words", "taken_words", F.sha2("text", 256).alias("text_sha256")
+    )
