@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm import decontaminate, line_dedup, mixing, substring_dedup, toxicity
+from cohortweave.llm import decontaminate, jaccard_join, line_dedup, mixing, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -172,3 +172,23 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix(spark, table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")).select(
         "doc_id", "domain", "lang", "source", "epoch", "n_words", "taken_words", F.sha2("text", 256).alias("text_sha256")
     )
+
+
+@query(rf"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x20\x09-\x0D]+') AS w FROM documents),
+    sets AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+    common AS (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sets x JOIN sets y USING (s) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
+    links AS (
+        SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+    reach AS (SELECT doc_id AS a, doc_id AS b FROM words UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+    FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN sizes USING (doc_id)
+""")
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
