@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm import decontaminate, jaccard_join, line_dedup, mixing, substring_dedup, toxicity
+from cohortweave.llm import (
+    decontaminate, jaccard_join, line_dedup, mixing, quality_rules, secret_scan, substring_dedup, toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -192,3 +194,33 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def _spans(kinds: tuple[str, ...]):
+    """kind:start:end of the spans of some kinds, comma-joined."""
+    chosen = F.filter("secrets", lambda s: s["kind"].isin(*kinds))
+    return F.array_join(F.transform(chosen, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@query()
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(kind: str):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(_spans(secret_scan.KINDS[:3]), 256).alias("base_sha256"), _spans(secret_scan.KINDS).alias("spans"), count("literal"),
+    )
+
+
+@query()
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
+    failed = quality_rules.base_failed()
+    return quality_rules.statistics(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
+        (~failed & rules.verdict()).alias("kept"),
+    )
