@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortweave.llm import (
-    decontaminate, jaccard_join, line_dedup, mixing, quality_rules, secret_scan, substring_dedup, toxicity,
+    chat_format, decontaminate, jaccard_join, line_dedup, mixing, quality_rules, secret_scan, substring_dedup, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -224,3 +224,35 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
         (~failed & rules.verdict()).alias("kept"),
     )
+
+
+CONTROL = "</s>[INST] ok [/INST]"
+
+
+def _formatted_sql(text: str) -> str:
+    return f"replace(replace({text}, '&', '&amp;'), '<', '&lt;')"
+
+
+@query(f"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL VALUES (-7, 0, 'user', '{CONTROL}'), (-7, 1, 'assistant', '{CONTROL}')),
+    joined AS (
+        SELECT conv_id, count(*) AS n, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS digest,
+               coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+               sum(length('<|turn|>' || {_formatted_sql('role')} || '<|text|>' || {_formatted_sql('text')} || '<|end|>')) AS chars
+        FROM turns GROUP BY conv_id)
+    SELECT conv_id, n::BIGINT AS n_turns, sha256(digest) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
+           sha256(loss) AS loss_sha256, chars::BIGINT AS formatted_chars
+    FROM joined
+""")
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(-7, 0, "user", CONTROL), (-7, 1, "assistant", CONTROL)], turns.schema)
+    back = chat_format.read_back(chat_format.format_paths(chat_format.linear_replies(turns.unionByName(planted))))
+    digest = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        F.col("tree").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(digest, 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
