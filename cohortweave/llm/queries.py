@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortweave.llm import (
-    chat_format, decontaminate, jaccard_join, line_dedup, mixing, quality_rules, secret_scan, substring_dedup, toxicity,
+    chat_format, decontaminate, html_extract, jaccard_join, line_dedup, mixing, quality_rules, secret_scan, substring_dedup, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -256,3 +256,9 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query()
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
