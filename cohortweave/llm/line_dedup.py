@@ -2,27 +2,35 @@
 
 Equal lines meet by their hash. Near ones meet by the variants with one word deleted: two lines are
 one substitution apart if they give the same variant at the same word, and one insertion apart if a
-variant of one is the other. Only lines that share their first or last words with another line can
-be near one, so only those emit variants. Every step is a grouping with partial aggregates or a join
+variant of one is the other. One edit leaves the first or the last part of a line whole, so only lines
+that share one with another line emit variants, and only without words of the other part. Every step is a grouping with partial aggregates or a join
 on hashes; no group of lines is ever brought together.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortweave.llm.decontaminate import _with
+from cohortweave.llm import by_value
+from cohortweave.llm.words import blocks, mixed
 from cohortweave.sources.workspace import stored
 
 # Shorter lines stay, and only lines of NEAR_WORDS words are compared with near ones.
 MIN_WORDS = 5
 NEAR_WORDS = 10
-# Words at either end of which one must be whole in a line with one edit.
+# Words at either end that are compared first; twice as many for each doubling of the line.
 END_WORDS = 5
 # Candidate lines (some 60 bytes each) are broadcast up to this number and joined by a shuffle beyond.
 BROADCAST_LINES = 200_000
 
+_BASE = np.uint64(0xD1342543DE82EF95)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _PLACE = ("doc_id", "line_no", "h1")
 
 
@@ -54,24 +62,70 @@ def _without(words: Column, i: Column) -> Column:
     return F.when(i == 0, words).otherwise(rest)
 
 
-def _near(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, min_words: int, near_words: int) -> DataFrame:
+def _end_words(n: Column) -> Column:
+    """Words at either end of which one end must be whole if a line of n words has one edit."""
+    return (END_WORDS * F.pow(F.lit(2), F.floor(F.log2(n / (2 * END_WORDS))))).cast("int")
+
+
+def _ends(line: Column, n: Column) -> Column:
+    """(key, k, head) of the first and the last k words; k also as a line of one word less has it."""
+
+    def of(k: Column) -> list[Column]:
+        return [
+            F.struct(
+                F.xxhash64(F.lit(head), k, F.call_function("substring_index", line, F.lit(" "), k if head else -k)).alias("key"),
+                k.alias("k"), F.lit(head).alias("head"),
+            )
+            for head in (True, False)
+        ]
+
+    shorter = F.when(n - 1 >= 2 * END_WORDS, _end_words(n - 1)).otherwise(_end_words(n))
+    return F.array_distinct(F.array(*of(_end_words(n)), *of(shorter)))
+
+
+def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of each line whole (i = 0) and without its i-th word, where that word can be the edited one."""
+    for rows in blocks(batches, "line"):
+        which, cuts, keys = [], [], []
+        heads, tails = rows.column("head_k").to_pylist(), rows.column("tail_k").to_pylist()
+        for at, line in enumerate(rows.column("line").to_pylist()):
+            words = line.split(" ")
+            n = len(words)
+            h = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+            power = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, _BASE, np.uint64)]))
+            sums = np.concatenate([[np.uint64(0)], np.cumsum(h * power[:n], dtype=np.uint64)])
+            i = np.arange(1, n + 1)
+            i = i[(i > (heads[at] or n)) | (i <= n - (tails[at] or n))]
+            # Words after the cut move up by one place.
+            cut = sums[i - 1] + (sums[n] - sums[i]) * _INVERSE
+            size = np.concatenate([[n], np.full(len(i), n - 1)]).astype(np.uint64)
+            keys.append(mixed(np.concatenate([sums[n:], cut]) + size * _BASE))
+            cuts.append(np.concatenate([[0], i]))
+            which.append(np.full(len(i) + 1, at))
+        first = rows.column("first").take(pa.array(np.concatenate(which)))
+        yield pa.RecordBatch.from_arrays(
+            [first, pa.array(np.concatenate(cuts), pa.int32()), pa.array(np.concatenate(keys).view(np.int64))], names=["first", "i", "key"]
+        )
+
+
+def _near(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
     """h1 of the lines that an earlier line is one word away from."""
-    long_enough = classes.filter(F.col("n") >= near_words)
-    ends = [long_enough.groupBy(e).agg(F.count("*").alias("_k")).filter("_k > 1").select(e) for e in ("head", "tail")]
-    found = [long_enough.join(shared, e, "left_semi").select("h1", "h2", "first") for shared, e in zip(ends, ("head", "tail"))]
-    candidates = stored(found[0].unionByName(found[1]).distinct(), "line-candidates")
-    count = candidates.count()
-    picked = F.broadcast(candidates) if count <= BROADCAST_LINES else candidates
+    ends = classes.select("h1", "h2", "first", F.explode("ends").alias("end")).select("h1", "h2", "first", "end.*")
+    shared_ends = ends.groupBy("key").agg(F.count("*").alias("_k")).filter("_k > 1").select("key")
+    candidates = stored(
+        ends.join(shared_ends, "key", "left_semi").groupBy("h1", "h2", "first")
+        .agg(F.min(F.when(F.col("head"), F.col("k"))).alias("head_k"), F.min(F.when(~F.col("head"), F.col("k"))).alias("tail_k")),
+        "line-candidates",
+    )
+    picked = F.broadcast(candidates) if candidates.count() <= BROADCAST_LINES else candidates
     texts = (
         lines_of(docs, doc_id, text, min_words).join(picked, ["h1", "h2"])
-        .filter(_place().eqNullSafe(F.col("first"))).groupBy("h1", "first").agg(F.min("line").alias("line"))
+        .filter(_place().eqNullSafe(F.col("first"))).groupBy("h1", "first", "head_k", "tail_k").agg(F.min("line").alias("line"))
     )
     texts = stored(texts, "line-texts")
 
-    variants = texts.select("first", F.explode(_with(
-        _line_words(F.col("line")),
-        lambda w: F.transform(F.sequence(F.lit(0), F.size(w)), lambda i: F.struct(i.alias("i"), F.xxhash64(_without(w, i)).alias("key"))),
-    )).alias("v")).select("first", "v.i", "v.key")
+    place = texts.schema["first"].dataType.simpleString()
+    variants = texts.select("first", "head_k", "tail_k", "line").mapInArrow(_variants, f"first {place}, i int, key long")
     by_cut = variants.groupBy("key", "i").agg(F.min("first").alias("earliest"), F.count("*").alias("k"))
     shared = by_cut.groupBy("key").agg(
         F.sum("k").alias("k"),
@@ -108,17 +162,10 @@ def removed_lines(
     if near_words < 2 * END_WORDS:
         raise ValueError(f"near lines need at least {2 * END_WORDS} words")
     lines = lines_of(docs, doc_id, text, min_words)
-    tokens = _line_words(F.col("line"))
-    ends = _with(tokens, lambda w: F.struct(
-        F.xxhash64(F.slice(w, F.lit(1), F.lit(END_WORDS))).alias("head"),
-        F.xxhash64(F.slice(w, F.size(w) - END_WORDS + 1, F.lit(END_WORDS))).alias("tail"),
-    ))
-    classes = lines.groupBy("h1", "h2").agg(
-        F.min(_place()).alias("first"), F.count("*").alias("places"), F.min("n").alias("n"),
-        F.min(F.when(F.col("n") >= near_words, ends)).alias("ends"),
-    ).select("h1", "h2", "first", "places", "n", "ends.head", "ends.tail")
+    ends = F.when(F.col("n") >= near_words, _ends(F.col("line"), F.col("n")))
+    classes = lines.groupBy("h1", "h2").agg(F.min(_place()).alias("first"), F.count("*").alias("places"), F.first(ends).alias("ends"))
     classes = stored(classes, "line-classes")
-    near = _near(docs, classes, doc_id, text, min_words, near_words).withColumn("near", F.lit(True))
+    near = _near(docs, classes, doc_id, text, min_words).withColumn("near", F.lit(True))
     matter = (
         classes.join(near, "h1", "left").filter((F.col("places") > 1) | F.col("near"))
         .select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
@@ -144,3 +191,6 @@ def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     cleaned = F.when(nos.isNull(), source).otherwise(kept)
     columns = [cleaned.alias(c) if c == text else F.col(f"d.`{c}`") for c in docs.columns]
     return joined.select(*columns, F.coalesce(F.size(nos), F.lit(0)).cast("long").alias("n_removed_lines"))
+
+
+by_value(__name__)
