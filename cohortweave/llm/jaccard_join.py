@@ -36,6 +36,8 @@ PIVOT_ROUNDS = 3
 # shingles, so that frequent ones come last; any order is exact.
 SLOT_BITS = 21
 _CHUNKS = 64
+# A set's sketch counts its shingles by their leading bits.
+SKETCH_BITS = 6
 # Ids (8 bytes each) that are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 # Documents that one group measures against a pivot, about.
@@ -140,8 +142,12 @@ def _prefixer(percent: int, ranks: bytes):
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [zstandard.compress((t or "").encode(), 3) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(texts, pa.binary())], names=["node", "packed"])
+        for rows in blocks([batch], "text"):
+            packed = [zstandard.compress((t or "").encode(), 3) for t in rows.column("text").to_pylist()]
+            sets = shingle_sets(find_words(rows.column("text"), lower=True))
+            sketch = [np.bincount((s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS) for s in sets]
+            columns = [rows.column("node"), pa.array(packed, pa.binary()), pa.array([s.tolist() for s in sketch], pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "packed", "sketch"])
 
 
 def _measurer(percent: int):
@@ -169,7 +175,7 @@ def _measured(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     size = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / GROUP_DOCS).cast("int").alias("parts"))
     members = pairs.join(size, "pivot").select("pivot", "node", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
     pivots = size.select("pivot", F.col("pivot").alias("node"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    rows = members.unionByName(pivots).join(texts, "node")
+    rows = members.unionByName(pivots).join(texts.select("node", "packed"), "node")
     found = rows.groupBy("pivot", "part").applyInPandas(_measurer(percent), "pivot long, node long, distance double, linked boolean")
     return stored(found, "distances")
 
@@ -194,37 +200,45 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     regions = entries.groupBy("region").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
     members = stored(entries.join(regions.select("region"), "region", "left_semi").distinct(), "members")
 
-    wanted = members.select("node").distinct().join(nodes, "node").select("node", "least", "n")
-    wanted = stored(wanted, "wanted")
+    degrees = members.groupBy("node").agg(F.count("*").alias("degree"))
+    wanted = stored(degrees.join(nodes, "node").select("node", "least", "n", "degree"), "wanted")
     ids = wanted.select("node", F.col("least").alias("doc_id"))
     picked = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     same_id = docs.join(picked, docs["doc_id"].eqNullSafe(picked["doc_id"])).select("node", "text")
-    texts = stored(same_id.mapInArrow(_packed, "node long, packed binary"), "texts")
+    texts = stored(same_id.mapInArrow(_packed, "node long, packed binary, sketch array<int>"), "texts")
 
     links, component = None, None
-    members = members.join(wanted.select("node", "n"), "node").withColumn("distance", F.lit(None).cast("double"))
+    members = members.join(wanted.select("node", "n", "degree"), "node")
     for _ in range(PIVOT_ROUNDS):
-        labelled = _labelled(members, component)
+        # The member that shares most of its regions stands nearest to the middle of a group.
+        labelled = _labelled(members.drop("pivot"), component)
         split = labelled.groupBy("region").agg(
-            F.min(F.struct("node", "n", "component")).alias("pivot"), F.min("component").alias("low"), F.max("component").alias("high")
+            F.min(F.struct((-F.col("degree")).alias("rank"), "node", "n", "component")).alias("pivot"),
+            F.min("component").alias("low"), F.max("component").alias("high"),
         ).filter("low < high").select("region", "pivot")
         rest = stored(
             labelled.join(split, "region").filter(F.col("node") != F.col("pivot.node"))
-            .select("region", "node", "n", "component", F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("pivot_n"), F.col("pivot.component").alias("pivot_component")),
+            .select("region", "node", "n", "degree", (F.col("component") != F.col("pivot.component")).alias("apart"), F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("pivot_n")),
             "regions",
         )
-        pairs = rest.filter((F.col("component") != F.col("pivot_component")) & _sizes("n", "pivot_n", percent)).select("pivot", "node").distinct()
+        pairs = rest.filter(F.col("apart") & _sizes("n", "pivot_n", percent)).select("pivot", "node").distinct()
         measured = _measured(pairs, texts, percent)
-        members = rest.select("region", "node", "n", "pivot").join(measured.select("pivot", "node", "distance"), ["pivot", "node"], "left").drop("pivot")
         links, component = _linked(links, measured)
-    left = stored(_labelled(members, component), "regions")
+        members = rest.select("region", "node", "n", "degree", "pivot")
+    left = _labelled(members, component)
     split = left.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    left = left.join(split.select("region"), "region", "left_semi")
+    left = left.join(split.select("region"), "region", "left_semi").join(
+        measured.select("pivot", "node", "distance"), ["pivot", "node"], "left"
+    ).join(texts.select("node", "sketch"), "node")
+    left = stored(left, "regions")
     x, y = left.alias("x"), left.alias("y")
     window = F.coalesce(F.abs(F.col("x.distance") - F.col("y.distance")) <= (100 - percent) / 100 + 1e-9, F.lit(True))
+    # Sets of similarity s differ in at most (1 - s) / (1 + s) of their sizes' sum, and no less than their sketches.
+    differ = F.aggregate(F.zip_with("x.sketch", "y.sketch", lambda a, b: F.abs(a - b)), F.lit(0), lambda t, d: t + d)
     crossing = (
         (F.col("x.region") == F.col("y.region")) & (F.col("x.node") < F.col("y.node"))
         & (F.col("x.component") != F.col("y.component")) & _sizes("x.n", "y.n", percent) & window
+        & (differ * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent))
     )
     pairs = x.join(y, crossing).select(F.col("x.node").alias("pivot"), F.col("y.node").alias("node")).distinct()
     _, component = _linked(links, _measured(pairs, texts, percent))
