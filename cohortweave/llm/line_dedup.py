@@ -126,6 +126,8 @@ def _near(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, min_words
 
     place = texts.schema["first"].dataType.simpleString()
     variants = texts.select("first", "head_k", "tail_k", "line").mapInArrow(_variants, f"first {place}, i int, key long")
+    met = variants.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key")
+    variants = stored(variants.join(met, "key", "left_semi"), "line-variants")
     by_cut = variants.groupBy("key", "i").agg(F.min("first").alias("earliest"), F.count("*").alias("k"))
     shared = by_cut.groupBy("key").agg(
         F.sum("k").alias("k"),
