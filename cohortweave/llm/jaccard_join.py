@@ -124,7 +124,7 @@ def _prefixer(percent: int, ranks: bytes):
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank, seen = np.frombuffer(ranks, np.uint8), set()
         for rows in blocks(batches, "text"):
-            hashes, nodes = [], []
+            hashes, nodes, places = [], [], []
             for s in shingle_sets(find_words(rows.column("text"), lower=True)):
                 node = _fingerprint(s)
                 if len(s) and node not in seen:
@@ -132,9 +132,11 @@ def _prefixer(percent: int, ranks: bytes):
                     order = np.argsort(rank[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)], kind="stable")
                     hashes.append(s[order[: prefix_length(len(s), percent)]])
                     nodes.append(np.full(len(hashes[-1]), node, np.int64))
+                    places.append(np.arange(len(hashes[-1]), dtype=np.int32))
             if nodes:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(nodes))], names=["region", "node"]
+                    [pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(places))],
+                    names=["region", "node", "place"],
                 )
 
     return prefixes
@@ -196,7 +198,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     ranks = _ranks(surveyed).tobytes()
     nodes = listed.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"), F.min("n_shingles").alias("n"))
 
-    entries = docs.select("text").mapInArrow(_prefixer(percent, ranks), "region long, node long")
+    entries = docs.select("text").mapInArrow(_prefixer(percent, ranks), "region long, node long, place int")
     regions = entries.groupBy("region").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
     members = stored(entries.join(regions.select("region"), "region", "left_semi").distinct(), "members")
 
@@ -218,13 +220,13 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         ).filter("low < high").select("region", "pivot")
         rest = stored(
             labelled.join(split, "region").filter(F.col("node") != F.col("pivot.node"))
-            .select("region", "node", "n", "degree", (F.col("component") != F.col("pivot.component")).alias("apart"), F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("pivot_n")),
+            .select("region", "node", "place", "n", "degree", (F.col("component") != F.col("pivot.component")).alias("apart"), F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("pivot_n")),
             "regions",
         )
         pairs = rest.filter(F.col("apart") & _sizes("n", "pivot_n", percent)).select("pivot", "node").distinct()
         measured = _measured(pairs, texts, percent)
         links, component = _linked(links, measured)
-        members = rest.select("region", "node", "n", "degree", "pivot")
+        members = rest.select("region", "node", "place", "n", "degree", "pivot")
     left = _labelled(members, component)
     split = left.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
     left = left.join(split.select("region"), "region", "left_semi").join(
@@ -235,9 +237,12 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     window = F.coalesce(F.abs(F.col("x.distance") - F.col("y.distance")) <= (100 - percent) / 100 + 1e-9, F.lit(True))
     # Sets of similarity s differ in at most (1 - s) / (1 + s) of their sizes' sum, and no less than their sketches.
     differ = F.aggregate(F.zip_with("x.sketch", "y.sketch", lambda a, b: F.abs(a - b)), F.lit(0), lambda t, d: t + d)
+    # Two sets share no shingle before their first common one, so in that region enough must follow it in both.
+    enough = percent * (F.col("x.n") + F.col("y.n"))
+    follow = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) * (100 + percent)
     crossing = (
         (F.col("x.region") == F.col("y.region")) & (F.col("x.node") < F.col("y.node"))
-        & (F.col("x.component") != F.col("y.component")) & _sizes("x.n", "y.n", percent) & window
+        & (F.col("x.component") != F.col("y.component")) & _sizes("x.n", "y.n", percent) & window & (follow >= enough)
         & (differ * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent))
     )
     pairs = x.join(y, crossing).select(F.col("x.node").alias("pivot"), F.col("y.node").alias("node")).distinct()
