@@ -64,19 +64,22 @@ def paths(messages: DataFrame) -> DataFrame:
             *keys, "parent", "score", F.coalesce("_i", "id").alias("start"), F.when(F.col("_i").isNull(), 0).otherwise(1).cast("long").alias("steps")
         ), "jumps",
     )
+    settled, moving = jumps.filter("steps = 0 AND start IS NOT NULL"), jumps.filter("steps > 0")
     while True:
-        to = jumps.select(F.col("tree").alias("_t"), F.col("id").alias("_i"), F.col("start").alias("_start"), F.col("steps").alias("_steps"))
+        to = settled.unionByName(moving).select(
+            F.col("tree").alias("_t"), F.col("id").alias("_i"), F.col("start").alias("_start"), F.col("steps").alias("_steps")
+        )
         at = F.col("tree").eqNullSafe(F.col("_t")) & (F.col("start") == F.col("_i"))
         further = stored(
-            jumps.join(to, at).select(*keys, "parent", "score", F.col("_start").alias("start"), (F.col("steps") + F.col("_steps")).alias("steps"), (F.col("_steps") > 0).alias("moved")),
+            moving.join(to, at).select(*keys, "parent", "score", F.col("_start").alias("start"), (F.col("steps") + F.col("_steps")).alias("steps"), (F.col("_steps") > 0).alias("moved")),
             "jumps",
         )
-        jumps = further.drop("moved")
-        # On a cycle of only replies there is no start: steps outgrow the number of messages.
-        if further.filter("moved").filter(F.col("steps") <= F.lit(nodes.count())).isEmpty():
+        settled = settled.unionByName(further.filter("NOT moved").drop("moved"))
+        moving = further.filter("moved").drop("moved")
+        # On a cycle of only replies there is no start: steps outgrow the number of messages, and its messages never settle.
+        if moving.filter(F.col("steps") <= F.lit(nodes.count())).isEmpty():
             break
-    jumps = jumps.join(further.filter("moved").select("tree", "id").distinct().withColumnRenamed("tree", "_t").withColumnRenamed("id", "_i"),
-                       F.col("tree").eqNullSafe(F.col("_t")) & (F.col("id") == F.col("_i")), "left_anti")
+    jumps = settled
     segments = jumps.groupBy("tree", "start").agg(
         F.sum("score").alias("total"), F.count("*").alias("length"), F.max(F.struct("steps", "id"))["id"].alias("last"),
         F.max(F.when(F.col("steps") == 0, F.col("parent"))).alias("above"),
