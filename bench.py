@@ -18,7 +18,7 @@ from cohortweave import checks  # noqa: E402
 HEADLINE = (
     "gold_outer_join", "flatten_wide", "find_participants", "row_positions", "provenance_hash", "column_profile",
     "outliers", "categorical_profile", "quality_issues", "cohort_describe", "correlations", "bundle_flatten",
-    "observation_pivot", "registry_lookup", "fuzzy_search", "fuzzy_search_blocks", "laplace_noise",
+    "observation_pivot", "registry_lookup", "fuzzy_search", "variable_search_fuzzy", "laplace_noise",
     "manifest_rollup", "status_counts", "incremental_ingest",
 )
 WARM_RUNS = int(os.environ.get("BENCH_WARM_RUNS", "3"))

@@ -296,10 +296,10 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry = spark.createDataFrame(
         [("event_id", "Event")], "original_variable_name string, standard_name string"
     )
-    checkpoint = None
+    checkpoint = new_folder(spark, "checkpoint")
     for step in (0, 1):
         events.filter(c("event_id") % 2 == step).write.mode("append").parquet(source)
-        checkpoint = ingest_new_files(
+        ingest_new_files(
             spark, source, target, harmonize(registry), schema=events.schema, checkpoint=checkpoint
         )
     return spark.read.parquet(target).drop("batch")

@@ -161,13 +161,21 @@ MISSPELT = "smal widgett"
 """)
 def fuzzy_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best five are the feature."""
-    return variables.close_matches(table(spark, sf_dir, "part"), "p_name", MISSPELT, similarity="edit")
+    return variables.close_matches(table(spark, sf_dir, "part"), "p_name", MISSPELT)
 
 
-@query()
-def fuzzy_search_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Matching-blocks similarity has no SQL form; it is tested against brute force."""
-    return variables.close_matches(table(spark, sf_dir, "part"), "p_name", MISSPELT)
+@query(f"""
+    WITH names AS (
+        SELECT p_name, count(*) AS n,
+               1 - levenshtein(p_name, '{MISSPELT}')::DOUBLE / greatest(length(p_name), {len(MISSPELT)}) AS score
+        FROM part GROUP BY p_name),
+    best AS (SELECT * FROM names WHERE score >= 0.6 ORDER BY score DESC, p_name DESC LIMIT 5),
+    used AS (SELECT p_name, sum(n) OVER (ORDER BY score DESC, p_name DESC) - n AS before FROM best)
+    SELECT DISTINCT p_brand FROM part WHERE p_name IN (SELECT p_name FROM used WHERE before < 5)
+""")
+def variable_search_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No name matches the misspelt keyword, so the most similar ones stand in."""
+    return variables.search_variables(table(spark, sf_dir, "part"), MISSPELT, "p_name", "p_brand")
 
 
 @query("SELECT DISTINCT p_brand FROM part")

@@ -47,9 +47,17 @@ def extension(name: Column) -> Column:
     )
 
 
+def plain_root(root: str) -> str:
+    """A folder as listings spell it: without a trailing slash, and local ones without scheme or authority."""
+    plain = root.rstrip("/")
+    if plain.startswith("file:"):
+        plain = "/" + plain.removeprefix("file:").lstrip("/")
+    return plain
+
+
 def relative_to(path: Column, root: str) -> Column:
     """The part of the path below the root folder; null outside of it."""
-    prefix = root.rstrip("/") + "/"
+    prefix = plain_root(root) + "/"
     inside = F.locate(prefix, path)
     return F.when(inside > 0, F.substring(path, inside + len(prefix), F.length(path)))
 

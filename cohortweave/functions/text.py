@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import difflib
 from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,30 +31,3 @@ def edit_similarity(left: Column, right: Column) -> Column:
     """1 - edit distance / length of the longer text."""
     longest = F.greatest(F.length(left), F.length(right))
     return F.lit(1.0) - F.try_divide(F.levenshtein(left, right).cast("double"), longest.cast("double"))
-
-
-def sequence_similarity_bound(text: Column, keyword: str) -> Column:
-    """Upper bound of `sequence_similarity` from the characters both texts share."""
-    lengths = F.length(text) + F.lit(len(keyword))
-    shared = F.lit(0)
-    for char in sorted(set(keyword)):
-        occurrences = F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
-        shared = shared + F.least(occurrences, F.lit(keyword.count(char)))
-    return F.when(lengths == 0, F.lit(1.0)).otherwise(F.lit(2.0) * shared / lengths)
-
-
-def sequence_similarity(text: Column, keyword: str) -> Column:
-    """Matching-blocks ratio of each text to the keyword."""
-
-    @F.pandas_udf("double")
-    def ratio(texts: pd.Series) -> pd.Series:
-        matcher = difflib.SequenceMatcher()
-        matcher.set_seq2(keyword)
-
-        def one(value: str) -> float:
-            matcher.set_seq1(value)
-            return matcher.ratio()
-
-        return texts.map(one, na_action="ignore").astype("float64")
-
-    return ratio(text)

@@ -13,10 +13,8 @@ from cohortweave.constants import HASH, KEYS, MODALITY, SOURCE, SYSTEM_FIELDS, U
 from cohortweave.functions.names import c, literal, quoted
 from cohortweave.operators.ordering import HOT_FLOOR, GroupSizes, measure_groups, row_index
 
-# Position of a row of the wide form inside its subject-session: 0 unless a group is wider than the table.
+# Position of a row of the wide form inside its subject-session: 0 unless a width was asked for that some group exceeds.
 CHUNK = "_chunk"
-# Wide tables are kept below about this many columns when the width is taken from the data.
-MAX_COLUMNS = 2_000
 
 
 @dataclass(frozen=True)
@@ -25,6 +23,8 @@ class Layout:
 
     variables: Mapping[str, Sequence[str]]
     width: Mapping[str, int]
+    # Whether some group has more records than a row holds.
+    chunked: bool = False
 
     @property
     def modalities(self) -> list[str]:
@@ -64,18 +64,18 @@ def nest(
     """One row per subject and session with an ordered array of records per modality.
 
     Null keys form groups like any other value. All modalities are brought together by one
-    grouping over one shuffle, which equals their full outer join on the keys. An array never
-    holds more than the modality's width: a longer group goes on in a further row, counted by
-    `_chunk`, so a hot subject is spread over rows and tasks and nothing is left out.
-
-    Without a width, the largest group in the data sets it, as far as `MAX_COLUMNS` allows.
+    grouping over one shuffle, which equals their full outer join on the keys. Without a width,
+    every subject and session is one row, as wide as the largest group. A width is for storing very
+    long groups: a group that exceeds it goes on in further rows, counted by `_chunk`, and
+    `operators.select.matching` still answers per subject and session.
     """
     tagged = silver.withColumn(MODALITY, F.coalesce(c(MODALITY), F.lit(UNKNOWN_MODALITY))).filter(
         c(MODALITY).isin(list(variables))
     )
     group = [*keys, MODALITY]
     sizes = measure_groups(tagged, group, floor, by=MODALITY)
-    layout = Layout(variables, _widths(variables, sizes, width))
+    widths = _widths(variables, sizes, width)
+    layout = Layout(variables, widths, any(sizes.largest_by.get(m, 0) > w for m, w in widths.items()))
 
     indexed = row_index(tagged, group, order_by, sizes=sizes, distribute_by=keys)
     width_of = reduce(
@@ -102,8 +102,7 @@ def _widths(
     elif width is not None:
         asked = dict(width)
     else:
-        share = MAX_COLUMNS // max(1, sum(len(names) for names in variables.values()))
-        asked = {m: min(largest, max(2, share)) for m, largest in sizes.largest_by.items()}
+        asked = dict(sizes.largest_by)
     # A width of one cannot tell the only row of a group from the first of several.
     return {m: 1 if sizes.largest_by.get(m, 0) <= 1 else max(2, asked.get(m, 2)) for m in variables}
 
@@ -129,7 +128,12 @@ def widen(nested: DataFrame, layout: Layout, keys: Sequence[str] = KEYS) -> Data
             for variable in variables:
                 add(f"NOT ({single})", f"get({records}, {slot}).{quoted(variable)}", f"{modality}.{variable}_{slot}")
         add(f"size({records}) > 0", literal(modality), f"{modality}._modality")
-    return nested.selectExpr(*[quoted(k) for k in keys], CHUNK, *columns)
+    return nested.selectExpr(*[quoted(k) for k in keys], CHUNK, *columns).withMetadata(CHUNK, {"chunked": layout.chunked})
+
+
+def is_chunked(df: DataFrame) -> bool:
+    """Whether a wide table may hold several rows of one subject and session."""
+    return CHUNK in df.columns and bool(df.schema[CHUNK].metadata.get("chunked", True))
 
 
 def hash_order(df: DataFrame, keys: Sequence[str] = KEYS) -> list:

@@ -8,10 +8,11 @@ from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from cohortweave.constants import HASH, KEYS, NONSTANDARD_PREFIX, PARTICIPANT
 from cohortweave.functions.names import c, quoted, split_qualified
-from cohortweave.operators.flatten import CHUNK
+from cohortweave.operators.flatten import CHUNK, is_chunked
 from cohortweave.operators.lookups import lookup_join
 
 logger = logging.getLogger(__name__)
@@ -44,21 +45,49 @@ def only_participants(df: DataFrame, participants: Sequence[str] | DataFrame | N
     return lookup_join(df, listed, [PARTICIPANT], how="left_semi")
 
 
+def _located(df: DataFrame, name: str) -> tuple[str, int | None] | None:
+    """(column, chunk) of a variable of the wide form: record i of a chunked table stands in chunk i div width."""
+    base, _, index = name.rpartition("_")
+    if not base or not index.isdigit() or f"{base}_0" not in df.columns:
+        return (name, None) if name in df.columns else None
+    start = f"{base}_"
+    width = sum(n.startswith(start) and n[len(start) :].isdigit() for n in df.columns)
+    return f"{base}_{int(index) % width}", int(index) // width
+
+
 def matching(df: DataFrame, filters: Mapping[str, tuple[str, Any]]) -> DataFrame:
-    """Rows that satisfy all `column: (operator, value)` conditions; null never does.
+    """Rows whose subject and session satisfy all `column: (operator, value)` conditions; null never does.
+
+    Indexed columns count the records of the whole subject and session. Where these take several
+    rows, conditions are tested on the row that holds the record and combined per subject and
+    session, whose rows are all kept or all dropped.
 
     Operators are '>', '<', '==' and 'contains' (a regular expression, ignoring case). A column
     that does not exist is skipped with a warning.
     """
     conditions = []
+    chunked = is_chunked(df)
     for name, (operator, value) in filters.items():
-        if name not in df.columns:
+        found = _located(df, name) if chunked else (name, None) if name in df.columns else None
+        if found is None:
             logger.warning("Column %s not found; condition skipped.", name)
             continue
         if operator not in _OPERATORS:
             raise ValueError(f"unknown operator {operator!r}; known: {sorted(_OPERATORS)}")
-        conditions.append(_OPERATORS[operator](c(name), value))
-    return df.filter(reduce(lambda a, b: a & b, conditions)) if conditions else df
+        column, chunk = found
+        condition = _OPERATORS[operator](c(column), value)
+        conditions.append(condition if chunk is None else condition & (c(CHUNK) == chunk))
+    if not conditions:
+        return df
+    if not chunked:
+        return df.filter(reduce(lambda a, b: a & b, conditions))
+    keys = [k for k in KEYS if k in df.columns]
+    met = [F.max(F.coalesce(x, F.lit(False))).alias(f"_met_{i}") for i, x in enumerate(conditions)]
+    per_key = df.groupBy(*[c(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(*met).filter(
+        reduce(lambda a, b: a & b, [F.col(f"_met_{i}") for i in range(len(met))])
+    )
+    same = reduce(lambda a, b: a & b, [c(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    return df.join(per_key, same, "left_semi")
 
 
 def _select(df: DataFrame, wanted: Iterable[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortweave.functions.names import c
@@ -72,7 +72,8 @@ def mark_processed_by_name(manifest: DataFrame, silver_names: DataFrame) -> Data
         starts = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
         return F.transform(starts, lambda i: F.substring(name, i, F.lit(length)))
 
-    every = F.array_distinct(F.flatten(F.array(*[substrings(c("name"), n) for n in lengths])))
+    none = F.array().cast("array<string>")  # without a processable file there is no length
+    every = F.array_distinct(F.flatten(F.array(none, *[substrings(c("name"), n) for n in lengths])))
     parts = silver_names.select("name").distinct().select(F.explode(every).alias("_stem")).distinct()
     found = stems.join(parts, "_stem", "left_semi").select(c("_stem"), F.lit(True).alias("_done"))
     joined = lookup_join(manifest.withColumn("_stem", stem(c("filename"))), found, ["_stem"])
@@ -81,14 +82,14 @@ def mark_processed_by_name(manifest: DataFrame, silver_names: DataFrame) -> Data
 
 
 def status_counts(marked: DataFrame) -> DataFrame:
-    """Counts per subject, and in the row with a null subject the totals over all of them."""
-    per_subject = marked.groupBy("subject_id").agg(*_tallies())
-    totals = per_subject.agg(
-        F.lit(None).cast("string").alias("subject_id"),
-        F.count(F.lit(1)).alias("subjects"),
-        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("total_files", "processable", "processed", "pending", "skipped")],
-    )
-    return per_subject.withColumn("subjects", F.lit(1).cast("bigint")).unionByName(totals)
+    """Counts per subject, and in the row with a null subject the totals over all of them, by one rollup.
+
+    A table without files has the row of totals alone.
+    """
+    counted = marked.rollup("subject_id").agg(*_tallies(), F.grouping("subject_id").alias("_total"))
+    per_subject = F.count_if(c("_total") == 0).over(Window.partitionBy())
+    named = counted.withColumn("subjects", F.when(c("_total") == 1, per_subject).otherwise(F.lit(1)).cast("bigint"))
+    return named.select("subject_id", "subjects", *[n for n in counted.columns if n not in ("subject_id", "_total")])
 
 
 def _tallies() -> list[Column]:

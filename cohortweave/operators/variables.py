@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +20,7 @@ from cohortweave.constants import (
     SCHEMA_MESSAGE,
 )
 from cohortweave.functions.names import c
-from cohortweave.functions.text import edit_similarity, sequence_similarity, sequence_similarity_bound
+from cohortweave.functions.text import edit_similarity
 from cohortweave.operators.lookups import first_per_key, lookup_join
 
 
@@ -30,22 +30,14 @@ def close_matches(
     keyword: str,
     n: int = FUZZY_MATCHES,
     cutoff: float = FUZZY_CUTOFF,
-    similarity: str = "sequence",
 ) -> DataFrame:
     """(name, rows, score) of the names most similar to the keyword, best first, ties by later name.
 
-    Equal names are scored once. `similarity` is 'sequence' (matching blocks, scored in Python
-    batches after a JVM-side upper bound has removed hopeless names) or 'edit' (edit distance).
-    Rows count: repeated names use up places among the `n` best.
+    Similarity is one less the edit distance as a share of the longer text; equal names are scored
+    once. Rows count: repeated names use up places among the `n` best.
     """
     names = df.filter(c(column).isNotNull()).groupBy(c(column).alias("name")).agg(F.count(F.lit(1)).alias("rows"))
-    if similarity == "sequence":
-        likely = names.filter(sequence_similarity_bound(c("name"), keyword) >= cutoff)
-        scored = likely.withColumn("score", sequence_similarity(c("name"), keyword))
-    elif similarity == "edit":
-        scored = names.withColumn("score", edit_similarity(c("name"), F.lit(keyword)))
-    else:
-        raise ValueError(f"unknown similarity {similarity!r}")
+    scored = names.withColumn("score", edit_similarity(c("name"), F.lit(keyword)))
     return scored.filter(c("score") >= cutoff).orderBy(F.desc("score"), F.desc("name")).limit(n)
 
 
@@ -55,7 +47,6 @@ def search_variables(
     search_column: str = "standard_name",
     output_column: str = "original_variable_name",
     fuzzy: bool = True,
-    similarity: str = "sequence",
 ) -> DataFrame:
     """Distinct variable names whose search column matches the keyword (a regular expression).
 
@@ -65,12 +56,10 @@ def search_variables(
         return registry.select(c(output_column)).distinct()
     strict = registry.filter(c(search_column).rlike("(?i)" + keyword))
     if fuzzy and strict.isEmpty():
-        taken, matches = 0, []
-        for row in close_matches(registry, search_column, keyword, similarity=similarity).collect():
-            if taken < FUZZY_MATCHES:
-                matches.append(row["name"])
-                taken += row["rows"]
-        strict = registry.filter(c(search_column).isin(matches))
+        best = close_matches(registry, search_column, keyword).withColumn(
+            "_before", F.sum("rows").over(Window.orderBy(F.desc("score"), F.desc("name"))) - F.col("rows")
+        )  # a handful of names
+        strict = registry.join(best.filter(F.col("_before") < FUZZY_MATCHES), c(search_column) == F.col("name"), "left_semi")
     return strict.select(c(output_column)).distinct()
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,7 +12,7 @@ from cohortweave.constants import HASH, KEYS, MODALITY, SOURCE, UNKNOWN_MODALITY
 from cohortweave.functions.names import c
 from cohortweave.functions.values import row_hash
 from cohortweave.operators.deidentify import deidentify, is_birth, undated_births
-from cohortweave.operators.flatten import Layout, hash_order, nest, variables_by_modality, widen
+from cohortweave.operators.flatten import CHUNK, Layout, hash_order, nest, variables_by_modality, widen
 from cohortweave.operators.ordering import HOT_FLOOR
 
 
@@ -51,9 +51,18 @@ def build_gold(
     nested, layout = gold_nested(silver, order_by, variables, width, keys=keys, floor=floor)
     wide = widen(nested, layout, keys)
     hashed = wide.withColumn(HASH, row_hash(hash_order(wide, keys)))
+    if layout.chunked:
+        hashed = _hash_of_all_chunks(hashed, keys)
     return hashed.transform(deidentify(keep, _undated(silver, layout)))
 
 
+def _hash_of_all_chunks(wide: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One hash per subject and session: of its chunks' hashes in order where it has several."""
+    chunks = F.array_sort(F.collect_list(F.struct(CHUNK, HASH)).over(Window.partitionBy(*[c(k) for k in keys])))
+    joined = F.array_join(F.transform(chunks, lambda x: x[HASH]), "")
+    return wide.withColumn(HASH, F.when(F.size(chunks) > 1, F.sha2(joined, 256)).otherwise(c(HASH)))
+
+
 def _undated(silver: DataFrame, layout: Layout) -> set[str]:
     """Wide names of text birth variables without any date, found in the harmonized rows.
 

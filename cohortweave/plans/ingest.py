@@ -5,16 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import date
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.constants import MODALITY, SOURCE, UNKNOWN_MODALITY
+from cohortweave.constants import MODALITY, OMICS_MARKERS, SOURCE, UNKNOWN_MODALITY
 from cohortweave.functions.names import c
 from cohortweave.functions.paths import relative_to
 from cohortweave.operators.fhir import flatten_bundles
-from cohortweave.operators.lookups import is_small
 from cohortweave.operators.modalities import TAGGERS, harmonize_modality
 from cohortweave.operators.status import mark_processed, of_subject, processable, subject_manifests
 from cohortweave.sources import bronze
@@ -23,80 +23,84 @@ from cohortweave.sources.tables import read_silver as read_plugin_silver
 from cohortweave.sources.tables import write_silver
 from cohortweave.sources.workspace import stored
 
-# Longer file lists are not collected: folders are searched by the readers instead.
-MAX_LISTED_FILES = 100_000
+# Files that one read lists; more of them are several reads of the same table.
+FILES_PER_READ = 20_000
+BAD_RECORDS = "_bad_records"
 
 
 @dataclass
 class IngestReport:
-    """What an ingest found and did. `errors` maps a plugin to why its job failed."""
+    """What an ingest found and did. `errors` maps a plugin to why its job failed.
+
+    `silver` has the tables as written; `bad_records` (plugin, file, record) what no table holds.
+    """
 
     manifest: DataFrame
     summary: DataFrame
     status: str
     silver: dict[str, DataFrame] = field(default_factory=dict)
     errors: dict[str, str] = field(default_factory=dict)
+    bad_records: DataFrame | None = None
 
 
 @dataclass(frozen=True)
 class Scan:
-    """Files of one plugin and suffix below one directory: listed, or a folder to search."""
+    """Files of one plugin and suffix below one directory."""
 
     suffix: str
     paths: list[str]
-    options: dict[str, str] = field(default_factory=dict)
 
 
-def plan_scans(manifest: DataFrame, plugin: str, bronze_root: str, max_files: int = MAX_LISTED_FILES) -> list[Scan]:
-    """What to read for a plugin, per first-level directory and suffix.
+def plan_scans(manifest: DataFrame, plugin: str, files_per_read: int = FILES_PER_READ) -> list[Scan]:
+    """The selected files of a plugin, per first-level directory and suffix, in path order.
 
-    Up to `max_files` files are listed. Beyond, their folders are searched by the readers: CSV and
-    Parquet files are routed by folder or suffix alone, and bundles are told from other JSON
-    documents when they are read. Other JSON files are routed by content and must be listed.
+    Exactly the files of the manifest are read, whatever their number: the readers list them anyway.
     """
-    files = manifest.filter(c("plugin") == plugin)
-    kinds = files.select("modality_dir", "extension").distinct().orderBy("modality_dir", "extension").collect()
-    if is_small(files.select("path"), max_files):
-        listed = files.select("modality_dir", "extension", "path").orderBy("path").collect()
-        return [
-            Scan(k["extension"], [r["path"] for r in listed if (r["modality_dir"], r["extension"]) == tuple(k)])
-            for k in kinds
-        ]
-    if plugin != "ehr" and any(k["extension"] == ".json" for k in kinds):
-        raise ValueError(f"more than {max_files} JSON files for {plugin}: read them with `read_json` and a schema")
-    return [
-        Scan(
-            k["extension"],
-            [f"{bronze_root.rstrip('/')}/{k['modality_dir']}"],
-            {"recursiveFileLookup": "true", "pathGlobFilter": f"*{k['extension']}"},
-        )
-        for k in kinds
-    ]
+    files = manifest.filter(c("plugin") == plugin).select("modality_dir", "extension", "path")
+    groups: dict[tuple[str, str], list[list[str]]] = {}
+    for row in files.orderBy("modality_dir", "extension", "path").toLocalIterator():
+        batches = groups.setdefault((row["modality_dir"], row["extension"]), [[]])
+        if len(batches[-1]) == files_per_read:
+            batches.append([])
+        batches[-1].append(row["path"])
+    return [Scan(suffix, paths) for (_, suffix), batches in groups.items() for paths in batches]
+
+
+def _csv_groups(spark: SparkSession, scan: Scan) -> list[list[str]]:
+    """The files of a scan by their header."""
+    layouts = stored(bronze.csv_layouts(spark, scan.paths), "csv-layouts")
+    by_header: dict[str, list[str]] = {}
+    for row in layouts.orderBy("header", "file").toLocalIterator():  # no more rows than the scan has files
+        by_header.setdefault(row["header"], []).append(row["file"])
+    return list(by_header.values())
 
 
 def read_scan(
     spark: SparkSession, plugin: str, scan: Scan, as_of: Column, registry: DataFrame
-) -> list[DataFrame]:
-    """Raw rows of one scan; CSV files are read apart where their headers differ."""
+) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Raw rows of one scan, and its bad records; files whose layouts differ are read apart."""
     if plugin == "ehr":
-        bundles = bronze.read_bundles(spark, scan.paths, options=scan.options)
+        bundles = bronze.read_bundles(spark, scan.paths)
         named = bundles.withColumn("_path", c(SOURCE).getField("file"))
-        return [flatten_bundles(named, registry, as_of, path="_path", keep=[SOURCE]).drop("_path")]
+        return [flatten_bundles(named, registry, as_of, path="_path", keep=[SOURCE]).drop("_path")], []
     if scan.suffix == ".parquet":
-        return [bronze.read_parquet(spark, scan.paths, options=scan.options)]
+        return _by_marker(bronze.read_parquet(spark, scan.paths)), []
     if scan.suffix == ".json":
-        return [bronze.read_json(spark, scan.paths, options=scan.options)]
-    layouts = stored(bronze.csv_layouts(spark, scan.paths, options=scan.options), "csv-layouts")
-    headers = [row["header"] for row in layouts.select("header").distinct().orderBy("header").collect()]
-    lines = {"multi_line": plugin == "nlp"}
-    if len(headers) == 1:
-        return [bronze.read_csv(spark, scan.paths, options=scan.options, **lines)]
-    return [
-        bronze.read_csv(
-            spark, [row["file"] for row in layouts.filter(c("header") == header).orderBy("file").collect()], **lines
-        )
-        for header in headers
-    ]
+        return [bronze.read_json(spark, scan.paths)], []
+    groups = _csv_groups(spark, scan)
+    return [bronze.read_csv(spark, paths) for paths in groups], [bronze.csv_bad_records(spark, paths) for paths in groups]
+
+
+def _by_marker(raw: DataFrame) -> list[DataFrame]:
+    """Rows apart by the first marker column that they fill, where files of several kinds share a folder.
+
+    Each part loses the marker columns before its own, which its rows do not fill.
+    """
+    present = [marker for marker, _ in OMICS_MARKERS if marker in raw.columns]
+    if len(present) < 2:
+        return [raw]
+    kind = F.coalesce(*[F.when(c(m).isNotNull(), F.lit(m)) for m in present], F.lit(present[0]))
+    return [raw.filter(kind == m).drop(*present[:i]) for i, m in enumerate(present)]
 
 
 def to_silver(df: DataFrame, plugin: str, registry: DataFrame) -> DataFrame:
@@ -109,11 +113,16 @@ def to_silver(df: DataFrame, plugin: str, registry: DataFrame) -> DataFrame:
 
 def harmonize_files(
     spark: SparkSession, plugin: str, scans: list[Scan], registry: DataFrame, as_of: date | Column | None = None
-) -> DataFrame:
-    """All files of one plugin as one harmonized table."""
+) -> tuple[DataFrame, DataFrame | None]:
+    """All files of one plugin as one harmonized table, and the records that could not be read."""
     day = F.current_date() if as_of is None else F.lit(as_of)
-    raw = [table for scan in scans for table in read_scan(spark, plugin, scan, day, registry)]
-    return union_by_name([to_silver(table, plugin, registry) for table in raw])
+    raw, bad = [], []
+    for scan in scans:
+        tables, broken = read_scan(spark, plugin, scan, day, registry)
+        raw += tables
+        bad += broken
+    broken = reduce(DataFrame.unionByName, bad).withColumn("plugin", F.lit(plugin)) if bad else None
+    return union_by_name([to_silver(table, plugin, registry) for table in raw]), broken
 
 
 def union_by_name(tables: list[DataFrame]) -> DataFrame:
@@ -146,7 +155,7 @@ def ingest(
     harmonized rows yet are added. A dry run only returns the manifest. A plugin whose job fails
     is reported and does not stop the others.
     """
-    manifest = of_subject(discover(spark, bronze_root), subject)
+    manifest = stored(of_subject(discover(spark, bronze_root), subject), "manifest")
     summary = subject_manifests(manifest)
     if dry_run:
         return IngestReport(manifest, summary, "dry_run")
@@ -155,18 +164,25 @@ def ingest(
         done = read_silver(spark, silver_root)
         if done is not None:
             todo = mark_processed(todo, silver_files(done, bronze_root)).filter(~c("processed"))
+    todo = stored(todo, "todo")
     plugins = [r["plugin"] for r in todo.select("plugin").distinct().orderBy("plugin").collect()]
     if not plugins:
         return IngestReport(manifest, summary, "no_processable_clinical_files")
     report = IngestReport(manifest, summary, "processed")
-    scans = {plugin: plan_scans(todo, plugin, bronze_root) for plugin in plugins}
+    mode = "overwrite" if subject is None else "append"
+    found = []
     for plugin in plugins:
         try:
-            silver = harmonize_files(spark, plugin, scans[plugin], registry, as_of)
-            write_silver(silver, f"{silver_root}/{plugin}", mode="overwrite" if subject is None else "append")
-            report.silver[plugin] = silver
+            silver, broken = harmonize_files(spark, plugin, plan_scans(todo, plugin), registry, as_of)
+            write_silver(silver, f"{silver_root}/{plugin}", mode=mode)
+            report.silver[plugin] = read_plugin_silver(spark, f"{silver_root}/{plugin}")
+            found += [] if broken is None else [broken]
         except Exception as error:  # one plugin's bad files must not stop the others
             report.errors[plugin] = str(error).splitlines()[0]
+    if found:
+        target = f"{silver_root}/{BAD_RECORDS}"
+        reduce(DataFrame.unionByName, found).write.mode(mode).parquet(target)
+        report.bad_records = spark.read.parquet(target)
     return report
 
 

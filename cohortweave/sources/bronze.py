@@ -84,18 +84,53 @@ def read_csv(
     types: Mapping[str, str] | None = None,
     *,
     tokens: Iterable[str] = RAW_NA,
-    multi_line: bool = False,
+    multi_line: bool = True,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """CSV files of one layout with a header. Pass `types` to save the inference pass.
 
-    `multi_line` allows line breaks inside quotes, at the price of files that cannot be split.
+    `multi_line` allows line breaks inside quotes, at the price of files that cannot be split. A
+    record with more fields than the header is left out; `csv_bad_records` lists it.
     """
-    raw = (
-        spark.read.options(header=True, escape='"', multiLine=multi_line, enforceSchema=False, **(options or {}))
-        .csv(paths)
+    raw = _raw_csv(spark, paths, multi_line, options)
+    good = raw.filter(~_too_long(raw)).drop(_CORRUPT)
+    return typed(good, types, tokens)
+
+
+def csv_bad_records(
+    spark: SparkSession, paths: str | Sequence[str], *, multi_line: bool = True, options: Mapping[str, str] | None = None
+) -> DataFrame:
+    """(file, record, parsed) of the records that have more fields than the header of their file.
+
+    `parsed` is what the columns of the header would hold, as JSON.
+    """
+    raw = _raw_csv(spark, paths, multi_line, options)
+    columns = [c(n) for n in raw.columns if n not in (_CORRUPT, SOURCE)]
+    return raw.filter(_too_long(raw)).select(
+        c(SOURCE).getField("file").alias("file"), c(_CORRUPT).alias("record"), F.to_json(F.struct(*columns)).alias("parsed")
     )
-    return typed(raw.select(*[c(n) for n in raw.columns], source_of_row()), types, tokens)
+
+
+_CORRUPT = "_corrupt_record"
+
+
+def _raw_csv(
+    spark: SparkSession, paths: str | Sequence[str], multi_line: bool, options: Mapping[str, str] | None
+) -> DataFrame:
+    """All columns as text, with the record itself where its number of fields is not the header's."""
+    settings = {"header": True, "escape": '"', "multiLine": multi_line, "enforceSchema": False, **(options or {})}
+    names = [f for f in spark.read.options(**settings).csv(paths).schema]
+    schema = T.StructType([*(T.StructField(f.name, T.StringType()) for f in names), T.StructField(_CORRUPT, T.StringType())])
+    raw = spark.read.options(**settings, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT).schema(schema).csv(paths)
+    return raw.select(*[c(n) for n in raw.columns], source_of_row())
+
+
+def _too_long(raw: DataFrame) -> Column:
+    """Whether a record has a field beyond the last column; shorter ones are only filled with nulls."""
+    width = len(raw.columns) - 2
+    wider = ", ".join(f"f{i} string" for i in range(width + 1))
+    beyond = F.from_csv(c(_CORRUPT), wider, {"escape": '"', "multiLine": "true", "mode": "PERMISSIVE"}).getField(f"f{width}")
+    return F.coalesce(c(_CORRUPT).isNotNull() & beyond.isNotNull(), F.lit(False))
 
 
 def csv_layouts(spark: SparkSession, paths: str | Sequence[str], options: Mapping[str, str] | None = None) -> DataFrame:

@@ -14,18 +14,45 @@ from cohortweave.operators.variables import categorical_levels
 from cohortweave.sources.bronze import nulls_for_tokens
 
 
+# Types that a later run may find otherwise: such columns are stored as text, their types beside them.
+_LOOSE = {"bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
+_TYPES = "_types"
+
+
 def write_silver(df: DataFrame, path: str, mode: str = "append") -> None:
     """Harmonized rows, one folder per modality so that readers of one modality skip the others.
 
-    Columns that hold nothing at all in any row and have no type are left out.
+    Numbers and truth values are stored as text together with the type this run found, so runs that
+    find different types for a column can be read together. Columns that hold nothing at all in any
+    row and have no type are left out.
     """
-    typed = [f.name for f in df.schema if not isinstance(f.dataType, T.NullType)]
-    df.select(*[c(n) for n in typed]).write.mode(mode).partitionBy(MODALITY).parquet(path)
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema if not isinstance(f.dataType, T.NullType)}
+    loose = {n: k for n, k in kinds.items() if k in _LOOSE and n != MODALITY}
+    stored = [c(n).cast("string").alias(n) if n in loose else c(n) for n in kinds]
+    df.select(*stored).write.mode(mode).partitionBy(MODALITY).parquet(path)
+    rows = [(n, k) for n, k in kinds.items() if k in _LOOSE or k == "string"]
+    df.sparkSession.createDataFrame(rows, "name string, type string").coalesce(1).write.mode("append").json(f"{path}/{_TYPES}")
 
 
 def read_silver(spark: SparkSession, path: str, tokens: Iterable[str] = CLINICAL_NA) -> DataFrame:
-    """Harmonized rows of all modalities; columns a modality lacks are null."""
-    return nulls_for_tokens(spark.read.option("mergeSchema", True).parquet(path), tokens)
+    """Harmonized rows of all modalities; columns a modality lacks are null.
+
+    A column has the type that all runs agree on: integers become fractions where a run found some,
+    anything else that differs stays text.
+    """
+    raw = nulls_for_tokens(spark.read.option("mergeSchema", True).parquet(path), tokens)
+    found: dict[str, set[str]] = {}
+    # One row per column and run.
+    for row in spark.read.schema("name string, type string").json(f"{path}/{_TYPES}").distinct().collect():
+        found.setdefault(row["name"], set()).add(row["type"])
+
+    def agreed(name: str) -> str | None:
+        kinds = found.get(name, set())
+        if kinds == {"bigint", "double"}:
+            return "double"
+        return next(iter(kinds)) if len(kinds) == 1 and kinds <= set(_LOOSE) else None
+
+    return raw.select(*[c(n).try_cast(t).alias(n) if (t := agreed(n)) else c(n) for n in raw.columns])
 
 
 def write_gold(df: DataFrame, path: str, mode: str = "overwrite") -> None:

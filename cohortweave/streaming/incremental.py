@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from cohortweave.sources.workspace import new_folder
-
 
 def ingest_new_files(
     spark: SparkSession,
@@ -17,7 +15,7 @@ def ingest_new_files(
     transform: Callable[[DataFrame], DataFrame],
     *,
     schema: T.StructType | str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     file_format: str = "parquet",
     options: dict[str, str] | None = None,
     max_files_per_batch: int = 10_000,
@@ -27,7 +25,6 @@ def ingest_new_files(
     The checkpoint remembers finished files. Each batch writes to a folder of its own below the
     target and replaces it, so a batch that is repeated after a failure leaves no duplicates.
     """
-    checkpoint = checkpoint or new_folder(spark, "incremental")
     stream = (
         spark.readStream.format(file_format)
         .schema(schema)

@@ -116,19 +116,48 @@ def test_subject_and_dry_run(spark, raw, registry, tmp_path):
     assert {r[0] for r in read_silver(spark, target).select("participant_id").distinct().collect()} == {"sub-01", "sub-02"}
 
 
-@pytest.mark.parametrize("plugin", ["omics", "assessments", "nlp", "ehr"])
-def test_searched_folders_give_the_rows_of_listed_files(spark, raw, registry, plugin):
-    manifest = discover(spark, raw)
-    listed = harmonize_files(spark, plugin, plan_scans(manifest, plugin, raw), registry, AS_OF)
-    searched = harmonize_files(spark, plugin, plan_scans(manifest, plugin, raw, max_files=0), registry, AS_OF)
-    compared = [n for n in listed.columns if n != "_source"]
-    assert sorted(map(str, listed.select(*[F.col(f"`{n}`") for n in compared]).collect())) == sorted(
-        map(str, searched.select(*[F.col(f"`{n}`") for n in compared]).collect()))
-
-
-def test_long_lists_of_wearable_documents_are_refused(spark, raw):
-    with pytest.raises(ValueError, match="JSON files"):
-        plan_scans(discover(spark, raw), "wearables", raw, max_files=0)
+@pytest.mark.parametrize("plugin", ["omics", "assessments", "nlp", "ehr", "wearables"])
+def test_rows_do_not_depend_on_the_files_per_read(spark, raw, registry, plugin):
+    manifest = discover(spark, raw).filter("subject_id <> 'sub-02'") if plugin != "ehr" else discover(spark, raw)
+    one, _ = harmonize_files(spark, plugin, plan_scans(manifest, plugin), registry, AS_OF)
+    many, _ = harmonize_files(spark, plugin, plan_scans(manifest, plugin, files_per_read=1), registry, AS_OF)
+    compared = [n for n in one.columns if n != "_source"]
+    assert sorted(map(str, one.select(*[F.col(f"`{n}`") for n in compared]).collect())) == sorted(
+        map(str, many.select(*[F.col(f"`{n}`") for n in compared]).collect()))
+
+
+def test_subjects_whose_types_differ_are_read_together(spark, registry, tmp_path):
+    root = tmp_path / "bronze" / "assessments"
+    root.mkdir(parents=True)
+    (root / "sub-01_a.csv").write_text("mood,code\n3,7\n")
+    (root / "sub-02_a.csv").write_text("mood,code\n2.5,x\n")
+    silver = str(tmp_path / "silver")
+    for subject in ("sub-01", "sub-02"):
+        assert ingest(spark, f"file://{tmp_path}/bronze", silver, registry, subject=subject).errors == {}
+    rows = read_silver(spark, silver).orderBy("participant_id").collect()
+    assert [(r["nonstandard_mood"], r["nonstandard_code"]) for r in rows] == [(3.0, "7"), (2.5, "x")]
+
+
+def test_records_that_do_not_fit_are_reported(spark, registry, tmp_path):
+    root = tmp_path / "bronze" / "assessments"
+    root.mkdir(parents=True)
+    (root / "sub-01_a.csv").write_text('mood,note\n3,"two\nlines"\n4,a,b\n5\n')
+    report = ingest(spark, str(tmp_path / "bronze"), str(tmp_path / "silver"), registry)
+    assert report.errors == {}
+    assert sorted((r["nonstandard_mood"], r["nonstandard_note"]) for r in report.silver["assessments"].fillna("-").collect()) == [
+        (3, "two\nlines"), (5, "-")]
+    (bad,) = report.bad_records.collect()
+    assert (bad["plugin"], bad["record"]) == ("assessments", "4,a,b") and bad["file"].endswith("sub-01_a.csv")
+
+
+def test_each_row_of_a_mixed_folder_has_its_own_kind(spark, registry, tmp_path):
+    root = tmp_path / "bronze" / "omics"
+    root.mkdir(parents=True)
+    pd.DataFrame({"rsid": ["rs1"], "genotype": ["AA"]}).to_parquet(root / "sub-01_g.parquet")
+    pd.DataFrame({"protein_id": ["P1"], "abundance": [1.5]}).to_parquet(root / "sub-01_p.parquet")
+    report = ingest(spark, str(tmp_path / "bronze"), str(tmp_path / "silver"), registry)
+    kinds = {(r["nonstandard_rsid"], r["modality_category"]) for r in report.silver["omics"].collect()}
+    assert kinds == {("rs1", "genomics"), (None, "proteomics")}
 
 
 def test_one_bad_plugin_does_not_stop_the_others(spark, raw, registry, tmp_path, monkeypatch):

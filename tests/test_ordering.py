@@ -6,9 +6,11 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from cohortweave.constants import HASH
 from cohortweave.operators.flatten import CHUNK
 from cohortweave.operators.lookups import lookup_join
 from cohortweave.operators.ordering import measure_groups, row_index
+from cohortweave.operators.select import matching
 from cohortweave.plans.gold import build_gold, gold_nested
 
 
@@ -95,6 +97,21 @@ def test_longer_groups_go_on_in_further_rows(spark):
     assert rows["p1", "s1", 1]["survey._modality"] is None
 
 
+@pytest.mark.parametrize("width", [None, 2])
+def test_conditions_hold_per_subject_and_session_at_any_width(spark, width):
+    gold = build_gold(silver(spark), ["seq"], width=width)
+    found = matching(gold, {"genomics.g_2": ("==", "C"), "genomics.g_0": ("==", "A")})
+    assert {(r["participant_id"], r["visit_session"]) for r in found.collect()} == {("p1", "s1")}
+    assert matching(gold, {"genomics.g_0": ("==", "C")}).isEmpty()
+    hashes = gold.filter("participant_id = 'p1' AND visit_session = 's1'").select(HASH).distinct().collect()
+    assert len(hashes) == 1
+
+
+def test_one_row_per_subject_and_session_without_a_width(spark):
+    gold = build_gold(silver(spark), ["seq"])
+    assert gold.count() == gold.select("participant_id", "visit_session").distinct().count()
+
+
 @pytest.mark.parametrize("floor", [1_000_000, 10])
 def test_no_value_is_lost_with_a_hot_subject(spark, floor):
     df, data = skewed(spark, 2000)
