@@ -21,10 +21,12 @@ from cohortweave.llm import by_value
 from cohortweave.llm.words import blocks, mixed
 from cohortweave.sources.workspace import stored
 
-# Shorter lines stay, and only lines of NEAR_WORDS words are compared with near ones.
+# By default shorter lines stay, and only lines of NEAR_WORDS words are compared with near ones.
 MIN_WORDS = 5
 NEAR_WORDS = 10
-# Words at either end that are compared first; twice as many for each doubling of the line.
+# With `short_lines` no line stays for its length, and near ones are compared from so many words on.
+SHORT_NEAR_WORDS = 5
+# Words at either end that are compared first; twice as many for each doubling of the line, half (rounded down) below.
 END_WORDS = 5
 # Candidate lines (some 60 bytes each) are broadcast up to this number and joined by a shuffle beyond.
 BROADCAST_LINES = 200_000
@@ -38,15 +40,20 @@ def _line_words(line: Column) -> Column:
     return F.split(line, " ")
 
 
-def lines_of(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
-    """Lines of at least `min_words` words, trimmed, with their hashes and place."""
+def lines_of(docs: DataFrame, doc_id: str, text: str, min_words: int | None) -> DataFrame:
+    """Lines of at least `min_words` words, trimmed, with their hashes and place.
+
+    Without a number these are all lines that are not blank, and tabs separate words as spaces do.
+    """
     source = F.col(text)
+    raw = F.col("raw") if min_words is not None else F.translate("raw", "\t", " ")
     lines = docs.select(
         F.col(doc_id).alias("doc_id"), F.xxhash64(source).alias("text_hash"),
         F.posexplode(F.split(F.coalesce(source, F.lit("")), "\n")).alias("line_no", "raw"),
-    ).select("doc_id", "text_hash", "line_no", F.trim("raw").alias("line"))
+    ).select("doc_id", "text_hash", "line_no", F.trim(raw).alias("line"))
     n = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
-    return lines.filter(n >= min_words).select(
+    long_enough = n >= min_words if min_words is not None else F.trim(F.translate("line", "\r\x0b\x0c", "   ")) != ""
+    return lines.filter(long_enough).select(
         "doc_id", "text_hash", "line_no", "line", F.xxhash64("line").alias("h1"),
         F.xxhash64(F.lit(1), "line").alias("h2"), n.alias("n"),
     )
@@ -67,7 +74,7 @@ def _end_words(n: Column) -> Column:
     return (END_WORDS * F.pow(F.lit(2), F.floor(F.log2(n / (2 * END_WORDS))))).cast("int")
 
 
-def _ends(line: Column, n: Column) -> Column:
+def _ends(line: Column, n: Column, near_words: int) -> Column:
     """(key, k, head) of the first and the last k words; k also as a line of one word less has it."""
 
     def of(k: Column) -> list[Column]:
@@ -79,7 +86,7 @@ def _ends(line: Column, n: Column) -> Column:
             for head in (True, False)
         ]
 
-    shorter = F.when(n - 1 >= 2 * END_WORDS, _end_words(n - 1)).otherwise(_end_words(n))
+    shorter = F.when(n - 1 >= near_words, _end_words(n - 1)).otherwise(_end_words(n))
     return F.array_distinct(F.array(*of(_end_words(n)), *of(shorter)))
 
 
@@ -108,7 +115,7 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _near(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
+def _near(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, min_words: int | None) -> DataFrame:
     """h1 of the lines that an earlier line is one word away from."""
     ends = classes.select("h1", "h2", "first", F.explode("ends").alias("end")).select("h1", "h2", "first", "end.*")
     shared_ends = ends.groupBy("key").agg(F.count("*").alias("_k")).filter("_k > 1").select("key")
@@ -152,6 +159,7 @@ def _near(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, min_words
 
 def removed_lines(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS,
+    short_lines: bool = False,
 ) -> DataFrame:
     """(doc_id, text_hash, line_nos): the lines to remove of each document that loses any.
 
@@ -159,12 +167,16 @@ def removed_lines(
     the order of doc_id (null first) and position. A line of `min_words` words or more goes if an
     equal line comes earlier; one of `near_words` words also if any earlier line of as many words
     becomes equal by replacing, adding or deleting one word, whether or not that line itself goes.
-    Equal rows are one document: they lose the same lines.
+    Equal rows are one document: they lose the same lines. With `short_lines`, instead of both numbers,
+    every line that is not blank goes if an equal one comes earlier, those of SHORT_NEAR_WORDS words
+    also by the edit, and tabs count as spaces.
     """
     if near_words < 2 * END_WORDS:
         raise ValueError(f"near lines need at least {2 * END_WORDS} words")
+    if short_lines:
+        min_words, near_words = None, SHORT_NEAR_WORDS
     lines = lines_of(docs, doc_id, text, min_words)
-    ends = F.when(F.col("n") >= near_words, _ends(F.col("line"), F.col("n")))
+    ends = F.when(F.col("n") >= near_words, _ends(F.col("line"), F.col("n"), near_words))
     classes = lines.groupBy("h1", "h2").agg(F.min(_place()).alias("first"), F.count("*").alias("places"), F.first(ends).alias("ends"))
     classes = stored(classes, "line-classes")
     near = _near(docs, classes, doc_id, text, min_words).withColumn("near", F.lit(True))

@@ -109,7 +109,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return line_dedup.dedup_lines(docs).select(
+    return line_dedup.dedup_lines(docs, short_lines=True).select(
         "doc_id", "n_removed_lines", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
     )
 

@@ -1,5 +1,8 @@
+import hashlib
+
 import pytest
 
+from cohortweave.llm import queries
 from cohortweave.llm.line_dedup import MIN_WORDS, NEAR_WORDS, dedup_lines, removed_lines
 
 
@@ -77,3 +80,45 @@ def test_nulls_ties_extra_columns_and_empty_table(spark):
     assert dedup_lines(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         removed_lines(df, near_words=9)
+
+
+def brute_all_lines(docs: list[tuple]) -> list[tuple]:
+    """As brute, with every line that is not blank, near ones from 5 words on, and tabs as spaces."""
+    seen: list[list[str]] = []
+    exact: set[str] = set()
+    out = []
+    for doc_id, text in sorted(docs):
+        kept = []
+        for raw in text.split("\n"):
+            line = raw.replace("\t", " ").strip(" ")
+            words = line.split(" ")
+            gone = bool(line.strip("\r\x0b\x0c ")) and line in exact
+            if len(words) >= 5:
+                gone = gone or any(one_edit(words, s) for s in seen if abs(len(s) - len(words)) < 2)
+                if line not in exact:
+                    seen.append(words)
+            exact.add(line)
+            if not gone:
+                kept.append(raw)
+        out.append((doc_id, "\n".join(kept), len(text.split("\n")) - len(kept)))
+    return out
+
+
+def test_short_lines(spark):
+    ten = "one two three four five six seven eight nine ten"
+    docs = [
+        (1, "short line\nshort line\n\n\n \t\n"), (2, "short line\nshort lines\n一行没有空格的文字"), (3, "一行没有空格的文字\none\ttwo three"),
+        (4, "one two three\none two three four five"), (5, "one two 3 four five\ntwo three four five\none two three four five six"),
+        (6, "a b c d e f g h i"), (7, "a b c d e f g h i j\na b c d x f g h i"), (8, ten), (9, ten.replace("five ", "")), (10, "\r\n\r"),
+        (11, "x a b c d e f g h i j"), (12, "a b C D e"), (13, "a b c D e\na B C D e\nA B c D e"),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = [tuple(r) for r in dedup_lines(df, short_lines=True).orderBy("doc_id").collect()]
+    assert got == brute_all_lines(docs)
+    assert [r[2] for r in got] == [1, 1, 1, 1, 2, 0, 2, 0, 1, 0, 1, 0, 2]
+
+
+def test_query_removes_short_lines(spark, sf):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    expected = {(d, n, hashlib.sha256(text.encode()).hexdigest()) for d, text, n in brute_all_lines(rows)}
+    assert {tuple(r) for r in queries.op6_line_dedup(spark, sf).collect()} == expected
