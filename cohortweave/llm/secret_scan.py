@@ -1,7 +1,7 @@
 """Secrets in texts: fixed patterns, and literals assigned to names that sound secret.
 
 An assignment-aware lexer reads name-literal pairs of source and configuration syntax (`name = "x"`,
-`name: x`, `NAME=x`, `"name": "x"`, `name := 'a' + 'b'`), follows names that stand for literals read
+`name: x`, `NAME=x`, `"name": "x"`, `name := 'a' + 'b'`, `name: type = "x"`, `["name"] = "x"`), follows names that stand for literals read
 before, and scores each literal by the name it ends up in.
 """
 
@@ -35,14 +35,23 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # maximal runs; shorter ones fail
 
 _QUOTED = r'"(?:[^"\\\n]|\\.)*+"|' + r"'(?:[^'\\\n]|\\.)*+'"
 _TERM = rf"(?:{_QUOTED}|\$\{{?[A-Za-z_][A-Za-z0-9_]*+\}}?|[A-Za-z0-9+/_.~-]++=*+)"
-_PAIR = re.compile(rf"(?<![A-Za-z0-9_$.-])([A-Za-z_$][A-Za-z0-9_$.-]{{0,63}})[\"']?[ \t]*(?::=|=>|[:=])[ \t]*({_TERM})")
+# A declared type: a name with arguments in brackets, alternatives after |, and the marks of references and optional ones.
+_ONE_TYPE = (
+    r"[&*]?(?:'[a-z]++[ \t]+)?(?:mut[ \t]+)?[A-Za-z_][A-Za-z0-9_.]*+"
+    r"(?:\[(?:[^\[\]\n=]|\[[^\[\]\n=]*+\])*+\]|<[^<>\n=]*+>)*+[?!]?"
+)
+_TYPE = rf"{_ONE_TYPE}(?:[ \t]*\|[ \t]*{_ONE_TYPE})*+"
+_PAIR = re.compile(
+    r"(?<![A-Za-z0-9_$.-])([A-Za-z_$][A-Za-z0-9_$.-]*+)[\"']?(?:[ \t]*\])?[ \t]*"
+    rf"(?:\??:[ \t]*({_TYPE})[ \t]*=(?![=>])|:=|=>|[:=])[ \t]*({_TERM})"
+)
 _MORE = re.compile(rf"[ \t]*\+[ \t]*({_TERM})")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 # How strongly a part of a name speaks for a secret.
 NAME_WEIGHTS = {
     "password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "secret": 1.0, "token": 1.0, "apikey": 1.0,
-    "credential": 1.0, "credentials": 1.0, "private": 0.7, "auth": 0.7, "key": 0.7, "access": 0.5, "salt": 0.5,
+    "credential": 1.0, "credentials": 1.0, "private": 0.7, "auth": 0.7, "key": 0.7, "access": 0.65, "salt": 0.65,
 }
 _PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|none|null|true|false|change_?me|example.*|your.*|todo|placeholder.*|<.*>)$")
 
@@ -64,10 +73,10 @@ def literal_weight(literal: str) -> float:
 
 def assigned_literals(text: str) -> Iterator[tuple[float, int, int]]:
     """(score, start, end) of each literal, scored by the most secret name that it reaches."""
-    known: dict[str, tuple[str, int, int]] = {}
+    known: dict[str, tuple[str, list[tuple[int, int]]]] = {}
     at = 0
     while found := _PAIR.search(text, at):
-        terms, end = [(found[2], found.start(2), found.end(2))], found.end(2)
+        terms, end = [(found[3], found.start(3), found.end(3))], found.end(3)
         while more := _MORE.match(text, end):
             terms.append((more[1], more.start(1), more.end(1)))
             end = more.end(1)
@@ -76,14 +85,15 @@ def assigned_literals(text: str) -> Iterator[tuple[float, int, int]]:
         for term, start, stop in terms:
             if term[0] in "\"'":
                 value, spans = value + term[1:-1], [*spans, (start + 1, stop - 1)]
-            elif (name := term.strip("${}")) in known:  # a constant: its literal counts where it was written
-                literal, start, stop = known[name]
-                value, spans = value + literal, [*spans, (start, stop)]
+            elif (name := term.strip("${}")) in known:  # a constant: its literals count where they were written
+                value, spans = value + known[name][0], [*spans, *known[name][1]]
             elif term[0] != "$":
                 value, spans = value + term, [*spans, (start, stop)]
         if spans:
-            known[found[1]] = (value, *spans[0])
-            score = name_weight(found[1]) * literal_weight(value)
+            spans = list(dict.fromkeys(spans))
+            known[found[1]] = (value, spans)
+            # What stands where a type does may be the name itself, as in `Cookie: auth_key=x`.
+            score = max(name_weight(found[1]), name_weight(found[2] or "")) * literal_weight(value)
             yield from ((score, start, stop) for start, stop in spans)
 
 

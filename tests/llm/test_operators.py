@@ -33,6 +33,23 @@ def test_secret_lexer():
     assert secret_scan.find_secrets("ﬁ AKIAABCDEFGHIJ1234 0123456789abcdef") == [("access", 2, 20), ("hex", 21, 37)]
 
 
+@pytest.mark.parametrize("text", [
+    "spring.security.oauth2.client.registration." + "provider." * 9 + "credentials.private-key=@",
+    'password: str = "@"', 'const apiKey: string = "@"', "let db_password: &'static str = \"@\"", 'val token: String? = "@"',
+    'key: Optional[list[str]] = "@"', 'os.environ["DB_PASSWORD"] = "@"', "conf['db'][ 'passwd' ] = '@'",
+    'salt = "@"', 'access: "@"', "Cookie: auth_key=@",
+])
+def test_secret_names(text):
+    text = text.replace("@", "q7Rk2pZx9vLm4TsW")
+    assert "q7Rk2pZx9vLm4TsW" in [text[a:b] for k, a, b in secret_scan.find_secrets(text) if k == "literal"]
+
+
+def test_secret_constant_keeps_all_its_parts():
+    text = 'a = "q7Rk2pZx" + "9vLm4TsW"\nb = a + "Yd5N"\npassword = b\n'
+    assert [text[a:b] for _, a, b in secret_scan.find_secrets(text)] == ["q7Rk2pZx", "9vLm4TsW", "Yd5N"]
+    assert secret_scan.find_secrets("password == abcd1234efgh; x: name = colour1234567\n") == []
+
+
 def test_scan_odd_rows(spark, odd):
     out = secret_scan.scan(odd, redacted=True)
     assert out.count() == 8 and out.filter(F.size("secrets") > 0).count() == 0
