@@ -105,6 +105,18 @@ def test_main_text_of_plain_layouts():
     assert html_extract.main_text("<body><p>out</p><article><p>in<article><p>too") == "in too"
 
 
+def test_article_text_is_not_cut():
+    text = html_extract.main_text
+    for drawing in ("<svg viewBox='0 0 1 1'/>", "<svg><path d=''/></svg>", "<svg>", "<svg/><object data='x'/>"):
+        assert text(f"<article><p>a{drawing} b</p><p>c</p></article>") == "a b c"
+    assert text("<article><svg/><p>a</p><svg><text>no</text></svg><p>b</article>") == "a b"
+    assert text("<article>if <math><mi>x</mi><mspace/><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> then") == "if x=2 then"
+    assert text('<article class="post has-sidebar"><section id="related-work">a</section><p class="notice">b<div class="share-prices">c</div>') == "a b c"
+    assert text('<div role="main" class="page-widget"><p>a</div>') == "a"
+    assert text('<div class="has-sidebar"><p>a</p><div class="share-prices">b</div><div class="comment-list">no</div></div>') == "a b"
+    assert text('<div class="sidebar"><article><p>a b c d</article></div><p>e') == "a b c d"
+
+
 def test_template_text_is_left_out(spark):
     rows = [(i, f"http://h.example/{i}", PAGE.replace("First", f"Nr {i}")) for i in range(5)] + [(9, None, None), (9, "x", PAGE)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("template", F.lit(1))
