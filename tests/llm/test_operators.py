@@ -126,6 +126,15 @@ def test_template_text_is_left_out(spark):
     assert html_extract.extract_text(df.limit(0)).count() == 0
 
 
+def test_template_text_is_left_out_of_articles(spark):
+    html = "<nav>Menu</nav><article><h1>Nr {}</h1><p>Same <b>words</b></p><p>Body {} <b>words</b></p></article>"
+    rows = [(i, f"http://h.example/{i}", html.format(i, i)) for i in range(4)]
+    rows += [(i, f"http://copies.example/{i}", html.format(0, 0)) for i in range(4, 8)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = [r["text"] for r in html_extract.extract_text(df).orderBy("page_id").collect()]
+    assert out == [f"Nr {i} Body {i} words" for i in range(4)] + ["Nr 0 Same words Body 0 words"] * 4
+
+
 def test_reply_tree_takes_the_best_branch(spark):
     rows = [
         ("t", 1, None, "user", "q", 0.0), ("t", 2, 1, "assistant", "bad", 0.1), ("t", 3, 1, "assistant", "<|end|>&lt;", 0.9),
