@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortweave.llm import (
-    chat_format, decontaminate, html_extract, jaccard_join, line_dedup, mixing, quality_rules, secret_scan, substring_dedup, toxicity,
+    chat_format, decontaminate, html_extract, jaccard_join, line_dedup, mixing, quality_rules, secret_scan, spelling,
+    substring_dedup, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -262,3 +263,44 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_extract.extract_text(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query(r"""
+    WITH RECURSIVE crc AS (
+        SELECT list_transform(range(256), lambda i: list_reduce(
+            list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+    runs AS (
+        SELECT doc_id, run, count(*) AS k, hex(encode(doc_id || ':' || run)) AS bytes
+        FROM (SELECT doc_id, unnest(regexp_extract_all(
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+              FROM documents)
+        WHERE length(run) >= 7 GROUP BY doc_id, run),
+    hashed AS (
+        SELECT run, k, xor(list_reduce(
+            list_prepend(4294967295, list_transform(range(length(bytes) // 2), lambda i: ('0x' || substr(bytes, 2 * i + 1, 2))::BIGINT)),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+        FROM runs, crc),
+    words AS MATERIALIZED (
+        SELECT word, sum(k)::BIGINT AS n
+        FROM (SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM hashed)
+        WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+    variants AS (
+        SELECT word, n, 0 AS i, word AS v FROM words
+        UNION ALL SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)),
+    near AS (
+        SELECT DISTINCT x.word, x.n, y.word AS near, y.n AS near_n
+        FROM variants x JOIN variants y USING (v) WHERE x.word <> y.word AND (x.i = y.i OR x.i = 0 OR y.i = 0)),
+    best AS (
+        SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS form, max(near_n) AS form_n FROM near GROUP BY word),
+    forms AS MATERIALIZED (
+        SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN form_n >= 10 * n THEN form END AS form,
+               CASE WHEN form_n >= 10 * n THEN form_n END::BIGINT AS form_n
+        FROM words LEFT JOIN best USING (word)),
+    steps AS (
+        SELECT word, word AS root, form AS next FROM forms
+        UNION ALL SELECT s.word, f.word, f.form FROM steps s JOIN forms f ON f.word = s.next)
+    SELECT word, form, root, n, n_near, form_n FROM forms JOIN steps USING (word) WHERE next IS NULL
+""")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spelling.spelling_groups(words)

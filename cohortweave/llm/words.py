@@ -72,10 +72,14 @@ def joined(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def find_words(texts: pa.Array, lower: bool = False, of: np.ndarray = NOT_SPACE) -> Words:
     """Words of every text, `[^\\x20\\x09-\\x0D]+` unless other bytes are given; `lower` maps A-Z to a-z first."""
     data, offsets = joined(texts)
-    size = int(offsets[-1])
     if lower:
         data = _LOWER[data]
-    inside = of[data[:size]]
+    return runs(data, of[data[: int(offsets[-1])]], offsets)
+
+
+def runs(data: np.ndarray, inside: np.ndarray, offsets: np.ndarray) -> Words:
+    """Maximal runs of the bytes that are `inside`, none beyond a row."""
+    size = len(inside)
     begins = np.zeros(size + 1, bool)
     begins[offsets] = True
     begin, end = inside.copy(), inside.copy()
