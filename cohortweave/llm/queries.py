@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortweave.llm import (
-    chat_format, decontaminate, html_extract, jaccard_join, line_dedup, mixing, quality_rules, secret_scan, spelling,
-    substring_dedup, toxicity,
+    chat_format, decontaminate, disclosure, html_extract, jaccard_join, line_dedup, mixing, quality_rules, secret_scan,
+    spelling, substring_dedup, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -197,9 +197,9 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-def _spans(kinds: tuple[str, ...]):
+def _spans(kinds: tuple[str, ...], column: str = "secrets"):
     """kind:start:end of the spans of some kinds, comma-joined."""
-    chosen = F.filter("secrets", lambda s: s["kind"].isin(*kinds))
+    chosen = F.filter(column, lambda s: s["kind"].isin(*kinds))
     return F.array_join(F.transform(chosen, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
@@ -304,3 +304,18 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = spelling.vocabulary(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return spelling.spelling_groups(words)
+
+
+@query()
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = disclosure.sanitise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(kind: str):
+        return F.size(F.filter("personal", lambda s: s["kind"] == kind)).cast("long")
+
+    terms = (disclosure.REMOVED, disclosure.GENERALISED)
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in disclosure.KINDS],
+        F.sha2(_spans(disclosure.KINDS, "personal"), 256).alias("base_sha256"), _spans((*disclosure.KINDS, *terms), "personal").alias("spans"),
+        *[count(k).alias(f"n_{k}") for k in terms], F.sha2(F.coalesce("clean_text", F.lit("")), 256).alias("clean_sha256"),
+    )
