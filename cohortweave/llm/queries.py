@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortweave.llm import (
-    chat_format, decontaminate, disclosure, html_extract, jaccard_join, line_dedup, mixing, quality_rules, secret_scan,
-    spelling, substring_dedup, toxicity,
+    chat_format, decontaminate, disclosure, html_extract, jaccard_join, lexical_search, line_dedup, mixing, quality_rules,
+    secret_scan, spelling, substring_dedup, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -319,3 +319,29 @@ def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(_spans(disclosure.KINDS, "personal"), 256).alias("base_sha256"), _spans((*disclosure.KINDS, *terms), "personal").alias("spans"),
         *[count(k).alias(f"n_{k}") for k in terms], F.sha2(F.coalesce("clean_text", F.lit("")), 256).alias("clean_sha256"),
     )
+
+
+SEARCH_TERMS = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+
+@query(rf"""
+    WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {SEARCH_TERMS} AS t FROM documents),
+    total AS (SELECT count(*) AS all_docs, sum(len(t))::BIGINT AS all_terms FROM docs WHERE len(t) > 0),
+    items AS (SELECT DISTINCT item_id, unnest({SEARCH_TERMS}) AS term FROM benchmark),
+    postings AS (
+        SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM docs)
+        WHERE term IN (SELECT term FROM items) GROUP BY r, doc_id, n, term),
+    weights AS (
+        SELECT term, floor(1000 * ln((2 * any_value(all_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM postings, total GROUP BY term),
+    scores AS (
+        SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * all_docs) // all_terms))))::BIGINT AS score
+        FROM items JOIN postings USING (term) JOIN weights USING (term), total GROUP BY item_id, r, doc_id)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= 10
+""")
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build_index(table(spark, sf_dir, "documents"))
+    return lexical_search.search(index, table(spark, sf_dir, "benchmark"))
