@@ -47,6 +47,11 @@ def extension(name: Column) -> Column:
     )
 
 
+def plain(path: Column) -> Column:
+    """A path as all listings spell it: local ones without scheme and authority."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
 def plain_root(root: str) -> str:
     """A folder as listings spell it: without a trailing slash, and local ones without scheme or authority."""
     plain = root.rstrip("/")

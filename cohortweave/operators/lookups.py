@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from cohortweave.functions.names import c
 
-# A lookup of at most this many rows is broadcast; a larger one is joined by a salted shuffle.
+# A lookup of at most this many rows and bytes (as JSON) is broadcast; a larger one is joined by a salted shuffle.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
 SALTS = 32
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True if the table has at most `max_rows` rows; reads no more than it needs to know."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True if the table has at most `max_rows` rows and BROADCAST_BYTES bytes; reads no more rows than it needs to know."""
+    bytes_of = F.octet_length(F.to_json(F.struct(*[c(name) for name in df.columns])))
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(bytes_of)).first()
+    return rows <= max_rows and (size or 0) <= BROADCAST_BYTES
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:

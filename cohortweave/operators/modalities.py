@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,9 +87,32 @@ TAGGERS: dict[str, Tagger] = {
 }
 
 
-def register(plugin: str, tagger: Tagger) -> None:
-    """Add a plugin or replace one."""
+# The columns whose presence in a file decides how its rows are tagged. A plugin that is not listed may look at any.
+MARKERS: dict[str, tuple[str, ...]] = {
+    "omics": tuple(marker for marker, _ in OMICS_MARKERS),
+    "assessments": tuple(PSYCHOMETRIC_MARKERS),
+    "biospecimens": ("specimen_type",),
+    "nlp": ("clinical_note",),
+    "wearables": ("heart_rate_array", "sleep_stages_array"),
+    "ehr": (),
+}
+
+# Readers that plugins bring: files (path) -> raw rows with their `_source`.
+Reader = Callable[[DataFrame], DataFrame]
+READERS: dict[str, Reader] = {}
+
+
+def register(plugin: str, tagger: Tagger, *, reader: Reader | None = None, markers: Sequence[str] | None = None) -> None:
+    """Add a plugin or replace one.
+
+    A plugin may bring a reader for its files, `sources.per_file.reader` for instance. `markers` are the
+    columns whose presence the tagger asks for; without them files of different columns are tagged apart.
+    """
     TAGGERS[plugin] = tagger
+    for known, given in ((READERS, reader), (MARKERS, None if markers is None else tuple(markers))):
+        known.pop(plugin, None)
+        if given is not None:
+            known[plugin] = given
 
 
 def harmonize_modality(df: DataFrame, plugin: str, registry: DataFrame) -> DataFrame:

@@ -10,13 +10,12 @@ from pyspark.sql import types as T
 
 from cohortweave.constants import PARTICIPANT, RAW_NA, SESSION, SOURCE
 from cohortweave.functions.names import c
-from cohortweave.functions.paths import default_participant, default_session, file_name, stem
+from cohortweave.functions.paths import default_participant, default_session, file_name, plain, stem
 from cohortweave.functions.text import na_to_null
+from cohortweave.operators import lattice
+from cohortweave.operators.lookups import lookup_join
 from cohortweave.sources.bundles import BUNDLE_DDL
 
-_INTEGER = r"^\s*[+-]?\d+\s*$"
-_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-
 
 def plain_path(path: Column) -> Column:
     """File path without URL escapes, as other listings spell it."""
@@ -50,26 +49,15 @@ def infer_types(df: DataFrame) -> dict[str, str]:
 
     One aggregate over the table; the result has one entry per column.
     """
-    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    if not texts:
+    texts = T.StructType([f for f in df.schema if isinstance(f.dataType, T.StringType)])
+    counts = lattice.tallies(texts, texts.names)
+    if not counts:
         return {}
-    tests = []
-    for i, name in enumerate(texts):
-        value = c(name)
-        tests += [
-            F.count(value).alias(f"_n{i}"),
-            F.count(F.when(value.rlike(_INTEGER), value.try_cast("bigint"))).alias(f"_i{i}"),
-            F.count_if(value.rlike(_NUMBER)).alias(f"_d{i}"),
-            F.count_if(value.isin("True", "TRUE", "true", "False", "FALSE", "false")).alias(f"_b{i}"),
-        ]
-    found = df.agg(*tests).first()
-    types = {}
-    for i, name in enumerate(texts):
-        n = found[f"_n{i}"]
-        for short, spark_type in (("i", "bigint"), ("d", "double"), ("b", "boolean")):
-            if n and found[f"_{short}{i}"] == n and name not in types:
-                types[name] = spark_type
-    return types
+    found = df.agg(*[n.alias(f"_{i}") for i, n in enumerate(counts.values())]).first()
+    by_name: dict[str, dict[str, int]] = {}
+    for i, (name, kind) in enumerate(counts):
+        by_name.setdefault(name, {})[kind] = found[i]
+    return {name: kind for name, of in by_name.items() if (kind := lattice.agreed(**of))}
 
 
 def typed(df: DataFrame, types: Mapping[str, str] | None, tokens: Iterable[str] = RAW_NA) -> DataFrame:
@@ -143,6 +131,62 @@ def csv_layouts(spark: SparkSession, paths: str | Sequence[str], options: Mappin
     )
 
 
+# Columns of a CSV record beyond those of its file, so that one that is too long shows.
+_SPARE = 2
+
+
+def csv_files(
+    files: DataFrame, columns: Sequence[str], sources: Sequence[str], *, tokens: Iterable[str] = RAW_NA,
+    options: Mapping[str, str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of CSV files of any layouts, all columns as text, and the records with more fields than their header.
+
+    `files` has (path, names): the columns of each file, in order. One scan of `sources` reads them all;
+    each row takes its columns from where its file has them, and null for those that it lacks. Files
+    that are not listed are left out.
+    """
+    spark = files.sparkSession
+    width = (files.agg(F.max(F.size("names"))).first()[0] or 0) + _SPARE
+    fields = [f"_c{i}" for i in range(width)]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*fields, _CORRUPT)])
+    settings = {"header": True, "escape": '"', "multiLine": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    raw = spark.read.options(**settings, **(options or {})).schema(schema).csv(list(sources))
+    wide = raw.select(F.array(*fields).alias("_values"), c(_CORRUPT), source_of_row())
+    places = F.array(*[F.array_position("names", F.lit(n)).cast("int") - 1 for n in columns])
+    known = files.select(plain(c("path")).alias("_key"), places.alias("_places"), F.size("names").alias("_width"))
+    placed = lookup_join(wide.withColumn("_key", plain(c(SOURCE).getField("file"))), known, ["_key"], how="inner")
+    beyond = F.exists(F.slice("_values", c("_width") + 1, F.lit(width)), lambda x: x.isNotNull())
+
+    def field(i: int) -> Column:
+        # A place of -1 is none, not the last.
+        return F.when(F.get("_places", F.lit(i)) >= 0, F.get("_values", F.get("_places", F.lit(i))))
+
+    rows = placed.filter(~beyond).select(*[na_to_null(field(i), tokens).alias(n) for i, n in enumerate(columns)], c(SOURCE))
+    named = F.to_json(F.struct(*[field(i).alias(n) for i, n in enumerate(columns)]))
+    record = F.coalesce(c(_CORRUPT), F.concat_ws(",", "_values"))
+    bad = placed.filter(beyond).select(c(SOURCE).getField("file").alias("file"), record.alias("record"), named.alias("parsed"))
+    return rows, bad
+
+
+def only_files(df: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows of the listed files (path)."""
+    listed = files.select(plain(c("path")).alias("_key")).distinct()
+    return lookup_join(df.withColumn("_key", plain(c(SOURCE).getField("file"))), listed, ["_key"], how="left_semi").drop("_key")
+
+
+def apart(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents that could be read, and the others with their file."""
+    if _CORRUPT not in raw.columns:
+        nothing = raw.sparkSession.createDataFrame([], "file string, record string, parsed string")
+        return raw, nothing
+    columns = [c(n) for n in raw.columns if n not in (_CORRUPT, SOURCE)]
+    bad = raw.filter(c(_CORRUPT).isNotNull()).select(
+        c(SOURCE).getField("file").alias("file"), c(_CORRUPT).alias("record"),
+        (F.to_json(F.struct(*columns)) if columns else F.lit(None).cast("string")).alias("parsed"),
+    )
+    return raw.filter(c(_CORRUPT).isNull()).drop(_CORRUPT), bad
+
+
 def read_parquet(spark: SparkSession, paths: str | Sequence[str], options: Mapping[str, str] | None = None) -> DataFrame:
     """Parquet files, columns as stored."""
     listed = [paths] if isinstance(paths, str) else list(paths)
@@ -173,7 +217,8 @@ def read_bundles(
 ) -> DataFrame:
     """Clinical bundles: one document per file, or one per line for bulk exports.
 
-    `extra` declares further top-level fields of the documents to carry along.
+    `extra` declares further top-level fields of the documents to carry along; one named `_corrupt_record`
+    takes the documents that do not have the expected form.
     """
     schema = f"{BUNDLE_DDL}, {extra}" if extra else BUNDLE_DDL
     raw = spark.read.options(multiLine=not one_per_line, **(options or {})).schema(schema).json(paths)

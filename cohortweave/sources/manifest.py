@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortweave.constants import SKIP_MESSAGE, UNKNOWN_SUBJECT, WEARABLE_KEYS
@@ -35,15 +37,31 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length")
 
 
-def list_bronze(spark: SparkSession, root: str) -> DataFrame:
-    """(path, json_kind) of all files; only JSON files are opened, and no join is needed."""
-    others = list_files(spark, root).filter(~F.endswith("path", F.lit(".json"))).select(
+def list_bronze(spark: SparkSession, root: str, subject: str | None = None, paths: Sequence[str] | None = None) -> DataFrame:
+    """(path, json_kind) of all files; only JSON files are opened, and no join is needed.
+
+    With a subject, or with `paths`, only its files or these are listed and opened: the filter on the
+    path leaves the others out before anything is read.
+    """
+
+    def wanted(path: Column) -> Column:
+        return F.lit(True) if subject is None else F.coalesce(subject_of(path), F.lit(UNKNOWN_SUBJECT)) == subject
+
+    if paths is not None:
+        listed = spark.createDataFrame([(p,) for p in paths], "path string")
+        documents_in = [p for p in paths if p.endswith(".json")]
+    else:
+        listed, documents_in = list_files(spark, root), [root]
+    others = listed.filter(~F.endswith("path", F.lit(".json")) & wanted(c("path"))).select(
         "path", F.lit(None).cast("string").alias("json_kind")
     )
+    if not documents_in:
+        return others
+    path = plain_path(c("_metadata").getField("file_path"))
     documents = (
         spark.read.options(wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
-        .text(root)
-        .select(plain_path(c("_metadata").getField("file_path")).alias("path"), json_kind(c("value")).alias("json_kind"))
+        .text(documents_in).filter(wanted(path))
+        .select(path.alias("path"), json_kind(c("value")).alias("json_kind"))
     )
     return others.unionByName(documents)
 
@@ -73,9 +91,10 @@ def build_manifest(files: DataFrame, root: str) -> DataFrame:
     )
 
 
-def discover(spark: SparkSession, root: str) -> DataFrame:
-    """Manifest of a raw folder."""
-    return build_manifest(list_bronze(spark, root), root)
+def discover(spark: SparkSession, root: str, subject: str | None = None, *, in_order: bool = False) -> DataFrame:
+    """Manifest of a raw folder, or of one subject's files in it; `in_order` sorts it by path."""
+    manifest = build_manifest(list_bronze(spark, root, subject), root)
+    return manifest.orderBy("relative_path") if in_order else manifest
 
 
 def tier_inventory(files: DataFrame, shown: int = 5) -> DataFrame:

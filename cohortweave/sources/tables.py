@@ -2,57 +2,72 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import uuid
+from collections.abc import Collection, Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortweave.constants import CLINICAL_NA, KEYS, MODALITY
 from cohortweave.functions.names import c, underscored
+from cohortweave.operators import lattice
 from cohortweave.operators.variables import categorical_levels
 from cohortweave.sources.bronze import nulls_for_tokens
 
 
-# Types that a later run may find otherwise: such columns are stored as text, their types beside them.
-_LOOSE = {"bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
+# How many values of each kind the columns of a batch hold, beside its rows.
 _TYPES = "_types"
+# Every write is a batch of its own, a folder below the modality that a repeated write replaces.
+BATCH = "_batch"
 
 
-def write_silver(df: DataFrame, path: str, mode: str = "append") -> None:
+def write_silver(df: DataFrame, path: str, mode: str = "append", *, open_text: Collection[str] = (), batch: str | None = None) -> None:
     """Harmonized rows, one folder per modality so that readers of one modality skip the others.
 
-    Numbers and truth values are stored as text together with the type this run found, so runs that
-    find different types for a column can be read together. Columns that hold nothing at all in any
-    row and have no type are left out.
+    Numbers and truth values are stored as text, and what the columns hold is counted while they are
+    written: batches whose values differ are read together. `open_text` names text columns whose values
+    have no type yet, as those of CSV files. A batch that is written again replaces itself; without a name
+    every write is a batch of its own. Columns without any type are left out.
     """
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema if not isinstance(f.dataType, T.NullType)}
-    loose = {n: k for n, k in kinds.items() if k in _LOOSE and n != MODALITY}
-    stored = [c(n).cast("string").alias(n) if n in loose else c(n) for n in kinds]
-    df.select(*stored).write.mode(mode).partitionBy(MODALITY).parquet(path)
-    rows = [(n, k) for n, k in kinds.items() if k in _LOOSE or k == "string"]
-    df.sparkSession.createDataFrame(rows, "name string, type string").coalesce(1).write.mode("append").json(f"{path}/{_TYPES}")
-
-
-def read_silver(spark: SparkSession, path: str, tokens: Iterable[str] = CLINICAL_NA) -> DataFrame:
+    batch = batch or uuid.uuid4().hex
+    kinds = [f for f in df.schema if not isinstance(f.dataType, T.NullType)]
+    counts = lattice.tallies(T.StructType([f for f in kinds if f.name != MODALITY]), open_text)
+    texts = [c(f.name).cast("string").alias(f.name) if lattice.is_loose(f.dataType) else c(f.name) for f in kinds]
+    seen = Observation()
+    counted = df.select(*[c(f.name) for f in kinds])
+    if counts:
+        counted = counted.observe(seen, *[n.alias(f"_{i}") for i, n in enumerate(counts.values())])
+    writer = counted.select(*texts, F.lit(batch).alias(BATCH)).write.partitionBy(MODALITY, BATCH)
+    if mode == "append":
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    else:
+        writer.mode(mode).parquet(path)
+    found = seen.get if counts else {}
+    rows: dict[str, dict[str, int]] = {}
+    for i, (name, kind) in enumerate(counts):
+        rows.setdefault(name, dict.fromkeys(lattice.KINDS, 0))[kind] = int(found.get(f"_{i}") or 0)
+    listed = df.sparkSession.createDataFrame([(n, *k.values()) for n, k in rows.items()], lattice.TALLY_DDL)
+    listed.coalesce(1).write.mode("overwrite").json(f"{path}/{_TYPES}/{batch}")
+
+
+def silver_types(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """Type of each column over all batches of harmonized tables; columns not named are text or never changed."""
+    return lattice.merged(spark.read.schema(lattice.TALLY_DDL).json([f"{p}/{_TYPES}/*" for p in paths]))
+
+
+def read_silver(
+    spark: SparkSession, path: str, tokens: Iterable[str] = CLINICAL_NA, types: Mapping[str, str] | None = None
+) -> DataFrame:
     """Harmonized rows of all modalities; columns a modality lacks are null.
 
-    A column has the type that all runs agree on: integers become fractions where a run found some,
-    anything else that differs stays text.
+    A column has the narrowest type that holds the values of all batches: integers become fractions
+    where a batch found some, anything else that differs is text. `types` may come from more tables.
     """
-    raw = nulls_for_tokens(spark.read.option("mergeSchema", True).parquet(path), tokens)
-    found: dict[str, set[str]] = {}
-    # One row per column and run.
-    for row in spark.read.schema("name string, type string").json(f"{path}/{_TYPES}").distinct().collect():
-        found.setdefault(row["name"], set()).add(row["type"])
-
-    def agreed(name: str) -> str | None:
-        kinds = found.get(name, set())
-        if kinds == {"bigint", "double"}:
-            return "double"
-        return next(iter(kinds)) if len(kinds) == 1 and kinds <= set(_LOOSE) else None
-
-    return raw.select(*[c(n).try_cast(t).alias(n) if (t := agreed(n)) else c(n) for n in raw.columns])
+    raw = nulls_for_tokens(spark.read.option("mergeSchema", True).parquet(path).drop(BATCH), tokens)
+    types = silver_types(spark, [path]) if types is None else types
+    texts = {f.name for f in raw.schema if isinstance(f.dataType, T.StringType)}
+    return raw.select(*[c(n).try_cast(types[n]).alias(n) if n in types and n in texts else c(n) for n in raw.columns])
 
 
 def write_gold(df: DataFrame, path: str, mode: str = "overwrite") -> None:
