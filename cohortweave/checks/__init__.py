@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
-MODULES = ("cohort", "privacy", "quality", "registry", "clinical", "files")
+MODULES = ("cohort", "privacy", "quality", "registry", "clinical", "files", "tiers")
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:

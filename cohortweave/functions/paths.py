@@ -17,6 +17,10 @@ from cohortweave.constants import (
 )
 
 
+# Plugins of suffixes; registered plugins may add theirs.
+SUFFIX_PLUGINS: dict[str, str] = dict(EXTENSION_PLUGINS)
+
+
 def _first_match(path: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(path, pattern, 1), F.lit(""))
 
@@ -107,5 +111,5 @@ def route(suffix: Column, directory: Column, json_kind: Column) -> Column:
     return (
         F.when(by_directory, directory_plugin(directory))
         .when(suffix == ".json", by_content)
-        .otherwise(F.try_element_at(_named(EXTENSION_PLUGINS), suffix))
+        .otherwise(F.try_element_at(_named(SUFFIX_PLUGINS), suffix))
     )

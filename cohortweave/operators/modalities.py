@@ -20,6 +20,7 @@ from cohortweave.constants import (
     WEARABLE_MODALITY,
 )
 from cohortweave.functions.names import c
+from cohortweave.functions.paths import SUFFIX_PLUGINS
 from cohortweave.functions.text import note_codes
 from cohortweave.functions.values import array_mean, stage_share
 from cohortweave.operators.harmonize import harmonize
@@ -102,17 +103,31 @@ Reader = Callable[[DataFrame], DataFrame]
 READERS: dict[str, Reader] = {}
 
 
-def register(plugin: str, tagger: Tagger, *, reader: Reader | None = None, markers: Sequence[str] | None = None) -> None:
+def register(
+    plugin: str, tagger: Tagger, *, reader: Reader | None = None, markers: Sequence[str] | None = None, suffix: str | None = None
+) -> None:
     """Add a plugin or replace one.
 
-    A plugin may bring a reader for its files, `sources.per_file.reader` for instance. `markers` are the
-    columns whose presence the tagger asks for; without them files of different columns are tagged apart.
+    A plugin may bring a reader for its files, `sources.per_file.reader` for instance, and a suffix that
+    they have. `markers` are the columns whose presence the tagger asks for; without them files of
+    different columns are tagged apart.
     """
+    unregister(plugin)
     TAGGERS[plugin] = tagger
-    for known, given in ((READERS, reader), (MARKERS, None if markers is None else tuple(markers))):
+    if reader is not None:
+        READERS[plugin] = reader
+    if markers is not None:
+        MARKERS[plugin] = tuple(markers)
+    if suffix is not None:
+        SUFFIX_PLUGINS[suffix] = plugin
+
+
+def unregister(plugin: str) -> None:
+    """Forget a plugin, its reader, markers and suffixes."""
+    for known in (TAGGERS, READERS, MARKERS):
         known.pop(plugin, None)
-        if given is not None:
-            known[plugin] = given
+    for suffix in [s for s, p in SUFFIX_PLUGINS.items() if p == plugin]:
+        del SUFFIX_PLUGINS[suffix]
 
 
 def harmonize_modality(df: DataFrame, plugin: str, registry: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortweave.constants import HASH, KEYS, NONSTANDARD_PREFIX, PARTICIPANT
 from cohortweave.functions.names import c, quoted, split_qualified
@@ -28,6 +29,12 @@ _OPERATORS: dict[str, Callable[[Column, Any], Column]] = {
 }
 
 
+def _comparable(column: Column, kind: T.DataType, operator: str, value: Any) -> Column:
+    """Text compared with a number counts by the number it spells, and never matches where it spells none."""
+    is_number = isinstance(value, (int, float)) and not isinstance(value, bool)
+    return column.try_cast("double") if is_number and operator != "contains" and isinstance(kind, T.StringType) else column
+
+
 def only_participants(df: DataFrame, participants: Sequence[str] | DataFrame | None) -> DataFrame:
     """Rows of the given participants: names, or a table with a participant column.
 
@@ -75,7 +82,7 @@ def matching(df: DataFrame, filters: Mapping[str, tuple[str, Any]]) -> DataFrame
         if operator not in _OPERATORS:
             raise ValueError(f"unknown operator {operator!r}; known: {sorted(_OPERATORS)}")
         column, chunk = found
-        condition = _OPERATORS[operator](c(column), value)
+        condition = _OPERATORS[operator](_comparable(c(column), df.schema[column].dataType, operator, value), value)
         conditions.append(condition if chunk is None else condition & (c(CHUNK) == chunk))
     if not conditions:
         return df

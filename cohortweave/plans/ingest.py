@@ -21,9 +21,9 @@ from cohortweave.operators.modalities import MARKERS, READERS, TAGGERS, harmoniz
 from cohortweave.operators.status import mark_processed, of_subject, processable, subject_manifests
 from cohortweave.sources import bronze, layouts
 from cohortweave.sources.manifest import discover
-from cohortweave.sources.tables import BATCH, silver_types, write_silver
+from cohortweave.sources.tables import BATCH, silver_types, with_types, write_silver
 from cohortweave.sources.tables import read_silver as read_plugin_silver
-from cohortweave.sources.workspace import stored
+from cohortweave.sources.workspace import exists, stored
 
 # Files that one read lists by name; more are found by their folder and joined to the list.
 FILES_PER_READ = 20_000
@@ -57,12 +57,14 @@ class Scan:
     suffix: str
     directory: str
     files: DataFrame
+    n_files: int
     files_per_read: int = FILES_PER_READ
 
     def sources(self, files: DataFrame) -> tuple[list[str], bool]:
         """What a reader is given to find the files, and whether it finds others too."""
-        paths = [r["path"] for r in files.select("path").limit(self.files_per_read + 1).collect()]
-        return (paths, False) if len(paths) <= self.files_per_read else ([self.directory], True)
+        if self.n_files > self.files_per_read:
+            return [self.directory], True
+        return [r["path"] for r in files.select("path").collect()], False
 
     @property
     def options(self) -> dict[str, str]:
@@ -81,13 +83,19 @@ class Part:
 
 def plan_scans(manifest: DataFrame, plugin: str, files_per_read: int = FILES_PER_READ) -> list[Scan]:
     """The selected files of a plugin, per first-level directory and suffix. Their paths stay in the table."""
+    return all_scans(manifest.filter(c("plugin") == plugin), files_per_read).get(plugin, [])
+
+
+def all_scans(manifest: DataFrame, files_per_read: int = FILES_PER_READ) -> dict[str, list[Scan]]:
+    """The scans of each plugin of a stored manifest."""
     folder = F.concat(F.left(c("path"), F.length("path") - F.length("relative_path")), c("modality_dir"))
-    files = stored(manifest.filter(c("plugin") == plugin).select("modality_dir", "extension", folder.alias("folder"), "path"), "scan")
-    groups = files.select("modality_dir", "extension", "folder").distinct().orderBy("modality_dir", "extension", "folder").collect()
-    return [
-        Scan(g["extension"], g["folder"], files.filter((c("extension") == g["extension"]) & (c("folder") == g["folder"])), files_per_read)
-        for g in groups
-    ]
+    files = manifest.select("plugin", "extension", folder.alias("folder"), "path")
+    key = ["plugin", "folder", "extension"]
+    scans: dict[str, list[Scan]] = {}
+    for g in files.filter(c("plugin").isNotNull()).groupBy(*key).agg(F.count(F.lit(1)).alias("n")).orderBy(*key).collect():
+        mine = files.filter((c("plugin") == g["plugin"]) & (c("extension") == g["extension"]) & (c("folder") == g["folder"]))
+        scans.setdefault(g["plugin"], []).append(Scan(g["extension"], g["folder"], mine, g["n"], files_per_read))
+    return scans
 
 
 def _alike(known: DataFrame, plugin: str, registry: DataFrame) -> list[tuple[DataFrame, list[str]]]:
@@ -97,7 +105,7 @@ def _alike(known: DataFrame, plugin: str, registry: DataFrame) -> list[tuple[Dat
     that differ somewhere. There are few such groups, whatever the number of layouts.
     """
     positions = known.select(F.posexplode("names").alias("place", "name"), F.col("kinds"))
-    named = positions.select("name", "place", F.get("kinds", c("place")).alias("kind"))
+    named = positions.select("name", F.get("kinds", c("place")).alias("kind"))
     columns = named.groupBy("name").agg(F.count_distinct("kind").alias("n_kinds")).collect()  # as many as columns
     mapping, _ = registry_names(registry, [r["name"] for r in columns])
     of_key = {key: [r["name"] for r in columns if mapping.get(r["name"], r["name"]) == key] for key in (PARTICIPANT, SESSION)}
@@ -109,13 +117,14 @@ def _alike(known: DataFrame, plugin: str, registry: DataFrame) -> list[tuple[Dat
         has.append(F.to_json(F.array_sort("names")))
     has += [F.get("kinds", F.array_position("names", F.lit(n)).cast("int") - 1) for n in mixed]
     signature = F.concat_ws("|", *[F.coalesce(x.cast("string"), F.lit("-")) for x in has], F.lit(""))
-    signed = stored(known.withColumn("_signature", signature), "signed")
-    groups = []
-    for row in signed.select("_signature").distinct().orderBy("_signature").collect():
-        files = signed.filter(c("_signature") == row["_signature"]).select("path", "names")
-        first = files.select(F.posexplode("names").alias("place", "name")).groupBy("name").agg(F.min("place").alias("place"))
-        groups.append((files, [r["name"] for r in first.orderBy("place", "name").collect()]))
-    return groups
+    signed = known.withColumn("_signature", signature)
+    in_order = signed.select("_signature", F.posexplode("names").alias("place", "name")).groupBy("_signature", "name").agg(
+        F.min("place").alias("place")
+    )
+    groups: dict[str, list[str]] = {}
+    for r in in_order.orderBy("_signature", "place", "name").collect():  # one row per column of a group
+        groups.setdefault(r["_signature"], []).append(r["name"])
+    return [(signed.filter(c("_signature") == s).select("path", "names"), names) for s, names in groups.items()]
 
 
 def _unreadable(known: DataFrame) -> DataFrame:
@@ -126,7 +135,7 @@ def _unreadable(known: DataFrame) -> DataFrame:
 
 
 def _csv_parts(plugin: str, scan: Scan, registry: DataFrame) -> list[Part]:
-    found = layouts.csv_layouts(scan.files)
+    found = layouts.csv_layouts(scan.files, scan.n_files)
     known = found.filter("names IS NOT NULL").withColumn("kinds", F.array().cast("array<string>"))
     parts = []
     for files, columns in _alike(known, plugin, registry):
@@ -142,7 +151,7 @@ def _parquet_parts(spark: SparkSession, plugin: str, scan: Scan, registry: DataF
         paths, more = scan.sources(scan.files)
         raw = bronze.read_parquet(spark, paths, {"ignoreCorruptFiles": "true", **(scan.options if more else {})})
         return [Part(part) for part in _by_marker(bronze.only_files(raw, scan.files) if more else raw)]
-    found = layouts.layouts(scan.files, layouts.parquet_columns)
+    found = layouts.layouts(scan.files, layouts.parquet_columns, scan.n_files)
     split = found.withColumn("kinds", F.transform("names", lambda n: F.substring_index(n, "\0", -1))).withColumn(
         "names", F.transform("names", lambda n: F.substring_index(n, "\0", 1))
     )
@@ -275,13 +284,11 @@ def ingest_manifest(
     A plugin whose job fails is reported and does not stop the others.
     """
     report = IngestReport(manifest, subject_manifests(manifest), "processed")
-    todo = processable(manifest)
-    plugins = [r["plugin"] for r in todo.select("plugin").distinct().orderBy("plugin").collect()]
     found = []
-    for plugin in plugins:
+    for plugin, scans in all_scans(manifest).items():
         target = f"{silver_root}/{plugin}"
         try:
-            tables, broken = _silver_parts(spark, plugin, plan_scans(todo, plugin), registry, as_of)
+            tables, broken = _silver_parts(spark, plugin, scans, registry, as_of)
             found += [] if broken is None else [broken]
             for i, (table, open_text) in enumerate(tables):
                 texts = [f.name for f in table.schema if f.dataType.simpleString() == "string" and f.name not in (MODALITY, "_plugin")]
@@ -339,10 +346,12 @@ def ingest(
 
 def _written(spark: SparkSession, path: str, types: dict[str, str] | None = None) -> DataFrame | None:
     """A plugin's harmonized rows, None if there are none."""
+    if not exists(spark, path):
+        return None
     try:
         return read_plugin_silver(spark, path, types=types)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+    except AnalysisException as error:  # all batches were empty
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
     return None
 
@@ -352,12 +361,11 @@ def read_silver(spark: SparkSession, silver_root: str, plugins: Iterable[str] |
 
     A column's type holds the values of all plugins and batches.
     """
-    paths = [f"{silver_root}/{plugin}" for plugin in plugins or TAGGERS]
-    found = [path for path in paths if _written(spark, path, {}) is not None]
-    if not found:
+    raw = {path: table for plugin in plugins or TAGGERS if (table := _written(spark, path := f"{silver_root}/{plugin}", {})) is not None}
+    if not raw:
         return None
-    types = silver_types(spark, found)
-    return union_by_name([read_plugin_silver(spark, path, types=types) for path in found])
+    types = silver_types(spark, list(raw))
+    return union_by_name([with_types(table, types) for table in raw.values()])
 
 
 def silver_files(silver: DataFrame, bronze_root: str) -> DataFrame:

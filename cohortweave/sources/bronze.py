@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortweave.constants import PARTICIPANT, RAW_NA, SESSION, SOURCE
-from cohortweave.functions.names import c
+from cohortweave.functions.names import c, literal, quoted
 from cohortweave.functions.paths import default_participant, default_session, file_name, plain, stem
-from cohortweave.functions.text import na_to_null
 from cohortweave.operators import lattice
 from cohortweave.operators.lookups import lookup_join
 from cohortweave.sources.bundles import BUNDLE_DDL
@@ -31,12 +30,18 @@ def source_of_row() -> Column:
     ).alias(SOURCE)
 
 
+def _token_test(value: str, tokens: Iterable[str]) -> str:
+    """Null where a text is a token, as SQL text."""
+    return f"CASE WHEN NOT ({value} IN ({', '.join(map(literal, tokens))})) THEN {value} END"
+
+
 def nulls_for_tokens(df: DataFrame, tokens: Iterable[str] = RAW_NA) -> DataFrame:
     """Missing-value tokens in text columns become null."""
-    return df.select(
-        *[na_to_null(c(f.name), tokens).alias(f.name) if isinstance(f.dataType, T.StringType) else c(f.name)
-          for f in df.schema]
-    )
+    listed = list(tokens)
+    return df.selectExpr(*[
+        f"{_token_test(quoted(f.name), listed)} AS {quoted(f.name)}" if isinstance(f.dataType, T.StringType) else quoted(f.name)
+        for f in df.schema
+    ])
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
@@ -152,20 +157,20 @@ def csv_files(
     settings = {"header": True, "escape": '"', "multiLine": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     raw = spark.read.options(**settings, **(options or {})).schema(schema).csv(list(sources))
     wide = raw.select(F.array(*fields).alias("_values"), c(_CORRUPT), source_of_row())
-    places = F.array(*[F.array_position("names", F.lit(n)).cast("int") - 1 for n in columns])
-    known = files.select(plain(c("path")).alias("_key"), places.alias("_places"), F.size("names").alias("_width"))
+    listed = ", ".join(map(literal, columns))
+    known = files.select(
+        plain(c("path")).alias("_key"), F.size("names").alias("_width"),
+        F.expr(f"transform(array({listed}), n -> CAST(array_position(names, n) AS INT) - 1)").alias("_places"),
+    )
     placed = lookup_join(wide.withColumn("_key", plain(c(SOURCE).getField("file"))), known, ["_key"], how="inner")
     beyond = F.exists(F.slice("_values", c("_width") + 1, F.lit(width)), lambda x: x.isNotNull())
-
-    def field(i: int) -> Column:
-        # A place of -1 is none, not the last.
-        return F.when(F.get("_places", F.lit(i)) >= 0, F.get("_values", F.get("_places", F.lit(i))))
-
-    rows = placed.filter(~beyond).select(*[na_to_null(field(i), tokens).alias(n) for i, n in enumerate(columns)], c(SOURCE))
-    named = F.to_json(F.struct(*[field(i).alias(n) for i, n in enumerate(columns)]))
+    # A place of -1 is none.
+    values = [f"CASE WHEN _places[{i}] >= 0 THEN get(_values, _places[{i}]) END" for i in range(len(columns))]
+    rows = placed.filter(~beyond).selectExpr(*[f"{v} AS {quoted(n)}" for v, n in zip(values, columns)], SOURCE)
+    named = F.expr(f"to_json(named_struct({', '.join(f'{literal(n)}, {v}' for v, n in zip(values, columns))}))")
     record = F.coalesce(c(_CORRUPT), F.concat_ws(",", "_values"))
     bad = placed.filter(beyond).select(c(SOURCE).getField("file").alias("file"), record.alias("record"), named.alias("parsed"))
-    return rows, bad
+    return nulls_for_tokens(rows, tokens), bad
 
 
 def only_files(df: DataFrame, files: DataFrame) -> DataFrame:

@@ -111,18 +111,18 @@ def _lister(names_of: Callable[[str], list[str]]):
     return layouts
 
 
-def layouts(files: DataFrame, names_of: Callable[[str], list[str]]) -> DataFrame:
+def layouts(files: DataFrame, names_of: Callable[[str], list[str]], n_files: int | None = None) -> DataFrame:
     """(path, names, error) of files (path), stored: the columns that each file has, or why they are unknown."""
-    tasks = -(-files.count() // FILES_PER_TASK)
+    tasks = -(-(files.count() if n_files is None else n_files) // FILES_PER_TASK)
     spread = files.select("path").repartition(max(1, tasks))
     return stored(spread.mapInArrow(_lister(names_of), LAYOUT_DDL), "layouts")
 
 
-def csv_layouts(files: DataFrame) -> DataFrame:
+def csv_layouts(files: DataFrame, n_files: int | None = None) -> DataFrame:
     """(path, names, error) of CSV files, from their first record."""
     first = files.select("path").first()
     if first is None or is_reachable(first["path"]):
-        return layouts(files, csv_names)
+        return layouts(files, csv_names, n_files)
     lines = files.sparkSession.read.text([r["path"] for r in files.select("path").toLocalIterator()])
     place = F.struct(c("_metadata").getField("file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
     header = (

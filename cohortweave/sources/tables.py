@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortweave.constants import CLINICAL_NA, KEYS, MODALITY
-from cohortweave.functions.names import c, underscored
+from cohortweave.functions.names import c, quoted, underscored
 from cohortweave.operators import lattice
 from cohortweave.operators.variables import categorical_levels
 from cohortweave.sources.bronze import nulls_for_tokens
@@ -65,9 +65,15 @@ def read_silver(
     where a batch found some, anything else that differs is text. `types` may come from more tables.
     """
     raw = nulls_for_tokens(spark.read.option("mergeSchema", True).parquet(path).drop(BATCH), tokens)
-    types = silver_types(spark, [path]) if types is None else types
+    return with_types(raw, silver_types(spark, [path]) if types is None else types)
+
+
+def with_types(raw: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Text columns as the types that their values have."""
     texts = {f.name for f in raw.schema if isinstance(f.dataType, T.StringType)}
-    return raw.select(*[c(n).try_cast(types[n]).alias(n) if n in types and n in texts else c(n) for n in raw.columns])
+    return raw.selectExpr(*[
+        f"try_cast({quoted(n)} AS {types[n]}) AS {quoted(n)}" if n in types and n in texts else quoted(n) for n in raw.columns
+    ])
 
 
 def write_gold(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -43,3 +43,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     folder = new_folder(df.sparkSession, name)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in whatever store it names."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
