@@ -110,7 +110,7 @@ def hash_words(words: Words, seed: int = 0) -> np.ndarray:
     longest = int(min(lengths.max(initial=0), LONG_WORD))
     todo = np.arange(len(lengths))
     for done in range(0, longest, 8):
-        todo = todo[lengths[todo] > done] if done else todo
+        todo = todo[lengths[todo] > done]
         rest = np.minimum(lengths[todo] - done, 8).astype(np.uint64)
         piece = at_byte[words.starts[todo] + done] & (~np.uint64(0) >> (np.uint64(64) - rest * np.uint64(8)))
         state[todo] = mixed((state[todo] ^ piece) * _ODD + _MIX_A)
