@@ -38,10 +38,10 @@ SLOT_BITS = 21
 _CHUNKS = 64
 # A set's sketch counts its shingles by their leading bits.
 SKETCH_BITS = 6
-# Ids (8 bytes each) that are broadcast at most; more are joined by a shuffle.
+# Rows of two or three longs that are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
-# Documents that one group measures against a pivot, about.
-GROUP_DOCS = 1_000
+# Shingles of the documents that one group measures against a pivot, about.
+GROUP_SHINGLES = 1_000_000
 
 _BASE = 0xD1342543DE82EF95
 
@@ -84,16 +84,16 @@ def _surveyor(percent: int):
             node = pa.array([_fingerprint(s) if len(s) else None for s in sets], pa.int64())
             blank = pa.nulls(len(sets))
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), size, node, blank.cast(pa.int32()), blank.cast(pa.int32()), blank.cast(pa.binary())],
-                names=["doc_id", "n_shingles", "node", "chunk", "part", "counts"],
+                [rows.column("doc_id"), rows.column("row_hash"), size, node, blank.cast(pa.int32()), blank.cast(pa.int32()), blank.cast(pa.binary())],
+                names=["doc_id", "row_hash", "n_shingles", "node", "chunk", "part", "counts"],
             )
         if counts.any():
             packed = [zstandard.compress(c.tobytes(), 1) for c in np.split(counts, _CHUNKS)]
             part = TaskContext.get().partitionId() % 64
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(_CHUNKS, rows.schema.field("doc_id").type), pa.nulls(_CHUNKS, pa.int64()), pa.nulls(_CHUNKS, pa.int64()),
+                [pa.nulls(_CHUNKS, rows.schema.field("doc_id").type), *[pa.nulls(_CHUNKS, pa.int64())] * 3,
                  pa.array(range(_CHUNKS), pa.int32()), pa.array([part] * _CHUNKS, pa.int32()), pa.array(packed, pa.binary())],
-                names=["doc_id", "n_shingles", "node", "chunk", "part", "counts"],
+                names=["doc_id", "row_hash", "n_shingles", "node", "chunk", "part", "counts"],
             )
 
     return survey
@@ -143,18 +143,23 @@ def _prefixer(percent: int, ranks: bytes):
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts and sketches of nodes; a row whose set is not its node's is left out."""
     for batch in batches:
         for rows in blocks([batch], "text"):
-            packed = [zstandard.compress((t or "").encode(), 3) for t in rows.column("text").to_pylist()]
             sets = shingle_sets(find_words(rows.column("text"), lower=True))
-            sketch = [np.bincount((s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS) for s in sets]
-            columns = [rows.column("node"), pa.array(packed, pa.binary()), pa.array([s.tolist() for s in sketch], pa.list_(pa.int32()))]
+            own = np.array([_fingerprint(s) for s in sets], np.int64) == rows.column("node").to_numpy()
+            kept = np.flatnonzero(own)
+            texts = rows.column("text").take(pa.array(kept)).to_pylist()
+            packed = [zstandard.compress((t or "").encode(), 3) for t in texts]
+            sketch = [np.bincount((sets[i] >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS).tolist() for i in kept]
+            columns = [rows.column("node").take(pa.array(kept)), pa.array(packed, pa.binary()), pa.array(sketch, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, names=["node", "packed", "sketch"])
 
 
 def _measurer(percent: int):
     def measure(group: pd.DataFrame) -> pd.DataFrame:
         """Distance of each document of the group from its pivot, and whether they link."""
+        group = group.drop_duplicates("node")  # equal rows give a node several times
         texts = pa.array([zstandard.decompress(p).decode() for p in group["packed"]])
         sets = []
         for rows in blocks([pa.RecordBatch.from_arrays([texts], names=["text"])], "text"):
@@ -173,11 +178,14 @@ def _measurer(percent: int):
 
 
 def _measured(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """(pivot, node, distance, linked) of distinct pairs; large groups of a pivot are split."""
-    size = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / GROUP_DOCS).cast("int").alias("parts"))
+    """(pivot, node, distance, linked) of distinct pairs with the node's size n; large groups of a pivot are split."""
+    size = pairs.groupBy("pivot").agg(F.ceil(F.sum("n") / GROUP_SHINGLES).cast("int").alias("parts"))
     members = pairs.join(size, "pivot").select("pivot", "node", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
     pivots = size.select("pivot", F.col("pivot").alias("node"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    rows = members.unionByName(pivots).join(texts.select("node", "packed"), "node")
+    wanted = stored(members.unionByName(pivots), "measured")
+    # Texts go to their group alone: the narrow rows come to the texts where they may be broadcast.
+    near = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    rows = texts.select("node", "packed").join(near, "node")
     found = rows.groupBy("pivot", "part").applyInPandas(_measurer(percent), "pivot long, node long, distance double, linked boolean")
     return stored(found, "distances")
 
@@ -187,27 +195,49 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     Words are `[^\\x20\\x09-\\x0D]+` after A-Z are lowered. component_id is the smallest doc_id reachable
     by links, its own included; a document without words, null texts among them, links with
-    nothing. Equal rows give equal rows; a document without id has its own component null unless it
-    links with others. Sets are told apart by 64-bit hashes of shingles and of whole sets.
+    nothing. Ids may be of any type that has an order. Rows that share an id but not the text are
+    documents of their own; equal rows give equal rows; a document without id has its own component null
+    unless it links with others. Sets are told apart by 64-bit hashes of shingles and of whole sets.
     """
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    labelled = stored(_components_of(docs, doc_id, text, percent), "components")
+    least = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    alone = F.col("component").isNull()
+    return labelled.join(least, "component", "left").select(
+        "doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+    )
+
+
+def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, row_hash, text): the hash of id and text tells rows apart that are not equal."""
+    return docs.select(
+        F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`")).alias("row_hash"),
+        F.col(f"`{text}`").alias("text"),
+    )
+
+
+def _components_of(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
+    """(doc_id, row_hash, n_shingles, component) per row; the component is null without words."""
+    docs = _rows(docs, doc_id, text)
+    kind = docs.schema["doc_id"].dataType.simpleString()
     surveyed = stored(
-        docs.mapInArrow(_surveyor(percent), "doc_id long, n_shingles long, node long, chunk int, part int, counts binary"), "surveyed"
+        docs.mapInArrow(
+            _surveyor(percent), f"doc_id {kind}, row_hash long, n_shingles long, node long, chunk int, part int, counts binary"
+        ), "surveyed",
     )
-    listed = surveyed.filter("chunk IS NULL").select("doc_id", "n_shingles", "node")
+    listed = surveyed.filter("chunk IS NULL").select("doc_id", "row_hash", "n_shingles", "node")
     ranks = _ranks(surveyed).tobytes()
-    nodes = listed.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"), F.min("n_shingles").alias("n"))
+    nodes = listed.filter("node IS NOT NULL").groupBy("node").agg(F.min("row_hash").alias("row_hash"), F.min("n_shingles").alias("n"))
 
     entries = docs.select("text").mapInArrow(_prefixer(percent, ranks), "region long, node long, place int")
     regions = entries.groupBy("region").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
     members = stored(entries.join(regions.select("region"), "region", "left_semi").distinct(), "members")
 
     degrees = members.groupBy("node").agg(F.count("*").alias("degree"))
-    wanted = stored(degrees.join(nodes, "node").select("node", "least", "n", "degree"), "wanted")
-    ids = wanted.select("node", F.col("least").alias("doc_id"))
+    wanted = stored(degrees.join(nodes, "node").select("node", "row_hash", "n", "degree"), "wanted")
+    ids = wanted.select("node", "row_hash")
     picked = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    same_id = docs.join(picked, docs["doc_id"].eqNullSafe(picked["doc_id"])).select("node", "text")
-    texts = stored(same_id.mapInArrow(_packed, "node long, packed binary, sketch array<int>"), "texts")
+    chosen = docs.join(picked, "row_hash").select("node", "text")
+    texts = stored(chosen.mapInArrow(_packed, "node long, packed binary, sketch array<int>"), "texts")
 
     links, component = None, None
     members = members.join(wanted.select("node", "n", "degree"), "node")
@@ -223,7 +253,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
             .select("region", "node", "place", "n", "degree", (F.col("component") != F.col("pivot.component")).alias("apart"), F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("pivot_n")),
             "regions",
         )
-        pairs = rest.filter(F.col("apart") & _sizes("n", "pivot_n", percent)).select("pivot", "node").distinct()
+        pairs = rest.filter(F.col("apart") & _sizes("n", "pivot_n", percent)).select("pivot", "node", "n").distinct()
         measured = _measured(pairs, texts, percent)
         links, component = _linked(links, measured)
         members = rest.select("region", "node", "place", "n", "degree", "pivot")
@@ -231,7 +261,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     split = left.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
     left = left.join(split.select("region"), "region", "left_semi").join(
         measured.select("pivot", "node", "distance"), ["pivot", "node"], "left"
-    ).join(texts.select("node", "sketch"), "node")
+    ).join(texts.select("node", "sketch").dropDuplicates(["node"]), "node")
     left = stored(left, "regions")
     x, y = left.alias("x"), left.alias("y")
     window = F.coalesce(F.abs(F.col("x.distance") - F.col("y.distance")) <= (100 - percent) / 100 + 1e-9, F.lit(True))
@@ -245,15 +275,11 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         & (F.col("x.component") != F.col("y.component")) & _sizes("x.n", "y.n", percent) & window & (follow >= enough)
         & (differ * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent))
     )
-    pairs = x.join(y, crossing).select(F.col("x.node").alias("pivot"), F.col("y.node").alias("node")).distinct()
+    pairs = x.join(y, crossing).select(F.col("x.node").alias("pivot"), F.col("y.node").alias("node"), F.col("y.n").alias("n")).distinct()
     _, component = _linked(links, _measured(pairs, texts, percent))
 
-    labelled = nodes.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_node = labelled.join(least, "component").select("node", "component_id")
-    return listed.join(of_node, "node", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
-    )
+    labelled = nodes.join(component, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    return listed.join(labelled, "node", "left").select("doc_id", "row_hash", "n_shingles", "component")
 
 
 def _sizes(a: str, b: str, percent: int):
@@ -273,11 +299,28 @@ def _linked(links: DataFrame | None, measured: DataFrame) -> tuple[DataFrame, Da
     return links, components(links)
 
 
-def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The documents without those that link to one of a smaller id, directly or through others."""
-    found = near_duplicates(docs, doc_id=doc_id, text=text, **how)
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(gone, doc_id, "left_anti")
+def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The documents without those that link to another one that stays, directly or through others.
+
+    Of each component the row of the smallest id stays, one without id only if none has any; of several
+    with this id the one whose hash of id and text is smallest, and of equal rows one. Documents without
+    words all stay.
+    """
+    found = stored(_components_of(docs, doc_id, text, percent), "components")
+    of_group = found.filter("component IS NOT NULL")
+    first = of_group.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_hash")).alias("first"))
+    rows = of_group.groupBy("component", "row_hash").agg(F.count("*").alias("n"))
+    judged = rows.join(first, "component").select(
+        F.col("row_hash").alias("_row"), "n", (F.col("row_hash") == F.col("first.row_hash")).alias("stays")
+    )
+    judged = stored(judged, "judged")
+    hashed = docs.withColumn("_row", F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`")))
+    kept = hashed.join(judged.filter("NOT stays").select("_row"), "_row", "left_anti")
+    twice = judged.filter("stays AND n > 1").select("_row")
+    if not twice.isEmpty():
+        once = kept.join(twice, "_row", "left_semi").dropDuplicates(["_row"])
+        kept = kept.join(twice, "_row", "left_anti").unionByName(once)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 by_value(__name__)

@@ -201,6 +201,21 @@ def test_components_odd_rows(spark, odd):
     assert jaccard_join.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_components_of_repeated_missing_and_text_ids(spark):
+    """Rows of one id are told apart by their texts; copies without id leave one."""
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (None, "c " * 9 + "d e f g"), (None, "c " * 9 + "d e f g"), (None, None), (9, a), (9, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(((r["doc_id"] or 0), r["component_id"]) for r in jaccard_join.near_duplicates(df).collect())
+    assert found == [(0, None), (0, None), (0, None), (1, 1), (1, 1), (2, 1), (3, 1), (9, 1), (9, 1)]
+    kept = sorted((r["doc_id"] or 0, r["text"] or "") for r in jaccard_join.keep_one(df).collect())
+    assert kept == [(0, ""), (0, "c " * 9 + "d e f g"), (1, a), (1, b)]
+    again = spark.createDataFrame([(5, a), (5, a), (5, a), (6, "x y z")], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in jaccard_join.keep_one(again).collect()) == [5, 6]
+    named = df.selectExpr("'d' || doc_id AS doc_id", "text", "1 AS row_hash", "2 AS component")
+    assert {r["component_id"] for r in jaccard_join.near_duplicates(named).collect()} == {None, "d1"}
+
+
 def test_toxicity_odd_rows(spark, odd):
     labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (4, None)], "doc_id long, toxic int")
     model = toxicity.fit(odd, labels)
