@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortweave.functions.names import c
@@ -82,14 +82,17 @@ def mark_processed_by_name(manifest: DataFrame, silver_names: DataFrame) -> Data
 
 
 def status_counts(marked: DataFrame) -> DataFrame:
-    """Counts per subject, and in the row with a null subject the totals over all of them, by one rollup.
+    """Counts per subject, and in the row with a null subject the totals over all of them.
 
-    A table without files has the row of totals alone.
+    The totals add up the rows per subject, so no task sees more than partial sums. A table without
+    files has the row of totals alone.
     """
-    counted = marked.rollup("subject_id").agg(*_tallies(), F.grouping("subject_id").alias("_total"))
-    per_subject = F.count_if(c("_total") == 0).over(Window.partitionBy())
-    named = counted.withColumn("subjects", F.when(c("_total") == 1, per_subject).otherwise(F.lit(1)).cast("bigint"))
-    return named.select("subject_id", "subjects", *[n for n in counted.columns if n not in ("subject_id", "_total")])
+    names = ["total_files", "processable", "processed", "pending", "skipped"]
+    per_subject = marked.groupBy("subject_id").agg(*_tallies())
+    totals = per_subject.agg(
+        F.count(F.lit(1)).alias("subjects"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]
+    ).withColumn("subject_id", F.lit(None).cast("string"))
+    return per_subject.withColumn("subjects", F.lit(1).cast("bigint")).select("subject_id", "subjects", *names).unionByName(totals)
 
 
 def _tallies() -> list[Column]:
