@@ -11,6 +11,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -56,24 +57,66 @@ NAME_WEIGHTS = {
 _PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|none|null|true|false|change_?me|example.*|your.*|todo|placeholder.*|<.*>)$")
 
 
+_PLACEHOLDER_HEAD = re.compile(r"(?i)example|your|placeholder")
+# Characters that are kept of a literal to see whether it is a placeholder: all of a short one, the first of others.
+SHORT, HEAD = 64, 16
+
+
 def name_weight(name: str) -> float:
     parts = [p.lower() for p in _PART.findall(name)]
     return max((NAME_WEIGHTS.get(p, 0.0) for p in [*parts, *(a + b for a, b in zip(parts, parts[1:]))]), default=0.0)
 
 
-def literal_weight(literal: str) -> float:
+@dataclass(frozen=True)
+class Value:
+    """What is known of a literal put together of others: enough to weigh it, whatever its length."""
+
+    counts: Counter
+    length: int = 0
+    head: str = ""  # the first characters
+    last: str = ""
+    short: str | None = ""  # the whole text up to SHORT characters
+
+    @classmethod
+    def of(cls, text: str) -> Value:
+        return cls(Counter(text), len(text), text[:HEAD], text[-1:], text if len(text) <= SHORT else None)
+
+    def __add__(self, other: Value) -> Value:
+        whole = None if self.short is None or other.short is None else self.short + other.short
+        return Value(
+            self.counts + other.counts, self.length + other.length, (self.head + other.head)[:HEAD], other.last or self.last,
+            whole if whole is not None and len(whole) <= SHORT else None,
+        )
+
+    def is_placeholder(self) -> bool:
+        if self.short is not None:
+            return bool(_PLACEHOLDER.match(self.short))
+        one_kind = set(self.counts) <= {"x", "X"} or set(self.counts) in ({"*"}, {"."})
+        return one_kind or bool(_PLACEHOLDER_HEAD.match(self.head)) or (self.head[0] == "<" and self.last == ">")
+
+
+def literal_weight(literal: str | Value) -> float:
     """How much a literal looks like a secret: long, of mixed characters, no placeholder and no prose."""
-    if len(literal) < 8 or _PLACEHOLDER.match(literal) or " " in literal:
+    value = Value.of(literal) if isinstance(literal, str) else literal
+    n, counts = value.length, value.counts
+    if n < 8 or value.is_placeholder() or " " in counts:
         return 0.0
-    n = len(literal)
-    entropy = -sum(k / n * math.log2(k / n) for k in Counter(literal).values())
-    mixed = any(c.isdigit() for c in literal) + any(c.isalpha() for c in literal) + any(not c.isalnum() for c in literal)
-    return min(1.0, n / 12) * min(1.0, entropy / 3) * (1.0 if mixed > 1 else 0.5)
+    entropy = -sum(share * math.log2(share) for k in counts.values() if (share := k / n))
+    mixed = any(c.isdigit() for c in counts) + any(c.isalpha() for c in counts) + any(not c.isalnum() for c in counts)
+    return (1.0 if n >= 12 else n / 12) * min(1.0, entropy / 3) * (1.0 if mixed > 1 else 0.5)
 
 
 def assigned_literals(text: str) -> Iterator[tuple[float, int, int]]:
-    """(score, start, end) of each literal, scored by the most secret name that it reaches."""
-    known: dict[str, tuple[str, list[tuple[int, int]]]] = {}
+    """(score, start, end) of each literal, scored by the most secret name that it reaches.
+
+    A name is a node with its own literals and the earlier nodes that it is made of, so long chains and
+    sums of constants take time in proportion to the text; scores go back along them at the end.
+    """
+    known: dict[str, int] = {}
+    values: list[Value] = []
+    scores: list[float] = []
+    literals: list[list[tuple[int, int]]] = []
+    made_of: list[set[int]] = []
     at = 0
     while found := _PAIR.search(text, at):
         terms, end = [(found[3], found.start(3), found.end(3))], found.end(3)
@@ -81,20 +124,28 @@ def assigned_literals(text: str) -> Iterator[tuple[float, int, int]]:
             terms.append((more[1], more.start(1), more.end(1)))
             end = more.end(1)
         at = end
-        value, spans = "", []
+        value, own, parts = Value.of(""), [], set()
         for term, start, stop in terms:
             if term[0] in "\"'":
-                value, spans = value + term[1:-1], [*spans, (start + 1, stop - 1)]
+                value = value + Value.of(term[1:-1])
+                own.append((start + 1, stop - 1))
             elif (name := term.strip("${}")) in known:  # a constant: its literals count where they were written
-                value, spans = value + known[name][0], [*spans, *known[name][1]]
+                value = value + values[known[name]]
+                parts.add(known[name])
             elif term[0] != "$":
-                value, spans = value + term, [*spans, (start, stop)]
-        if spans:
-            spans = list(dict.fromkeys(spans))
-            known[found[1]] = (value, spans)
+                value = value + Value.of(term)
+                own.append((start, stop))
+        if own or parts:
+            known[found[1]] = len(values)
             # What stands where a type does may be the name itself, as in `Cookie: auth_key=x`.
-            score = max(name_weight(found[1]), name_weight(found[2] or "")) * literal_weight(value)
-            yield from ((score, start, stop) for start, stop in spans)
+            scores.append(max(name_weight(found[1]), name_weight(found[2] or "")) * literal_weight(value))
+            values.append(value)
+            literals.append(own)
+            made_of.append(parts)
+    for node in reversed(range(len(values))):
+        for part in made_of[node]:
+            scores[part] = max(scores[part], scores[node])
+        yield from ((scores[node], start, stop) for start, stop in literals[node])
 
 
 def find_secrets(text: str | None, secret_score: float = SECRET_SCORE) -> list[tuple[str, int, int]]:
@@ -144,7 +195,8 @@ def scan(docs: DataFrame, text: str = "text", *, secret_score: float = SECRET_SC
     """The documents with `secrets`: an array of (kind, start, end); `redacted` also replaces them.
 
     Kinds assign, access and hex are the fixed patterns over the whole text; literal is what the
-    lexer adds outside them. Null and empty texts have none. Other columns pass through; one named
+    lexer adds outside them. Time and memory follow the length of a text, however its constants are put
+    together. Null and empty texts have none. Other columns pass through; one named
     `secrets` is replaced.
     """
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "secrets"])

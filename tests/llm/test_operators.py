@@ -1,5 +1,7 @@
 """Rules of single operators, and nulls, empty tables, long texts, ties and clashing columns."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -50,6 +52,18 @@ def test_secret_constant_keeps_all_its_parts():
     assert secret_scan.find_secrets("password == abcd1234efgh; x: name = colour1234567\n") == []
 
 
+def test_secret_constants_take_linear_time():
+    start = time.perf_counter()
+    doubled = 'a = "q7Rk2pZx9vLm"\n' + "a = a + a\n" * 10_000 + "password = a\n"
+    assert [doubled[x:y] for _, x, y in secret_scan.find_secrets(doubled)] == ["q7Rk2pZx9vLm"]
+    grown = 'a = "q7Rk2pZx9vLm"\n' + "".join(f'a = a + "{i * 40503 % 65536:04x}"\n' for i in range(8_000)) + "token_ = a\n"
+    assert len(secret_scan.find_secrets(grown)) == 8_001
+    assert time.perf_counter() - start < 6
+    for text in ("x" * 70, "*" * 70, "example" + "1a" * 40, "<" + "a1" * 40 + ">", "q7Rk2pZx" * 12, "your-" + "q7" * 40):
+        whole, parts = secret_scan.literal_weight(text), secret_scan.Value.of(text[:40]) + secret_scan.Value.of(text[40:])
+        assert secret_scan.literal_weight(parts) == whole and (whole > 0) == text.startswith("q7")
+
+
 def test_scan_odd_rows(spark, odd):
     out = secret_scan.scan(odd, redacted=True)
     assert out.count() == 8 and out.filter(F.size("secrets") > 0).count() == 0
