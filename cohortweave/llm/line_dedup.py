@@ -30,6 +30,8 @@ END_WORDS = 5
 # Candidate lines are picked in the scan by a bit filter of eight bits each, of at most 2^FILTER_BITS bits
 # (16 MB); beyond, more lines pass it than the join after it keeps.
 FILTER_BITS = 27
+# Bytes of text that are split at once: places of bytes and words take some forty times as much for a while.
+LINE_BLOCK_BYTES = 1_500_000
 
 _BASE = np.uint64(0xD1342543DE82EF95)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -84,7 +86,7 @@ def end_words(n: np.ndarray) -> np.ndarray:
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hashes of each line and of its first and last words, as many as it and a line of one word less compare."""
-    for rows in blocks(batches, "text"):
+    for rows in blocks(batches, "text", LINE_BLOCK_BYTES):
         lines = find_lines(rows.column("text"))
         spaces = np.flatnonzero(lines.data[: int(lines.ends[-1]) if len(lines.ends) else 0] == _SPACE)
         line = np.searchsorted(lines.starts, spaces, side="right") - 1
@@ -116,7 +118,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _reader(bits: np.ndarray, mask: int):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The lines whose place is in the filter, with their words."""
-        for rows in blocks(batches, "text"):
+        for rows in blocks(batches, "text", LINE_BLOCK_BYTES):
             lines = find_lines(rows.column("text"))
             h1 = lines.hashes(0).view(np.int64)
             row_hash = rows.column("row_hash").to_numpy()[lines.row]
@@ -165,7 +167,7 @@ def _end_words(n: Column) -> Column:
 
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hashes of each line whole (i = 0) and without its i-th word, where that word can be the edited one."""
-    for rows in blocks(batches, "line"):
+    for rows in blocks(batches, "line", LINE_BLOCK_BYTES):
         which, cuts, keys = [], [], []
         heads, tails = rows.column("head_k").to_pylist(), rows.column("tail_k").to_pylist()
         for at, line in enumerate(rows.column("line").to_pylist()):
