@@ -71,17 +71,21 @@ def number_text_sql(text: str) -> str:
     return f"CASE WHEN {fractional} THEN {number} ELSE {text} END"
 
 
-def plain_text_sql(name: str, data_type: T.DataType) -> str:
-    """SQL for the text of a column's value; missing values are written as 'nan'."""
-    value = quoted(name)
+def text_sql(value: str, data_type: T.DataType, missing: str = "'nan'") -> str:
+    """SQL for the text of a value of the given type; missing values, NaN included, become `missing`."""
     text = f"CAST({value} AS STRING)"
     if isinstance(data_type, T.DoubleType):
-        text = f"CASE WHEN isnan({value}) THEN 'nan' ELSE {plain_double_sql(value)} END"
+        text = f"CASE WHEN NOT isnan({value}) THEN {plain_double_sql(value)} END"
     elif isinstance(data_type, T.FloatType):
-        text = f"CASE WHEN isnan({value}) THEN 'nan' ELSE {text} END"
+        text = f"CASE WHEN NOT isnan({value}) THEN {text} END"
     elif isinstance(data_type, T.BooleanType):
         text = f"initcap({text})"
-    return f"coalesce({text}, 'nan')"
+    return text if missing == "NULL" else f"coalesce({text}, {missing})"
+
+
+def plain_text_sql(name: str, data_type: T.DataType) -> str:
+    """SQL for the text of a column's value; missing values are written as 'nan'."""
+    return text_sql(quoted(name), data_type)
 
 
 def row_hash(fields: Iterable[T.StructField]) -> Column:

@@ -42,12 +42,18 @@ def drop_identifiers(keep: Collection[str] = ()) -> Callable[[DataFrame], DataFr
     return apply
 
 
+def is_capped_age(name: str) -> bool:
+    """True for a column whose name stands for a participant's age."""
+    lowered = name.lower()
+    return "age" in lowered and "participant" in lowered
+
+
 def cap_ages(df: DataFrame) -> DataFrame:
     """Numeric participant ages above the limit become the cap."""
     columns = []
     for field in df.schema:
-        lowered, value = field.name.lower(), quoted(field.name)
-        if "age" in lowered and "participant" in lowered and isinstance(field.dataType, T.NumericType):
+        value = quoted(field.name)
+        if is_capped_age(field.name) and isinstance(field.dataType, T.NumericType):
             cap = f"CAST({AGE_CAP_VALUE} AS {field.dataType.simpleString()})"
             value = f"CASE WHEN {value} > {AGE_CAP_ABOVE} THEN {cap} ELSE {value} END AS {value}"
         columns.append(value)

@@ -13,6 +13,7 @@ from cohortweave.functions.names import c
 from cohortweave.functions.values import row_hash
 from cohortweave.operators.deidentify import deidentify, is_birth, undated_births
 from cohortweave.operators.flatten import CHUNK, Layout, hash_order, nest, variables_by_modality, widen
+from cohortweave.operators.nested import RECORDS_PER_ROW, deidentify_records, marked, record_hash
 from cohortweave.operators.ordering import HOT_FLOOR
 
 
@@ -56,6 +57,29 @@ def build_gold(
     return hashed.transform(deidentify(keep, _undated(silver, layout)))
 
 
+def build_nested(
+    silver: DataFrame,
+    order_by: Sequence[str] = (SOURCE,),
+    variables: Mapping[str, Sequence[str]] | None = None,
+    width: Mapping[str, int] | int = RECORDS_PER_ROW,
+    *,
+    keys: Sequence[str] = KEYS,
+    keep: Collection[str] = (),
+    floor: int = HOT_FLOOR,
+) -> DataFrame:
+    """Nested cohort with provenance hash, without identifiers: the form to store.
+
+    Its columns are the modalities, so a group of any length can be planned; a row holds at most
+    `width` records of each. `operators.nested` answers wide names, statistics and exports from it.
+    """
+    nested, layout = gold_nested(silver, order_by, variables, width, keys=keys, floor=floor)
+    hashed = nested.withColumn(HASH, record_hash(nested, keys))
+    if layout.chunked:
+        hashed = _hash_of_all_chunks(hashed, keys)
+    undated = _undated(silver, Layout(layout.variables, dict.fromkeys(layout.variables, 1)))
+    return marked(deidentify_records(hashed, keep, undated), layout)
+
+
 def _hash_of_all_chunks(wide: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One hash per subject and session: of its chunks' hashes in order where it has several."""
     chunks = F.array_sort(F.collect_list(F.struct(CHUNK, HASH)).over(Window.partitionBy(*[c(k) for k in keys])))
