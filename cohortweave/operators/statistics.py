@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from itertools import accumulate
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,9 +15,11 @@ from cohortweave.functions.names import c
 from cohortweave.functions.values import missing_nan
 
 QUARTILES = (0.25, 0.5, 0.75)
-# Up to this many values, Spark's exact percentile (which keeps all distinct values of a column
-# in one task) is used as it is; beyond, quantiles are searched for in narrowing brackets.
+# Up to this many values, over all columns that share a task, Spark's exact percentile (which keeps all
+# distinct values there) is used as it is; beyond, quantiles are searched for in narrowing brackets.
 PERCENTILE_ROWS = 1_000_000
+# Columns whose quantiles are searched for together; a sketch takes some hundred KB of a task.
+COLUMNS_PER_PASS = 256
 
 
 def _present(df: DataFrame, name: str) -> Column:
@@ -27,6 +30,16 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 
 
+class _Bracket(NamedTuple):
+    """Values of a column from `low` to `high`: how many lie below them and how many they are."""
+
+    column: str
+    low: float
+    high: float
+    below: int
+    inside: int
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -36,11 +49,12 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Exact quantiles with linear interpolation between the two nearest ranks.
 
-    A large column is never gathered in one place. An approximate percentile brackets each
-    wanted rank, one aggregate counts what lies below and inside every bracket, and brackets are
-    narrowed until each holds at most `max_rows` distinct values, which are then counted and
-    ranked exactly. Every pass is a map-side combined aggregate with a small result. Known
-    `counts` of present values save the first pass.
+    Columns that hold at most `max_rows` values together are ranked by one aggregate. For the others an
+    approximate percentile brackets each wanted rank, one aggregate counts what lies below and inside
+    every bracket, and brackets are narrowed until each holds at most `max_rows` values, which are then
+    counted and ranked exactly. All columns narrow in the same passes (in sets of `COLUMNS_PER_PASS`,
+    which bounds the sketches of a task), every pass is a map-side combined aggregate with a small
+    result, and no task holds a large column. Known `counts` of present values save the first pass.
     """
     values = {n: _present(df, n).cast("double") for n in columns}
     if counts is None and values:
@@ -48,91 +62,113 @@ def exact_quantiles(
         counts = dict(zip(values, counted))
     result: dict[str, list[float | None]] = {n: [None] * len(probabilities) for n in columns}
 
-    small = [n for n in columns if 0 < counts[n] <= max_rows]
+    filled = sorted((n for n in values if counts[n]), key=lambda n: counts[n])
+    held = dict(zip(filled, accumulate(counts[n] for n in filled)))
+    small = [n for n in filled if held[n] <= max_rows]
     if small:
         row = df.agg(
             *[F.percentile(values[n], F.array(*map(F.lit, probabilities))).alias(f"_{i}") for i, n in enumerate(small)]
         ).first()
         result.update({n: list(row[i]) for i, n in enumerate(small)})
-    for name in columns:
-        if counts[name] > max_rows:
-            found = _ranked_values(df.select(values[name].alias("v")).filter("v IS NOT NULL"), counts[name],
-                                   probabilities, max_rows)
-            result[name] = found
+    large = [n for n in filled if held[n] > max_rows]
+    for at in range(0, len(large), COLUMNS_PER_PASS):
+        part = large[at : at + COLUMNS_PER_PASS]
+        numbers = df.select(*[values[n].alias(n) for n in part])
+        result.update(_ranked_values(numbers, {n: counts[n] for n in part}, probabilities, max_rows))
     return result
 
 
-def _ranked_values(df: DataFrame, count: int, probabilities: Sequence[float], max_rows: int) -> list[float]:
-    positions = [p * (count - 1) for p in probabilities]
-    ranks = sorted({r for position in positions for r in (math.floor(position), math.ceil(position))})
-    at_rank: dict[int, float] = {}
-    brackets = {rank: (-math.inf, math.inf, 0, count) for rank in ranks}  # low, high, rows below, rows inside
-    while brackets:
-        brackets = _narrow(df, brackets, at_rank)
-        ready = {r: b for r, b in brackets.items() if b[3] <= max_rows}
-        at_rank.update(_pick(df, ready))
-        brackets = {r: b for r, b in brackets.items() if r not in ready}
-    return [
-        at_rank[math.floor(x)] + (x - math.floor(x)) * (at_rank[math.ceil(x)] - at_rank[math.floor(x)])
-        for x in positions
-    ]
+def _ranked_values(
+    df: DataFrame, counts: Mapping[str, int], probabilities: Sequence[float], max_rows: int
+) -> dict[str, list[float]]:
+    positions = {n: [p * (count - 1) for p in probabilities] for n, count in counts.items()}
+    at_rank: dict[tuple[str, int], float] = {}
+    open_ranks = {
+        (n, r): _Bracket(n, -math.inf, math.inf, 0, counts[n])
+        for n, wanted in positions.items() for x in wanted for r in (math.floor(x), math.ceil(x))
+    }
+    ready: dict[tuple[str, int], _Bracket] = {}
+    while open_ranks:
+        narrowed = _narrow(df, open_ranks, at_rank)
+        ready |= {r: b for r, b in narrowed.items() if b.inside <= max_rows}
+        open_ranks = {r: b for r, b in narrowed.items() if b.inside > max_rows}
+    at_rank |= _pick(df, ready)
+
+    def interpolated(n: str, x: float) -> float:
+        low, high = at_rank[n, math.floor(x)], at_rank[n, math.ceil(x)]
+        return low + (x - math.floor(x)) * (high - low)
+
+    return {n: [interpolated(n, x) for x in wanted] for n, wanted in positions.items()}
 
 
-def _narrow(df: DataFrame, brackets: dict, at_rank: dict[int, float]) -> dict:
-    """Shrink every bracket around its rank; ranks that fall on one repeated value are settled."""
-    wanted = list(brackets.items())
+def _narrow(df: DataFrame, brackets: Mapping, at_rank: dict) -> dict:
+    """Shrink every bracket around its rank; ranks that fall on one repeated value are settled.
+
+    Ranks of one bracket share a sketch: in the first pass there is one sketch per column.
+    """
     margin = 0.001
-    guesses = df.agg(
-        *[
-            F.percentile_approx(
-                F.when(c("v").between(low, high), c("v")),
-                [max(0.0, (rank - below) / inside - margin), min(1.0, (rank - below) / inside + margin)],
-                10_000,
-            ).alias(f"_{i}")
-            for i, (rank, (low, high, below, inside)) in enumerate(wanted)
-        ]
-    ).first()
-    tallies = df.agg(
-        *[
-            F.array(
-                F.count_if(c("v") < guesses[i][0]), F.count_if(c("v") == guesses[i][0]),
-                F.count_if(c("v") <= guesses[i][1]), F.count_if(c("v") == guesses[i][1]),
-            ).alias(f"_{i}")
-            for i in range(len(wanted))
-        ]
-    ).first()
+    ranks_in: dict[_Bracket, list[int]] = {}
+    for (_, rank), bracket in brackets.items():
+        ranks_in.setdefault(bracket, []).append(rank)
+    shares = {
+        b: [min(1.0, max(0.0, (rank - b.below) / b.inside + step)) for rank in ranks for step in (-margin, margin)]
+        for b, ranks in ranks_in.items()
+    }
+    sketches = df.agg(*[
+        F.percentile_approx(F.when(c(b.column).between(b.low, b.high), c(b.column)), wanted, 10_000).alias(f"_{i}")
+        for i, (b, wanted) in enumerate(shares.items())
+    ]).first()
+    guesses = [
+        (b, rank, sketches[i][2 * j], sketches[i][2 * j + 1])
+        for i, (b, ranks) in enumerate(ranks_in.items()) for j, rank in enumerate(ranks)
+    ]
+    tallies = df.agg(*[
+        F.array(
+            F.count_if(c(b.column) < left), F.count_if(c(b.column) == left),
+            F.count_if(c(b.column) <= right), F.count_if(c(b.column) == right),
+        ).alias(f"_{i}")
+        for i, (b, _, left, right) in enumerate(guesses)
+    ]).first()
     remaining = {}
-    for i, (rank, (low, high, below, inside)) in enumerate(wanted):
-        (left, right), (under, at_left, upto, at_right) = guesses[i], tallies[i]
+    for i, (b, rank, left, right) in enumerate(guesses):
+        under, at_left, upto, at_right = tallies[i]
+        key = (b.column, rank)
         if under <= rank < under + at_left:
-            at_rank[rank] = left
+            at_rank[key] = left
         elif upto - at_right <= rank < upto:
-            at_rank[rank] = right
+            at_rank[key] = right
         elif rank < under:
-            remaining[rank] = (low, math.nextafter(left, -math.inf), below, under - below)
+            remaining[key] = b._replace(high=math.nextafter(left, -math.inf), inside=under - b.below)
         elif rank >= upto:
-            remaining[rank] = (math.nextafter(right, math.inf), high, upto, below + inside - upto)
+            remaining[key] = b._replace(low=math.nextafter(right, math.inf), below=upto, inside=b.below + b.inside - upto)
         else:
             first = under + at_left
-            remaining[rank] = (
-                math.nextafter(left, math.inf), math.nextafter(right, -math.inf), first, upto - at_right - first
+            remaining[key] = _Bracket(
+                b.column, math.nextafter(left, math.inf), math.nextafter(right, -math.inf), first, upto - at_right - first
             )
     return remaining
 
 
-def _pick(df: DataFrame, brackets: dict) -> dict[int, float]:
-    """Values at the ranks of brackets that are small enough to rank one by one."""
+def _pick(df: DataFrame, brackets: Mapping) -> dict:
+    """Values at the ranks of brackets that are small enough to rank one by one, of all columns in one pass."""
     if not brackets:
         return {}
-    inside = [
-        df.filter(c("v").between(low, high)).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-        .select(F.lit(rank).alias("rank"), F.lit(below).alias("below"), "v", "n")
-        for rank, (low, high, below, _) in brackets.items()
-    ]
-    running = Window.partitionBy("rank").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = reduce(DataFrame.unionByName, inside).withColumn("upto", c("below") + F.sum("n").over(running))
-    hits = ranked.filter((c("rank") < c("upto")) & (c("rank") >= c("upto") - c("n")))
-    return {row["rank"]: row["v"] for row in hits.collect()}
+    distinct = list(dict.fromkeys(brackets.values()))
+    cells = F.array_compact(F.array(*[
+        F.when(c(b.column).between(b.low, b.high), F.struct(F.lit(i).alias("bracket"), c(b.column).alias("v")))
+        for i, b in enumerate(distinct)
+    ]))
+    counted = df.select(F.inline(cells)).groupBy("bracket", "v").agg(F.count(F.lit(1)).alias("n"))
+    running = Window.partitionBy("bracket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    # One row per wanted rank: at most twice the probabilities times the columns of a pass.
+    wanted = df.sparkSession.createDataFrame(
+        [(distinct.index(b), rank, rank - b.below) for (_, rank), b in brackets.items()], "wanted int, rank long, place long"
+    )
+    hits = counted.withColumn("upto", F.sum("n").over(running)).join(
+        F.broadcast(wanted),
+        (c("bracket") == c("wanted")) & (c("place") < c("upto")) & (c("place") >= c("upto") - c("n")),
+    )
+    return {(distinct[r["bracket"]].column, r["rank"]): r["v"] for r in hits.select("bracket", "rank", "v").collect()}
 
 
 DESCRIPTION = (

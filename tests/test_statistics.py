@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from cohortweave.operators.statistics import correlations, describe, exact_quantiles
 
@@ -38,6 +39,30 @@ def test_quantiles_are_exact_on_both_ways(frame, max_rows):
         assert found[name] == pytest.approx(data[name].quantile(list(probabilities)).tolist(), rel=1e-12)
 
 
+def test_passes_do_not_grow_with_the_columns(spark, frame):
+    df, data = frame
+    wide = df.select("*", *[(F.col("x") * (i + 2)).alias(f"x{i}") for i in range(12)])
+
+    def jobs(columns):
+        group = f"quantiles-{len(columns)}"
+        spark.sparkContext.setJobGroup(group, group)
+        found = exact_quantiles(wide, columns, max_rows=50)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return found, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    (one, alone), (all_, together) = jobs(["x"]), jobs(["x", *[f"x{i}" for i in range(12)]])
+    assert together <= alone + 2
+    assert all_["x"] == one["x"]
+    assert all_["x11"] == pytest.approx((data["x"] * 13).quantile([0.25, 0.5, 0.75]).tolist())
+
+
+def test_small_columns_share_a_task_only_up_to_the_bound(frame):
+    df, data = frame
+    found = exact_quantiles(df, ["x", "y", "hot"], max_rows=6000)  # y alone fits
+    for name in ("x", "y", "hot"):
+        assert found[name] == pytest.approx(data[name].quantile([0.25, 0.5, 0.75]).tolist(), rel=1e-12)
+
+
 def test_describe(frame):
     df, data = frame
     rows = {r["column"]: r for r in describe(df, ["x", "y", "name", "missing"]).collect()}
