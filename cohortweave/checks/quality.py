@@ -123,6 +123,28 @@ def categorical_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("sample_values", F.array_join("sample_values", "|"))
 
 
+def _document_sql(name: str) -> str:
+    return f"""
+        SELECT lang, '{name}' AS "column", count(*) AS unique_values,
+               CAST(sum(n) FILTER (lower(v) IN ('n/a', 'na', 'none', 'null', '')) AS BIGINT) AS na_like,
+               md5(string_agg(v, '|' ORDER BY k, v) FILTER (r <= 5)) AS samples_md5
+        FROM (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY k, v) AS r FROM (
+                SELECT lang, {name}::VARCHAR AS v, count(*) AS n, min(doc_id) AS k
+                FROM documents WHERE {name} IS NOT NULL GROUP BY lang, v))
+        GROUP BY lang"""
+
+
+@query(f"""
+    SELECT lang, "column", unique_values, coalesce(na_like, 0) AS na_like_values, samples_md5
+    FROM ({_document_sql("text")} UNION ALL {_document_sql("source")})
+""")
+def categorical_profile_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of up to thousands of words: only their digests are shuffled."""
+    found = profile.categorical_profile(table(spark, sf_dir, "documents"), ["lang"], ["text", "source"], ["doc_id"])
+    return found.withColumn("samples_md5", F.md5(F.array_join("sample_values", "|"))).drop("sample_values")
+
+
 COMPLETENESS_SQL = f"""
     WITH profile AS ({PROFILE_SQL})
     SELECT modality_category, file,

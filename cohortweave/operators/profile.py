@@ -26,6 +26,9 @@ from cohortweave.functions.values import missing_nan
 from cohortweave.operators.lookups import lookup_join
 from cohortweave.sources.workspace import stored
 
+# Texts of up to this many bytes are grouped as they are, longer ones by digest.
+SHORT_TEXT = 64
+
 
 def is_numeric(data_type: T.DataType) -> bool:
     """Booleans count as numbers in a profile."""
@@ -139,8 +142,9 @@ def categorical_profile(
 ) -> DataFrame:
     """Distinct count, missing-like count and first distinct values of text columns per group.
 
-    Equal values are combined before the shuffle. "First" follows `order_by` (the value itself
-    if not given); only that many samples per column reach one task.
+    Equal values are combined before the shuffle, long ones as their 128-bit digest, so that what is shuffled does
+    not grow with the length of texts. "First" follows `order_by` (the value itself if not given; equal places go by
+    the value). Only samples that are long texts are fetched again, from the rows where they stand first.
     """
     fields = [f for f in _profiled(df, group, columns) if not is_numeric(f.dataType)]
     keys = [*group, "column"]
@@ -157,19 +161,37 @@ def categorical_profile(
             F.array(*[F.struct(F.lit(f.name).alias("column"), c(f.name).cast("string").alias("value")) for f in fields])
         ),
     ).filter("value IS NOT NULL")
-    values = stored(
-        cells.groupBy(*[c(k) for k in keys], "value").agg(
-            F.count(F.lit(1)).alias("_rows"), F.min("_seq").alias("_seq")
-        ),
-        "distinct-values",
+    is_short = F.octet_length("value") <= SHORT_TEXT
+    told_apart = cells.select(
+        *[c(k) for k in keys], "value",
+        (c("_seq") if order else F.left("value", F.lit(SHORT_TEXT))).alias("_seq"),
+        F.when(is_short, c("value")).alias("_text"),
+        F.when(~is_short, F.unhex(F.md5("value"))).alias("_digest"),
     )
+    identity = [*keys, "_text", "_digest"]
+    # Without an order the place of a value is part of the value.
+    measures = [F.count(F.lit(1)).alias("_rows"), F.sum(is_na_like(c("value")).cast("long")).alias("_na")]
+    if order:
+        grouped = told_apart.groupBy(*[c(k) for k in identity]).agg(*measures, F.min("_seq").alias("_seq"))
+    else:
+        grouped = told_apart.groupBy(*[c(k) for k in identity], "_seq").agg(*measures)
+    values = stored(grouped, "distinct-values")
     counts = values.groupBy(*[c(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias("unique_values"),
-        F.sum(F.when(is_na_like(c("value")), c("_rows")).otherwise(0)).alias("na_like_values"),
+        F.count(F.lit(1)).alias("unique_values"), F.sum("_na").alias("na_like_values")
     )
+    ranked = values.withColumn("_rank", F.rank().over(Window.partitionBy(*[c(k) for k in keys]).orderBy("_seq")))
+    candidates = ranked.filter(c("_rank") <= samples).select(*[c(k) for k in identity], "_seq")
+    texts = candidates.filter("_digest IS NULL").select(*[c(k) for k in keys], "_seq", c("_text").alias("value"))
+    if not values.filter("_digest IS NOT NULL").isEmpty():
+        wanted = stored(candidates.filter("_digest IS NOT NULL").drop("_text"), "long-samples")
+        rows = told_apart.filter("_digest IS NOT NULL").drop("_text")
+        place = [*keys, "_digest", "_seq"]
+        found = lookup_join(rows, wanted, place, how="left_semi", null_safe=True)
+        fetched = found.groupBy(*[c(k) for k in place]).agg(F.min("value").alias("value"))
+        texts = texts.unionByName(fetched.select(*[c(k) for k in keys], "_seq", "value"))
     first = Window.partitionBy(*[c(k) for k in keys]).orderBy("_seq", "value")
     picked = (
-        values.withColumn("_rank", F.row_number().over(first))
+        texts.withColumn("_rank", F.row_number().over(first))
         .filter(c("_rank") <= samples)
         .groupBy(*[c(k) for k in keys])
         .agg(F.array_sort(F.collect_list(F.struct("_rank", "value"))).alias("_picked"))

@@ -92,3 +92,21 @@ def test_tables_of_one_kind_of_column(spark):
     assert profile.full_profile(numbers, ["file"]).first()["unique_values"] is None
     texts = spark.createDataFrame([("f", "a"), ("f", "b")], "file string, x string")
     assert profile.full_profile(texts, ["file"]).first()["outlier_count"] is None
+
+
+@pytest.mark.parametrize("order_by", [None, ["seq"], ["seq", "other"]])
+def test_long_texts_are_told_apart_whole(spark, order_by):
+    head = "header of every note " * 20
+    texts = [head + "b", head + "a", head, "short", "", " N/A ", "x" * 64, "x" * 65, "\u00e4" * 33, None, head + "a", "short"]
+    rows = [(g, len(texts) - i if g == "k" else 1, i, t) for g in ("k", None) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "g string, seq int, other int, note string")
+    found = {r["g"]: r for r in profile.categorical_profile(df, ["g"], ["note"], order_by, samples=4).collect()}
+    for g in ("k", None):
+        first = {}
+        for _, seq, other, t in (r for r in rows if r[0] == g and r[3] is not None):
+            place = {"seq": seq, "other": other}
+            first[t] = min(first.get(t, (9**9, 9**9)), tuple(place[o] for o in order_by or ()))
+        expected = sorted(first, key=lambda t: (first[t], t))[:4]
+        assert found[g]["sample_values"] == expected
+        assert found[g]["unique_values"] == len(first)
+
