@@ -179,16 +179,17 @@ def categorical_profile(
     counts = values.groupBy(*[c(k) for k in keys]).agg(
         F.count(F.lit(1)).alias("unique_values"), F.sum("_na").alias("na_like_values")
     )
-    ranked = values.withColumn("_rank", F.rank().over(Window.partitionBy(*[c(k) for k in keys]).orderBy("_seq")))
-    candidates = ranked.filter(c("_rank") <= samples).select(*[c(k) for k in identity], "_seq")
-    texts = candidates.filter("_digest IS NULL").select(*[c(k) for k in keys], "_seq", c("_text").alias("value"))
+    texts = values.select(*[c(k) for k in keys], "_seq", c("_text").alias("value"))
     if not values.filter("_digest IS NOT NULL").isEmpty():
-        wanted = stored(candidates.filter("_digest IS NOT NULL").drop("_text"), "long-samples")
-        rows = told_apart.filter("_digest IS NOT NULL").drop("_text")
         place = [*keys, "_digest", "_seq"]
+        ranked = values.withColumn("_rank", F.rank().over(Window.partitionBy(*[c(k) for k in keys]).orderBy("_seq")))
+        wanted = stored(
+            ranked.filter((c("_rank") <= samples) & c("_digest").isNotNull()).select(*[c(k) for k in place]), "long-samples"
+        )
+        rows = told_apart.filter("_digest IS NOT NULL").drop("_text")
         found = lookup_join(rows, wanted, place, how="left_semi", null_safe=True)
         fetched = found.groupBy(*[c(k) for k in place]).agg(F.min("value").alias("value"))
-        texts = texts.unionByName(fetched.select(*[c(k) for k in keys], "_seq", "value"))
+        texts = texts.filter("value IS NOT NULL").unionByName(fetched.select(*[c(k) for k in keys], "_seq", "value"))
     first = Window.partitionBy(*[c(k) for k in keys]).orderBy("_seq", "value")
     picked = (
         texts.withColumn("_rank", F.row_number().over(first))
