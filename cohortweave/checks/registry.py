@@ -178,6 +178,33 @@ def variable_search_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variables.search_variables(table(spark, sf_dir, "part"), MISSPELT, "p_name", "p_brand")
 
 
+WORD = "[A-Za-z]{5,}"
+
+
+@query(f"""
+    WITH names AS (
+        SELECT name, count(*) AS rows FROM (SELECT unnest(regexp_extract_all(text, '{WORD}')) AS name FROM documents)
+        GROUP BY name),
+    asked AS (SELECT DISTINCT unnest(regexp_extract_all(text, '{WORD}')) AS keyword FROM benchmark),
+    scored AS (
+        SELECT keyword, name, rows,
+               1 - levenshtein(name, keyword)::DOUBLE / greatest(length(name), length(keyword)) AS score
+        FROM asked JOIN names ON abs(length(name) - length(keyword)) <= 0.25 * greatest(length(name), length(keyword))),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY keyword ORDER BY score DESC, name DESC) AS place
+        FROM scored WHERE score >= 0.75)
+    SELECT keyword, name, rows, score FROM ranked WHERE place <= 5
+""")
+def fuzzy_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words of the benchmark as keywords, all words of the documents as names. The best five are the feature."""
+
+    def words(name: str, alias: str) -> DataFrame:
+        found = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+        return table(spark, sf_dir, name).select(F.explode(found).alias(alias))
+
+    return variables.close_matches_of(words("documents", "word"), "word", words("benchmark", "keyword"), cutoff=0.75)
+
+
 @query("SELECT DISTINCT p_brand FROM part")
 def variable_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variables.search_variables(table(spark, sf_dir, "part"), None, output_column="p_brand")

@@ -22,6 +22,11 @@ from cohortweave.constants import (
 from cohortweave.functions.names import c
 from cohortweave.functions.text import edit_similarity
 from cohortweave.operators.lookups import first_per_key, lookup_join
+from cohortweave.sources.workspace import stored
+
+# Grams are counted per slot of their hash.
+GRAM_SLOTS = 1 << 12
+_SLACK = 1e-6  # against rounding of fractions of lengths; lets too much through, never too little
 
 
 def close_matches(
@@ -41,6 +46,64 @@ def close_matches(
     return scored.filter(c("score") >= cutoff).orderBy(F.desc("score"), F.desc("name")).limit(n)
 
 
+def close_matches_of(
+    df: DataFrame,
+    column: str,
+    keywords: DataFrame,
+    keyword: str = "keyword",
+    n: int = FUZZY_MATCHES,
+    cutoff: float = FUZZY_CUTOFF,
+) -> DataFrame:
+    """(keyword, name, rows, score): for each distinct keyword its `n` most similar names, as `close_matches`.
+
+    An exact join through an index of q-grams. An edit changes at most q of a text's q-grams, so texts as similar
+    as `cutoff` share a number of them that grows with the longer one, and at least one among the rarest of each:
+    only these are indexed, and pairs that meet there are compared if their lengths allow it. The rarest go by
+    counts per hash slot; the order of grams changes the work, never the result. Only pairs that are similar are
+    shuffled. Null and empty texts match nothing.
+    """
+    if not 0 < cutoff <= 1:
+        raise ValueError("the cutoff must be above 0 and at most 1")
+    edits = 1 - cutoff  # as a share of the longer text
+    q = 4 if edits <= 0.25 else int(1 / edits + _SLACK)
+
+    def present(name: str) -> Column:
+        return F.length(c(name)) > 0
+
+    def grams(text: Column) -> Column:
+        pad = "\x01" * (q - 1)
+        padded = F.concat(F.lit(pad), text, F.lit(pad))
+        starts = F.sequence(F.lit(1), F.length(text) + (q - 1))
+        return F.transform(starts, lambda i: F.xxhash64(F.substring(padded, i, F.lit(q))))
+
+    names = stored(df.filter(present(column)).groupBy(c(column).alias("name")).agg(F.count(F.lit(1)).alias("rows")), "names")
+    asked = keywords.filter(present(keyword)).select(c(keyword).alias("keyword")).distinct()
+    slot = F.col("gram").bitwiseAND(F.lit(GRAM_SLOTS - 1)).cast("int")
+    counts = dict(names.select(F.explode(grams(c("name"))).alias("gram")).groupBy(slot).count().collect())  # at most GRAM_SLOTS
+    frequency = F.split(F.lit(",".join(str(counts.get(i, 0)) for i in range(GRAM_SLOTS))), ",").cast("array<bigint>")
+
+    def rarest(text: Column) -> Column:
+        shared = F.ceil(F.length(text) * (1 - q * edits) + (q - 1) - _SLACK)
+        kept = F.length(text) + q - F.greatest(shared, F.lit(1))
+        ordered = F.array_sort(
+            F.transform(
+                grams(text),
+                lambda g: F.struct(F.get(frequency, g.bitwiseAND(F.lit(GRAM_SLOTS - 1)).cast("int")).alias("n"), g.alias("g")),
+            )
+        )
+        return F.array_distinct(F.slice(ordered, F.lit(1), kept.cast("int")).getField("g"))
+
+    index = names.select("name", "rows", F.explode(rarest(c("name"))).alias("_gram"))
+    wanted = asked.select("keyword", F.explode(rarest(c("keyword"))).alias("_gram"))
+    longest = F.greatest(F.length("name"), F.length("keyword"))
+    allowed = F.floor(longest * edits + _SLACK).cast("int")
+    met = lookup_join(index, wanted, ["_gram"], how="inner").filter(F.abs(F.length("name") - F.length("keyword")) <= allowed)
+    near = met.filter(F.call_function("levenshtein", c("name"), c("keyword"), allowed) >= 0)  # -1 beyond what is allowed
+    pairs = near.select("keyword", "name", "rows").distinct().withColumn("score", edit_similarity(c("name"), c("keyword")))
+    best = Window.partitionBy("keyword").orderBy(F.desc("score"), F.desc("name"))
+    return pairs.filter(c("score") >= cutoff).withColumn("_place", F.row_number().over(best)).filter(c("_place") <= n).drop("_place")
+
+
 def search_variables(
     registry: DataFrame,
     keyword: str | None = None,

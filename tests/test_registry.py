@@ -1,5 +1,8 @@
 """Harmonization, search, lookups and validation on hand-written registries."""
 
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +127,47 @@ def test_violations(spark):
         "DATA ERROR [type]: Invalid datatype 'words'",
         "DATA ERROR [nan]: Invalid datatype 'nan'",
     ])
+
+
+def brute_matches(names, keywords, n, cutoff):
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    rows = Counter(filter(None, names))
+    found = set()
+    for keyword in set(filter(None, keywords)):
+        scored = [(1.0 - edits(a, keyword) / max(len(a), len(keyword)), a) for a in rows]
+        best = sorted((x for x in scored if x[0] >= cutoff), reverse=True)[:n]
+        found |= {(keyword, name, rows[name], score) for score, name in best}
+    return found
+
+
+@pytest.mark.parametrize("cutoff", [0.2, 0.5, 0.6, 0.75, 0.9, 1.0])
+def test_close_matches_of_many_keywords(spark, monkeypatch, cutoff):
+    pick = random.Random(int(cutoff * 100))
+    texts = ["".join(pick.choices("abé", k=pick.randint(1, 9))) for _ in range(120)] + ["a" * 40, "a" * 39 + "b", "", None]
+    keywords = texts[::3] + ["aab", "aab", "zzz", "a" * 41, None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "name string")
+    asked = spark.createDataFrame([(k,) for k in keywords], "word string")
+    expected = brute_matches(texts, keywords, 5, cutoff)
+    found = [tuple(r) for r in variables.close_matches_of(df, "name", asked, "word", cutoff=cutoff).collect()]
+    assert len(found) == len(set(found)) and set(found) == expected
+    joined = variables.lookup_join
+    monkeypatch.setattr(variables, "lookup_join", lambda *a, **k: joined(*a, max_rows=0, salts=4, **k))
+    assert {tuple(r) for r in variables.close_matches_of(df, "name", asked, "word", cutoff=cutoff).collect()} == expected
+
+
+def test_close_matches_of_agrees_with_one_keyword(spark):
+    df = spark.createDataFrame([(n,) for n in NAMES], "standard_name string")
+    asked = spark.createDataFrame([("hearrt_rate",)], "keyword string")
+    one = {tuple(r) for r in variables.close_matches(df, "standard_name", "hearrt_rate").collect()}
+    assert one == {tuple(r)[1:] for r in variables.close_matches_of(df, "standard_name", asked).collect()}
+    with pytest.raises(ValueError):
+        variables.close_matches_of(df, "standard_name", asked, cutoff=0)
+    assert variables.close_matches_of(df.limit(0), "standard_name", asked).collect() == []
+    assert variables.close_matches_of(df, "standard_name", asked.limit(0)).collect() == []
