@@ -96,6 +96,12 @@ def outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.outlier_counts(measured(spark, sf_dir), GROUP, [*NUMERIC, *TEXTS])
 
 
+@query(OUTLIER_SQL)
+def outliers_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As with more groups than are broadcast: hot groups are found and only they are cut into pieces."""
+    return profile.outlier_counts(measured(spark, sf_dir), GROUP, [*NUMERIC, *TEXTS], max_rows=0)
+
+
 def _categorical_sql(name: str) -> str:
     return f"""
         SELECT modality_category, file, '{name}' AS "column", count(*) AS unique_values,

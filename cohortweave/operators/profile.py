@@ -99,11 +99,13 @@ def _ddl(df: DataFrame, names: Sequence[str]) -> str:
     return ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names)
 
 
-def outlier_counts(df: DataFrame, group: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+def outlier_counts(
+    df: DataFrame, group: Sequence[str], columns: Sequence[str] | None = None, **lookup: int
+) -> DataFrame:
     """Values more than three standard deviations from the mean of their group and column.
 
     Only for more than two values that differ; other columns have no row. Means and deviations
-    come back to the rows through a checked lookup join, which spreads hot groups.
+    come back to the rows through a checked lookup join, which spreads hot groups; `lookup` goes to it.
     """
     fields = [f for f in _profiled(df, group, columns) if is_numeric(f.dataType)]
     if not fields:
@@ -116,7 +118,7 @@ def outlier_counts(df: DataFrame, group: Sequence[str], columns: Sequence[str] |
             for i in range(len(fields))
         ]
     )
-    joined = lookup_join(numbers, stored(stats, "group-statistics"), group, null_safe=True)
+    joined = lookup_join(numbers, stored(stats, "group-statistics"), group, null_safe=True, **lookup)
 
     def is_outlier(i: int) -> Column:
         return F.abs((c(f"_x{i}") - c(f"_s{i}").getField("mean")) / c(f"_s{i}").getField("std")) > OUTLIER_Z

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cohortweave.constants import HASH
 from cohortweave.operators.flatten import CHUNK
-from cohortweave.operators.lookups import lookup_join
+from cohortweave.operators.lookups import bit_filter, hot_keys, lookup_join
 from cohortweave.operators.ordering import measure_groups, row_index
 from cohortweave.operators.select import matching
 from cohortweave.plans.gold import build_gold, gold_nested
@@ -144,3 +144,27 @@ def test_equal_rows_are_spread_by_the_salted_join(spark):
     assert joined.count() == 4000 and "_salt" in plan
     salts = df.select(F.pmod(F.xxhash64(F.spark_partition_id(), "k"), F.lit(8)).alias("s")).distinct().count()
     assert salts > 3
+
+
+def test_only_hot_keys_are_cut(spark):
+    df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"))
+    hot = spark.range(1).select(F.xxhash64(F.lit("hot"))).first()[0]
+    assert hot_keys(df, ["k"], 12) == {hot: 4}
+    assert hot_keys(df.filter("k <> 'hot'"), ["k"], 12) == {} == hot_keys(df.limit(0), ["k"], 12)
+    lookup = df.distinct().withColumn("n", F.length("k"))
+    joined = lookup_join(df, lookup, ["k"], max_rows=0, salts=12)
+    assert joined.count() == 9000 and joined.filter("n IS NULL OR n <> length(k)").count() == 0
+    cold = lookup_join(df.filter("k <> 'hot'"), lookup, ["k"], max_rows=0, salts=12)
+    assert "_salt" not in cold._jdf.queryExecution().toString()
+    other_type = spark.range(5).select(F.col("id").cast("int").alias("k"), F.lit(1).alias("n"))
+    assert lookup_join(spark.range(8).select(F.col("id").alias("k")), other_type, ["k"], max_rows=0, how="inner").count() == 5
+
+
+def test_bit_filter_passes_all_its_values(spark):
+    values = spark.range(3000).select(F.xxhash64("id").alias("h"))
+    passes = bit_filter(values, "h", 3000)
+    tested = spark.range(30000).select("id", passes(F.xxhash64("id")).alias("p"))
+    assert tested.filter("id < 3000 AND p").count() == 3000
+    assert tested.filter("id >= 3000 AND p").count() < 27000 * 0.15
+    none = bit_filter(values.limit(0), "h", 0)
+    assert spark.range(10).filter(none(F.xxhash64("id"))).count() == 0
