@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortweave.functions.names import c
 from cohortweave.functions.paths import stem
-from cohortweave.operators.lookups import lookup_join
+from cohortweave.operators.lookups import bit_filter, lookup_join
 
 
 def processable(manifest: DataFrame) -> DataFrame:
@@ -56,26 +56,34 @@ def mark_processed(manifest: DataFrame, silver_files: DataFrame) -> DataFrame:
     return joined.withColumn("processed", F.coalesce("_done", F.lit(False))).drop("_plugin", "_path", "_done")
 
 
-def mark_processed_by_name(manifest: DataFrame, silver_names: DataFrame) -> DataFrame:
-    """Add `processed`: whether a file's stem occurs anywhere in some harmonized name.
+def stem_hits(names: DataFrame, stems: DataFrame) -> DataFrame:
+    """Distinct `_stem`s of the names: their substrings that have the length and the hash bits of a stem.
 
-    A stem occurs in a name if it equals one of the name's substrings of its length, so distinct
-    substrings of the few lengths that stems have are hashed against distinct stems: work grows
-    with the number of names, not with pairs of names and stems.
+    Substrings are tested where the name is read and only those that pass become rows, so the rows grow with
+    the stems that occur (all are among the hits) and not with the lengths of names.
     """
-    stems = processable(manifest).select(stem(c("filename")).alias("_stem")).distinct()
     # File names have at most 255 characters, so there are at most that many lengths.
-    lengths = sorted(row[0] for row in stems.select(F.length("_stem")).distinct().collect())
+    per_length = dict(stems.groupBy(F.length("_stem")).count().collect())
+    known = bit_filter(stems.select(F.xxhash64("_stem").alias("_hash")), "_hash", sum(per_length.values()))
+    lengths = F.array(*[F.lit(n) for n in sorted(per_length)]).cast("array<int>")
+    size = F.length("name")
+
+    def of_length(n: Column) -> Column:
+        every = F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(c("name"), i, n))
+        return F.filter(every, lambda part: known(F.xxhash64(part)))
+
+    passing = F.flatten(F.transform(F.filter(lengths, lambda n: n <= size), of_length))
+    return names.select("name").distinct().select(F.explode(passing).alias("_stem")).distinct()
 
-    def substrings(name: Column, length: int) -> Column:
-        last = F.length(name) - (length - 1)
-        starts = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.substring(name, i, F.lit(length)))
 
-    none = F.array().cast("array<string>")  # without a processable file there is no length
-    every = F.array_distinct(F.flatten(F.array(none, *[substrings(c("name"), n) for n in lengths])))
-    parts = silver_names.select("name").distinct().select(F.explode(every).alias("_stem")).distinct()
-    found = stems.join(parts, "_stem", "left_semi").select(c("_stem"), F.lit(True).alias("_done"))
+def mark_processed_by_name(manifest: DataFrame, silver_names: DataFrame) -> DataFrame:
+    """Add `processed`: whether a file's stem occurs anywhere in some harmonized name.
+
+    A stem occurs in a name if it equals one of the name's substrings of its length. Substrings that pass a bit
+    filter of the stems' hashes are compared with the stems themselves, by one join.
+    """
+    stems = processable(manifest).select(stem(c("filename")).alias("_stem")).filter("_stem IS NOT NULL").distinct()
+    found = stems.join(stem_hits(silver_names, stems), "_stem", "left_semi").select(c("_stem"), F.lit(True).alias("_done"))
     joined = lookup_join(manifest.withColumn("_stem", stem(c("filename"))), found, ["_stem"])
     done = F.coalesce("_done", F.lit(False)) & c("plugin").isNotNull()
     return joined.withColumn("processed", done).drop("_stem", "_done")

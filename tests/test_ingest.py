@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import random
 
 import pandas as pd
 import pytest
@@ -272,3 +273,26 @@ def test_substring_status(spark):
     names = spark.createDataFrame([("omics_scan_10",), ("omics_x",)], "name string")
     found = {r["filename"]: r["processed"] for r in status.mark_processed_by_name(manifest, names).collect()}
     assert found == {"scan_1.csv": True, "scan_9.csv": False, "x.bin": False}
+
+
+def test_substring_status_of_many_names(spark):
+    pick = random.Random(5)
+    word = lambda low, high: "".join(pick.choices("abc_é", k=pick.randint(low, high)))
+    stems = [word(1, 12) for _ in range(150)] + [""]
+    rows = [(f"a/{s}.csv", f"{s}.csv", "omics" if i % 5 else None) for i, s in enumerate(stems)] + [("n", None, "omics")]
+    names = [word(3, 40) for _ in range(60)] + ["", None]
+    manifest = spark.createDataFrame(rows, "relative_path string, filename string, plugin string")
+    listed = spark.createDataFrame([(n,) for n in names], "name string")
+    found = {(r["relative_path"], r["plugin"]): r["processed"] for r in status.mark_processed_by_name(manifest, listed).collect()}
+    for path, filename, plugin in rows:
+        of = None if filename is None else filename[: -len(".csv")] or ".csv"
+        assert found[path, plugin] == (plugin is not None and of is not None and any(of in n for n in names if n)), path
+    nothing = status.mark_processed_by_name(manifest, listed.limit(0))
+    assert nothing.filter("processed").count() == 0 and nothing.count() == len(rows)
+    assert status.mark_processed_by_name(manifest.limit(0), listed).collect() == []
+
+
+def test_substrings_that_are_no_stems_become_no_rows(spark):
+    names = spark.range(500).select(F.md5(F.col("id").cast("string")).alias("name"))
+    stems = spark.range(2000).select(F.concat(F.lit("x"), F.left(F.md5((-F.col("id") - 1).cast("string")), F.lit(20))).alias("_stem"))
+    assert status.stem_hits(names, stems).count() < 500 * 12 * 0.15
