@@ -14,6 +14,7 @@ from cohortweave.functions.paths import default_participant, default_session, fi
 from cohortweave.operators import lattice
 from cohortweave.operators.lookups import lookup_join
 from cohortweave.sources.bundles import BUNDLE_DDL
+from cohortweave.sources.workspace import listing
 
 
 def plain_path(path: Column) -> Column:
@@ -112,9 +113,10 @@ def _raw_csv(
 ) -> DataFrame:
     """All columns as text, with the record itself where its number of fields is not the header's."""
     settings = {"header": True, "escape": '"', "multiLine": multi_line, "enforceSchema": False, **(options or {})}
-    names = [f for f in spark.read.options(**settings).csv(paths).schema]
-    schema = T.StructType([*(T.StructField(f.name, T.StringType()) for f in names), T.StructField(_CORRUPT, T.StringType())])
-    raw = spark.read.options(**settings, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT).schema(schema).csv(paths)
+    with listing(spark):
+        names = [f for f in spark.read.options(**settings).csv(paths).schema]
+        schema = T.StructType([*(T.StructField(f.name, T.StringType()) for f in names), T.StructField(_CORRUPT, T.StringType())])
+        raw = spark.read.options(**settings, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT).schema(schema).csv(paths)
     return raw.select(*[c(n) for n in raw.columns], source_of_row())
 
 
@@ -128,7 +130,8 @@ def _too_long(raw: DataFrame) -> Column:
 
 def csv_layouts(spark: SparkSession, paths: str | Sequence[str], options: Mapping[str, str] | None = None) -> DataFrame:
     """(header line, file) of CSV files, so that files of different layouts can be read apart."""
-    lines = spark.read.options(**(options or {})).text(paths).select("value", source_of_row())
+    with listing(spark):
+        lines = spark.read.options(**(options or {})).text(paths).select("value", source_of_row())
     return (
         lines.filter(c(SOURCE).getField("block") == 0)
         .groupBy(c(SOURCE).getField("file").alias("file"))
@@ -155,7 +158,8 @@ def csv_files(
     fields = [f"_c{i}" for i in range(width)]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in (*fields, _CORRUPT)])
     settings = {"header": True, "escape": '"', "multiLine": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    raw = spark.read.options(**settings, **(options or {})).schema(schema).csv(list(sources))
+    with listing(spark):
+        raw = spark.read.options(**settings, **(options or {})).schema(schema).csv(list(sources))
     wide = raw.select(F.array(*fields).alias("_values"), c(_CORRUPT), source_of_row())
     listed = ", ".join(map(literal, columns))
     known = files.select(
@@ -195,7 +199,8 @@ def apart(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 def read_parquet(spark: SparkSession, paths: str | Sequence[str], options: Mapping[str, str] | None = None) -> DataFrame:
     """Parquet files, columns as stored."""
     listed = [paths] if isinstance(paths, str) else list(paths)
-    raw = spark.read.options(mergeSchema=True, **(options or {})).parquet(*listed)
+    with listing(spark):
+        raw = spark.read.options(mergeSchema=True, **(options or {})).parquet(*listed)
     return raw.select(*[c(n) for n in raw.columns], source_of_row())
 
 
@@ -206,9 +211,18 @@ def read_json(
     *,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """JSON files with one object each. With a schema, the inference pass is saved."""
-    reader = spark.read.options(multiLine=True, **(options or {}))
-    raw = (reader.schema(schema) if schema is not None else reader).json(paths)
+    """JSON files with one object each. With a schema, the inference pass is saved.
+
+    Types are inferred from the files as whole texts, because Spark's inference over files of many lines cuts its tasks by
+    bytes alone: any number of small files would be one task.
+    """
+    with listing(spark):
+        if schema is None:
+            texts = spark.read.options(**(options or {})).text(paths, wholetext=True)
+            unmarked = texts.select(F.regexp_replace("value", "^\uFEFF", "").alias("value"))
+            schema = spark.read.options(**(options or {})).json(unmarked.rdd.map(lambda r: r["value"])).schema
+        reader = spark.read.options(multiLine=True, **(options or {}))
+        raw = (reader.schema(schema) if len(T.StructType.fromDDL(schema) if isinstance(schema, str) else schema) else reader).json(paths)
     return raw.select(*[c(n) for n in raw.columns], source_of_row())
 
 
@@ -226,7 +240,8 @@ def read_bundles(
     takes the documents that do not have the expected form.
     """
     schema = f"{BUNDLE_DDL}, {extra}" if extra else BUNDLE_DDL
-    raw = spark.read.options(multiLine=not one_per_line, **(options or {})).schema(schema).json(paths)
+    with listing(spark):
+        raw = spark.read.options(multiLine=not one_per_line, **(options or {})).schema(schema).json(paths)
     return raw.select(*[c(n) for n in raw.columns], source_of_row())
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from cohortweave.functions.names import c
 from cohortweave.functions.paths import plain
 from cohortweave.functions.shipping import by_value
-from cohortweave.sources.workspace import stored
+from cohortweave.sources.workspace import listing, stored
 
 # Bytes that are read at once while a first record is not complete.
 CHUNK = 1 << 16
@@ -37,6 +37,16 @@ def opened(path: str):
     return store.open_input_file(name)
 
 
+def created(path: str):
+    """A new file of any store that can be reached from here, with the folders above it, ready to write."""
+    if path.startswith(("file:", "/")):
+        store, name = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    else:
+        store, name = fs.FileSystem.from_uri(path)
+    store.create_dir(name.rpartition("/")[0])
+    return store.open_output_stream(name)
+
+
 def is_reachable(path: str) -> bool:
     """Whether files of this store can be opened without Spark."""
     if path.startswith(("file:", "/")):
@@ -123,7 +133,8 @@ def csv_layouts(files: DataFrame, n_files: int | None = None) -> DataFrame:
     first = files.select("path").first()
     if first is None or is_reachable(first["path"]):
         return layouts(files, csv_names, n_files)
-    lines = files.sparkSession.read.text([r["path"] for r in files.select("path").toLocalIterator()])
+    with listing(files.sparkSession):
+        lines = files.sparkSession.read.text([r["path"] for r in files.select("path").toLocalIterator()])
     place = F.struct(c("_metadata").getField("file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
     header = (
         lines.filter(F.length("value") > 0).groupBy(c("_metadata").getField("file_path").alias("path"))

@@ -19,6 +19,7 @@ from cohortweave.functions.paths import (
     subject_of,
 )
 from cohortweave.sources.bronze import plain_path
+from cohortweave.sources.workspace import listing
 
 
 def json_kind(text):
@@ -34,7 +35,8 @@ def json_kind(text):
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """(path, length) of all files below a folder; contents are not read."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length")
+    with listing(spark):
+        return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length")
 
 
 def list_bronze(spark: SparkSession, root: str, subject: str | None = None, paths: Sequence[str] | None = None) -> DataFrame:
@@ -58,11 +60,9 @@ def list_bronze(spark: SparkSession, root: str, subject: str | None = None, path
     if not documents_in:
         return others
     path = plain_path(c("_metadata").getField("file_path"))
-    documents = (
-        spark.read.options(wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
-        .text(documents_in).filter(wanted(path))
-        .select(path.alias("path"), json_kind(c("value")).alias("json_kind"))
-    )
+    with listing(spark):
+        texts = spark.read.options(wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json").text(documents_in)
+    documents = texts.filter(wanted(path)).select(path.alias("path"), json_kind(c("value")).alias("json_kind"))
     return others.unionByName(documents)
 
 

@@ -296,3 +296,39 @@ def test_substrings_that_are_no_stems_become_no_rows(spark):
     names = spark.range(500).select(F.md5(F.col("id").cast("string")).alias("name"))
     stems = spark.range(2000).select(F.concat(F.lit("x"), F.left(F.md5((-F.col("id") - 1).cast("string")), F.lit(20))).alias("_stem"))
     assert status.stem_hits(names, stems).count() < 500 * 12 * 0.15
+
+
+def tasks_of_stages(spark, run):
+    """The numbers of tasks of the stages that a function runs."""
+    group = f"count-{random.random()}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    return [info.numTasks for s in stages if (info := tracker.getStageInfo(s)) is not None]
+
+
+def test_folders_are_listed_by_few_tasks(spark, tmp_path):
+    for i in range(100):
+        (tmp_path / f"sub-{i}").mkdir()
+        (tmp_path / f"sub-{i}" / "a.csv").write_text("x\n1\n")
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(setting)
+    found = []
+    tasks = tasks_of_stages(spark, lambda: found.append(list_files(spark, str(tmp_path))))
+    assert found[0].count() == 100
+    assert tasks and max(tasks) <= 32
+    assert spark.conf.get(setting) == before
+
+
+def test_types_of_many_small_documents_are_found_by_many_tasks(spark, tmp_path):
+    for i in range(100):
+        (tmp_path / f"{i}.json").write_text(("﻿" if i == 1 else "") + json.dumps({"a": i, "b": None if i else {"c": 0.5}}, indent=1))
+    found = []
+    tasks = tasks_of_stages(spark, lambda: found.append(bronze.read_json(spark, str(tmp_path))))
+    assert max(tasks) > 4
+    assert found[0].drop("_source").schema.simpleString() == "struct<a:bigint,b:struct<c:double>>"
+    assert found[0].agg(F.sum("a"), F.max("b.c")).first() == (4950, 0.5)
