@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from typing import BinaryIO
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from cohortweave.functions.names import c
 from cohortweave.operators.modalities import register, unregister
 from cohortweave.plans.ingest import ingest, read_silver
 from cohortweave.sources import per_file
+from cohortweave.sources.layouts import created, is_reachable
 from cohortweave.sources.workspace import new_folder
 from cohortweave.streaming.incremental import ingest_arriving, ingest_listed
 
@@ -28,21 +30,52 @@ def subject(number: Column) -> Column:
     return F.concat(F.lit("sub-"), number)
 
 
+# Folders that one task writes; each is a file that is opened, closed and moved.
+FOLDERS_PER_TASK = 100
+# The folder of rows without a key, as Spark's writers name it.
+NO_KEY = "__HIVE_DEFAULT_PARTITION__"
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows of one key together, in a number of tasks that follows the number of keys: adaptive execution sees only bytes."""
+    tasks = -(-df.agg(F.approx_count_distinct(key)).first()[0] // FOLDERS_PER_TASK)
+    return df.repartition(tasks, key) if tasks > 1 else df.repartition(key)
+
+
 def put(df: DataFrame, by: Column, folder: str, columns: Sequence[Column | str], suffix: str = ".csv") -> None:
     """Columns as raw files, a folder per value of `by`; documents are one per row, so `by` tells rows apart there."""
-    rows = df.select(*columns, by.alias("_k")).repartition("_k").write.partitionBy("_k").mode("append")
+    keyed = df.select(*columns, by.alias("_k"))
+    if suffix == ".json":
+        put_text(keyed.select(F.to_json(F.struct(*[c(n) for n in keyed.columns[:-1]])).alias("value"), "_k"), c("_k"), folder, suffix)
+        return
+    rows = spread(keyed, "_k").write.partitionBy("_k").mode("append")
     if suffix == ".csv":
         rows.option("header", True).option("escape", '"').csv(folder)
-    elif suffix == ".parquet":
-        rows.parquet(folder)
     else:
-        rows.json(folder)
+        rows.parquet(folder)
 
 
 def put_text(df: DataFrame, by: Column, folder: str, suffix: str) -> None:
-    """One file per row with its `value`, under a suffix of any format."""
-    df.select("value", by.alias("_k")).repartition("_k").write.partitionBy("_k").text(folder)
-    rename(df.sparkSession, folder, suffix)
+    """One file per value of `by` with its `value`s as lines, under a suffix of any format. Tasks write their share of the files."""
+    keyed = df.select("value", by.cast("string").alias("_k"))
+    if not is_reachable(folder):
+        spread(keyed, "_k").write.partitionBy("_k").text(folder)
+        rename(df.sparkSession, folder, suffix)
+        return
+    lines = keyed.groupBy(F.coalesce("_k", F.lit(NO_KEY)).alias("_k")).agg(F.collect_list(F.coalesce("value", F.lit(""))).alias("lines"))
+    spread(lines, "_k").mapInArrow(_file_writer(folder, suffix), "files bigint").agg(F.sum("files")).collect()
+
+
+def _file_writer(folder: str, suffix: str):
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, lines in zip(batch.column("_k").to_pylist(), batch.column("lines").to_pylist()):
+                # A task that is repeated replaces its files.
+                with created(f"{folder}/_k={key}/part-0{suffix}") as file:
+                    file.write("".join(f"{line}\n" for line in lines).encode())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["files"])
+
+    return write
 
 
 def rename(spark: SparkSession, folder: str, suffix: str) -> None:

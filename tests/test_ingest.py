@@ -332,3 +332,19 @@ def test_types_of_many_small_documents_are_found_by_many_tasks(spark, tmp_path):
     assert max(tasks) > 4
     assert found[0].drop("_source").schema.simpleString() == "struct<a:bigint,b:struct<c:double>>"
     assert found[0].agg(F.sum("a"), F.max("b.c")).first() == (4950, 0.5)
+
+
+def test_raw_files_are_written_by_many_tasks(spark, tmp_path):
+    from cohortweave.checks.tiers import put, put_text
+
+    rows = spark.range(400).select(F.when(F.col("id") != 7, F.col("id").cast("string")).alias("k"), F.concat(F.lit("v"), "id").alias("value"))
+    rows = rows.union(rows.filter("k = '3'"))
+    for suffix, write in ((".rec", lambda: put_text(rows, F.col("k"), str(tmp_path / ".rec"), ".rec")),
+                          (".json", lambda: put(rows, F.col("k"), str(tmp_path / ".json"), ["value"], ".json")),
+                          (".csv", lambda: put(rows, F.col("k"), str(tmp_path / ".csv"), ["value"]))):
+        assert max(n for n in tasks_of_stages(spark, write) if n != 8) > 2
+        found = {p.parent.name: p.read_text() for p in (tmp_path / suffix).rglob(f"*{suffix}") if not p.name.startswith(".")}
+        assert len(found) == 400
+        one = {".rec": "v{}\n", ".json": '{{"value":"v{}"}}\n', ".csv": "v{}\n"}[suffix]
+        head = "value\n" if suffix == ".csv" else ""
+        assert found["_k=3"] == head + 2 * one.format(3) and found["_k=__HIVE_DEFAULT_PARTITION__"] == head + one.format(7)
