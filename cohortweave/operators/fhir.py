@@ -189,7 +189,7 @@ def flatten_bundles(
         *map(quoted, carried), "entry_position", "resource.resourceType AS fhir_resource_type", *columns
     ).withColumn("participant_age", whole_years(full_date(c("birth_date")), as_of))
 
-    named = standard_names_by_code(flat, registry, "loinc_code", output="_registered")
+    named = standard_names_by_code(flat, registry, "loinc_code", output="_registered", once=True)
     name = F.coalesce(
         c("_registered"), F.nullif(snake(c("_display")), F.lit("")), F.concat(F.lit("obs_"), c("loinc_code"))
     )

@@ -134,13 +134,14 @@ def standard_names_by_code(
     *,
     output: str = "standard_name",
     order_by: Sequence[str] = ("standard_name",),
+    once: bool = False,
 ) -> DataFrame:
-    """Add the registry's standard name for a code column; the first row by `order_by` decides."""
+    """Add the registry's standard name for a code column; the first row by `order_by` decides. `once` as in `lookup_join`."""
     listed = registry.filter(c(registry_code).isNotNull()).select(
         c(registry_code).cast("string").alias(code), *[c(n) for n in dict.fromkeys(["standard_name", *order_by])]
     )
     first = first_per_key(listed, [code], order_by).select(code, c("standard_name").alias(output))
-    return lookup_join(df.withColumn(code, c(code).cast("string")), first, [code])
+    return lookup_join(df.withColumn(code, c(code).cast("string")), first, [code], once=once)
 
 
 def categorical_labels(

@@ -171,3 +171,26 @@ def test_close_matches_of_agrees_with_one_keyword(spark):
         variables.close_matches_of(df, "standard_name", asked, cutoff=0)
     assert variables.close_matches_of(df.limit(0), "standard_name", asked).collect() == []
     assert variables.close_matches_of(df, "standard_name", asked.limit(0)).collect() == []
+
+
+def test_lookup_join_that_reads_its_rows_once(spark):
+    from pyspark.sql import functions as F
+
+    from cohortweave.operators.lookups import lookup_join
+
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 3 == 1, "hot").when(F.col("id") % 3 == 2, F.col("id").cast("string")).alias("k"))
+    lookup = spark.createDataFrame([(None, "none"), ("hot", "H"), ("5", "F"), ("7", "S")], "k string, v string")
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        for null_safe in (False, True):
+            wanted = lookup_join(rows, lookup, ["k"], how=how, null_safe=null_safe)
+            before = read.value
+            found = lookup_join(rows.mapInArrow(counted, rows.schema), lookup, ["k"], how=how, null_safe=null_safe, max_rows=1, once=True)
+            assert sorted(found.collect(), key=str) == sorted(wanted.collect(), key=str)
+            assert read.value - before == 3000
