@@ -32,13 +32,20 @@ def subject(number: Column) -> Column:
 
 # Folders that one task writes; each is a file that is opened, closed and moved.
 FOLDERS_PER_TASK = 100
+# Files that one task writes by itself at most, where there are more than four tasks per core.
+FILES_PER_TASK = 1_000
 # The folder of rows without a key, as Spark's writers name it.
 NO_KEY = "__HIVE_DEFAULT_PARTITION__"
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows of one key together, in a number of tasks that follows the number of keys: adaptive execution sees only bytes."""
-    tasks = -(-df.agg(F.approx_count_distinct(key)).first()[0] // FOLDERS_PER_TASK)
+def spread(df: DataFrame, key: str, most: int = FOLDERS_PER_TASK) -> DataFrame:
+    """Rows of one key together, in a number of tasks that follows the number of keys: adaptive execution sees only bytes.
+
+    More than four tasks per core take up to `most` keys each.
+    """
+    keys = df.agg(F.approx_count_distinct(key)).first()[0]
+    enough = max(-(-keys // most), 4 * df.sparkSession.sparkContext.defaultParallelism)
+    tasks = min(-(-keys // FOLDERS_PER_TASK), enough)
     return df.repartition(tasks, key) if tasks > 1 else df.repartition(key)
 
 
@@ -63,7 +70,7 @@ def put_text(df: DataFrame, by: Column, folder: str, suffix: str) -> None:
         rename(df.sparkSession, folder, suffix)
         return
     lines = keyed.groupBy(F.coalesce("_k", F.lit(NO_KEY)).alias("_k")).agg(F.collect_list(F.coalesce("value", F.lit(""))).alias("lines"))
-    spread(lines, "_k").mapInArrow(_file_writer(folder, suffix), "files bigint").agg(F.sum("files")).collect()
+    spread(lines, "_k", FILES_PER_TASK).mapInArrow(_file_writer(folder, suffix), "files bigint").agg(F.sum("files")).collect()
 
 
 def _file_writer(folder: str, suffix: str):

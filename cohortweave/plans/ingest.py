@@ -23,7 +23,7 @@ from cohortweave.sources import bronze, layouts
 from cohortweave.sources.manifest import discover
 from cohortweave.sources.tables import BATCH, silver_types, with_types, write_silver
 from cohortweave.sources.tables import read_silver as read_plugin_silver
-from cohortweave.sources.workspace import exists, stored
+from cohortweave.sources.workspace import exists, small_files, stored
 
 # Files that one read lists by name; more are found by their folder and joined to the list.
 FILES_PER_READ = 20_000
@@ -166,7 +166,8 @@ def _parquet_parts(spark: SparkSession, plugin: str, scan: Scan, registry: DataF
 def read_scan(spark: SparkSession, plugin: str, scan: Scan, as_of: Column, registry: DataFrame) -> list[Part]:
     """Raw rows of one scan; files that are tagged apart are parts of their own."""
     if plugin in READERS:
-        rows, bad = bronze.apart(READERS[plugin](scan.files))
+        # Its rows are used twice; the function of the plugin reads every file once.
+        rows, bad = bronze.apart(stored(READERS[plugin](scan.files), "read"))
         return [Part(rows, bad=bad)]
     if scan.suffix == ".csv":
         return _csv_parts(plugin, scan, registry)
@@ -325,7 +326,8 @@ def ingest(
     harmonized rows yet are added. A dry run only returns the manifest. A plugin whose job fails
     is reported and does not stop the others; every file's outcome is reported.
     """
-    manifest = stored(of_subject(discover(spark, bronze_root, subject), subject), "manifest")
+    with small_files(spark):
+        manifest = stored(of_subject(discover(spark, bronze_root, subject), subject), "manifest")
     summary = subject_manifests(manifest)
     if dry_run:
         return IngestReport(manifest, summary, "dry_run")

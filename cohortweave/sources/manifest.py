@@ -33,35 +33,42 @@ def json_kind(text):
     )
 
 
+def _files_below(spark: SparkSession, root: str) -> DataFrame:
+    with listing(spark):
+        return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+
+
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """(path, length) of all files below a folder; contents are not read."""
-    with listing(spark):
-        return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length")
+    return _files_below(spark, root).select("path", "length")
 
 
 def list_bronze(spark: SparkSession, root: str, subject: str | None = None, paths: Sequence[str] | None = None) -> DataFrame:
     """(path, json_kind) of all files; only JSON files are opened, and no join is needed.
 
     With a subject, or with `paths`, only its files or these are listed and opened: the filter on the
-    path leaves the others out before anything is read.
+    path leaves the others out before anything is read. The folder is listed once.
     """
 
     def wanted(path: Column) -> Column:
         return F.lit(True) if subject is None else F.coalesce(subject_of(path), F.lit(UNKNOWN_SUBJECT)) == subject
 
-    if paths is not None:
+    path = plain_path(c("_metadata").getField("file_path"))
+    if paths is None:
+        found = _files_below(spark, root)
+        listed, texts = found, found.select(c("content").cast("string").alias("value"), "_metadata")
+        texts = texts.filter(F.endswith(path, F.lit(".json")))
+    else:
         listed = spark.createDataFrame([(p,) for p in paths], "path string")
         documents_in = [p for p in paths if p.endswith(".json")]
-    else:
-        listed, documents_in = list_files(spark, root), [root]
     others = listed.filter(~F.endswith("path", F.lit(".json")) & wanted(c("path"))).select(
         "path", F.lit(None).cast("string").alias("json_kind")
     )
-    if not documents_in:
-        return others
-    path = plain_path(c("_metadata").getField("file_path"))
-    with listing(spark):
-        texts = spark.read.options(wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json").text(documents_in)
+    if paths is not None:
+        if not documents_in:
+            return others
+        with listing(spark):
+            texts = spark.read.options(wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json").text(documents_in)
     documents = texts.filter(wanted(path)).select(path.alias("path"), json_kind(c("value")).alias("json_kind"))
     return others.unionByName(documents)
 

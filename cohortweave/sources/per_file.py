@@ -34,9 +34,10 @@ def _rows_of(read_file: ReadFile, columns: pa.Schema):
         def packed(taken: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*taken), columns)], schema=columns)
 
+        taken = []  # small files share a batch
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                taken, n = [], 0
+                n = 0
                 try:
                     with opened(path) as file:
                         for n, row in enumerate(read_file(file), 1):
@@ -46,8 +47,11 @@ def _rows_of(read_file: ReadFile, columns: pa.Schema):
                                 taken = []
                 except (OSError, ValueError, KeyError, EOFError) as error:  # what the file holds up to here stays
                     taken.append((*[None] * width, f"{type(error).__name__}: {error}", path, 0, n))
-                if taken:
-                    yield packed(taken)
+                    if len(taken) == ROWS_PER_BATCH:
+                        yield packed(taken)
+                        taken = []
+        if taken:
+            yield packed(taken)
 
     return rows
 

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from cohortweave.plans.ingest import IngestReport, ingest_manifest
 from cohortweave.sources.manifest import build_manifest, list_bronze
-from cohortweave.sources.workspace import stored
+from cohortweave.sources.workspace import small_files, stored
 
 # Columns of a file listing; only the path is read.
 _LISTING = "path string, modificationTime timestamp, length bigint, content binary"
@@ -59,7 +59,8 @@ def ingest_listed(
     as_of: date | Column | None = None,
 ) -> IngestReport:
     """Route and harmonize the named files as one batch; a batch that is repeated replaces its own rows, counts and outcomes."""
-    manifest = stored(build_manifest(list_bronze(spark, bronze_root, paths=paths), bronze_root), "manifest")
+    with small_files(spark):
+        manifest = stored(build_manifest(list_bronze(spark, bronze_root, paths=paths), bronze_root), "manifest")
     return ingest_manifest(spark, manifest, silver_root, registry, batch=batch, as_of=as_of)
 
 

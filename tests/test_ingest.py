@@ -14,7 +14,7 @@ from cohortweave.plans.gold import build_gold
 from cohortweave.plans.ingest import harmonize_files, ingest, plan_scans, read_silver, silver_files
 from cohortweave.plans.query import query_gold
 from cohortweave.sources import bronze, tables
-from cohortweave.sources.manifest import discover, list_files, tier_inventory
+from cohortweave.sources.manifest import discover, list_bronze, list_files, tier_inventory
 from cohortweave.streaming.incremental import ingest_new_files
 
 AS_OF = datetime.date(2024, 1, 1)
@@ -348,3 +348,50 @@ def test_raw_files_are_written_by_many_tasks(spark, tmp_path):
         one = {".rec": "v{}\n", ".json": '{{"value":"v{}"}}\n', ".csv": "v{}\n"}[suffix]
         head = "value\n" if suffix == ".csv" else ""
         assert found["_k=3"] == head + 2 * one.format(3) and found["_k=__HIVE_DEFAULT_PARTITION__"] == head + one.format(7)
+
+
+def test_small_files_share_tasks_of_the_manifest(spark, tmp_path):
+    for i in range(600):
+        (tmp_path / f"sub-{i % 20}").mkdir(exist_ok=True)
+        (tmp_path / f"sub-{i % 20}" / f"{i} a.{'json' if i % 3 == 0 else 'csv'}").write_text('{"device_brand": "x"}' if i % 2 else "[1]")
+    found = []
+    tasks = tasks_of_stages(spark, lambda: found.append(ingest(spark, str(tmp_path), str(tmp_path / "silver"), spark.createDataFrame(
+        [("a", "b", None)], "original_variable_name string, standard_name string, loinc_code string"), dry_run=True).manifest))
+    assert max(tasks) <= 16  # as many for Spark's own weight of a file
+    assert len(found[0].inputFiles()) <= 16
+    kinds = {r["filename"]: r["json_kind"] for r in build_manifest_kinds(spark, str(tmp_path)).collect()}
+    assert len(kinds) == 600 and all(k == (None if n.endswith("csv") else "wearable" if int(n.split()[0]) % 2 else "invalid") for n, k in kinds.items())
+
+
+def build_manifest_kinds(spark, root):
+    return list_bronze(spark, root).select(F.substring_index("path", "/", -1).alias("filename"), "json_kind")
+
+
+def test_a_plugin_reads_each_file_once(spark, tmp_path):
+    from cohortweave.operators.modalities import register, unregister
+    from cohortweave.sources import per_file
+
+    calls = str(tmp_path / "calls")
+
+    def records(file):
+        with open(calls, "a") as log:
+            log.write("x\n")
+        text = file.read().decode()
+        yield (text,)
+        if text == "3":
+            raise ValueError("three")
+
+    (tmp_path / "bronze" / "ledgers").mkdir(parents=True)
+    for i in range(25):
+        (tmp_path / "bronze" / "ledgers" / f"sub-{i}.rec").write_text(str(i))
+    registry = spark.createDataFrame([("a", "b", None)], "original_variable_name string, standard_name string, loinc_code string")
+    register("ledger", lambda df: df.withColumn("modality_category", F.lit("ledger")), reader=per_file.reader("name string", records), markers=(), suffix=".rec")
+    try:
+        report = ingest(spark, str(tmp_path / "bronze"), str(tmp_path / "silver"), registry)
+        rows = read_silver(spark, str(tmp_path / "silver"), ["ledger"])
+    finally:
+        unregister("ledger")
+    assert sorted(int(r["nonstandard_name"]) for r in rows.collect()) == list(range(25))
+    assert {r["relative_path"]: r["message"] for r in report.outcomes.filter("outcome = 'partly'").collect()} == {"ledgers/sub-3.rec": "ValueError: three"}
+    with open(calls) as log:
+        assert len(log.read().split()) == 25
