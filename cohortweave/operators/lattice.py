@@ -6,7 +6,7 @@ up over any cut of the data; the type is decided from the sums when the column i
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,17 +47,26 @@ def kind_of(value: Column, kind: T.DataType, open_text: bool) -> Column:
     return F.when(value.isNotNull(), spelled)
 
 
-def tallies(schema: T.StructType, open_text: Collection[str] = ()) -> dict[tuple[str, str], Column]:
-    """(column, kind) -> how many values of the column are of the kind, for one aggregate over the table."""
+def tallies(schema: T.StructType, open_text: Collection[str] = (), kinds: Mapping[str, Column] | None = None) -> dict[tuple[str, str], Column]:
+    """(column, kind) -> how many values of the column are of the kind, for one aggregate over the table.
+
+    `kinds` has columns that hold the kinds of `open_kinds` already.
+    """
     counts = {}
     for f in schema:
         if is_loose(f.dataType):
-            kind = kind_of(c(f.name), f.dataType, f.name in open_text)
+            kind = (kinds or {}).get(f.name)
+            kind = kind_of(c(f.name), f.dataType, f.name in open_text) if kind is None else kind
             possible = KINDS if isinstance(f.dataType, T.StringType) and f.name in open_text else [_only(f.dataType)]
             counts |= {(f.name, k): F.count_if(kind == k) for k in possible}
     return counts
 
 
+def open_kinds(schema: T.StructType, open_text: Collection[str]) -> dict[str, Column]:
+    """The kind of each value of open text, to be projected before it is counted: a count per kind would find it anew."""
+    return {f.name: kind_of(c(f.name), f.dataType, True) for f in schema if isinstance(f.dataType, T.StringType) and f.name in open_text}
+
+
 def _only(kind: T.DataType) -> str:
     if isinstance(kind, T.IntegralType):
         return "integers"

@@ -32,10 +32,13 @@ def write_silver(df: DataFrame, path: str, mode: str = "append", *, open_text: C
     """
     batch = batch or uuid.uuid4().hex
     kinds = [f for f in df.schema if not isinstance(f.dataType, T.NullType)]
-    counts = lattice.tallies(T.StructType([f for f in kinds if f.name != MODALITY]), open_text)
+    listed = T.StructType([f for f in kinds if f.name != MODALITY])
+    found_kinds = lattice.open_kinds(listed, open_text)
+    held = {name: f"_kind_{i}" for i, name in enumerate(found_kinds)}
+    counts = lattice.tallies(listed, open_text, {name: c(n) for name, n in held.items()})
     texts = [c(f.name).cast("string").alias(f.name) if lattice.is_loose(f.dataType) else c(f.name) for f in kinds]
     seen = Observation()
-    counted = df.select(*[c(f.name) for f in kinds])
+    counted = df.select(*[c(f.name) for f in kinds], *[k.alias(held[name]) for name, k in found_kinds.items()])
     if counts:
         counted = counted.observe(seen, *[n.alias(f"_{i}") for i, n in enumerate(counts.values())])
     writer = counted.select(*texts, F.lit(batch).alias(BATCH)).write.partitionBy(MODALITY, BATCH)
@@ -47,8 +50,8 @@ def write_silver(df: DataFrame, path: str, mode: str = "append", *, open_text: C
     rows: dict[str, dict[str, int]] = {}
     for i, (name, kind) in enumerate(counts):
         rows.setdefault(name, dict.fromkeys(lattice.KINDS, 0))[kind] = int(found.get(f"_{i}") or 0)
-    listed = df.sparkSession.createDataFrame([(n, *k.values()) for n, k in rows.items()], lattice.TALLY_DDL)
-    listed.coalesce(1).write.mode("overwrite").json(f"{path}/{_TYPES}/{batch}")
+    sums = df.sparkSession.createDataFrame([(n, *k.values()) for n, k in rows.items()], lattice.TALLY_DDL)
+    sums.coalesce(1).write.mode("overwrite").json(f"{path}/{_TYPES}/{batch}")
 
 
 def silver_types(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:

@@ -395,3 +395,14 @@ def test_a_plugin_reads_each_file_once(spark, tmp_path):
     assert {r["relative_path"]: r["message"] for r in report.outcomes.filter("outcome = 'partly'").collect()} == {"ledgers/sub-3.rec": "ValueError: three"}
     with open(calls) as log:
         assert len(log.read().split()) == 25
+
+
+def test_kinds_of_text_are_found_once_per_value(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([("1", "x", 2, "m"), (" 2 ", "true", 3, "m"), ("0.5", None, 4, "m")], "a string, b string, n int, modality_category string")
+    counted, observe = [], type(rows).observe
+    monkeypatch.setattr(type(rows), "observe", lambda self, seen, *exprs: counted.extend(map(str, exprs)) or observe(self, seen, *exprs))
+    tables.write_silver(rows, str(tmp_path), open_text=["a", "b"])
+    assert len(counted) == 9 and not any("rlike" in e.lower() for e in counted)
+    found = {r["name"]: (r["integers"], r["fractions"], r["truths"], r["others"]) for r in spark.read.json(f"{tmp_path}/_types/*").collect()}
+    assert found == {"a": (2, 1, 0, 0), "b": (0, 0, 1, 1), "n": (3, 0, 0, 0)}
+    assert sorted(tables.read_silver(spark, str(tmp_path)).columns) == ["a", "b", "modality_category", "n"]
