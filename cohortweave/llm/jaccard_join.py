@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from cohortweave.llm import by_value
 from cohortweave.llm.components import components
-from cohortweave.llm.words import Words, blocks, find_words, hash_words, inside_row, mixed, rolling
+from cohortweave.llm.words import SMALL_BLOCK_BYTES, Words, blocks, distinct, find_words, hash_words, mixed, rolling
 from cohortweave.sources.workspace import stored
 
 SHINGLE = 5
@@ -42,6 +42,8 @@ SKETCH_BITS = 6
 BROADCAST_IDS = 1_000_000
 # Shingles of the documents that one group measures against a pivot, about.
 GROUP_SHINGLES = 1_000_000
+# Bytes of packed texts that are measured at once: a few times as many of text.
+PACKED_BYTES = 400_000
 
 _BASE = 0xD1342543DE82EF95
 
@@ -54,7 +56,7 @@ def shingle_sets(words: Words, width: int = SHINGLE) -> list[np.ndarray]:
     out = []
     for i, start in enumerate(words.first[:-1]):
         if n[i] >= width:
-            out.append(np.unique(values[start : start + n[i] - width + 1]))
+            out.append(distinct(values[start : start + n[i] - width + 1]))
         elif n[i]:
             whole = hashes[start : start + n[i]].tobytes()
             out.append(np.array([xxhash.xxh3_64_intdigest(whole, seed=int(n[i]))], np.uint64))
@@ -76,7 +78,7 @@ def _surveyor(percent: int):
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of each document its set's size and fingerprint; of the whole task its slot counts."""
         counts = np.zeros(1 << SLOT_BITS, np.uint32)
-        for rows in blocks(batches, "text"):
+        for rows in blocks(batches, "text", SMALL_BLOCK_BYTES):
             sets = shingle_sets(find_words(rows.column("text"), lower=True))
             slots = (np.concatenate(sets) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
             np.add.at(counts, slots, 1)
@@ -123,7 +125,7 @@ def _ranks(surveyed: DataFrame) -> np.ndarray:
 def _prefixer(percent: int, ranks: bytes):
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank, seen = np.frombuffer(ranks, np.uint8), set()
-        for rows in blocks(batches, "text"):
+        for rows in blocks(batches, "text", SMALL_BLOCK_BYTES):
             hashes, nodes, places = [], [], []
             for s in shingle_sets(find_words(rows.column("text"), lower=True)):
                 node = _fingerprint(s)
@@ -145,7 +147,7 @@ def _prefixer(percent: int, ranks: bytes):
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts and sketches of nodes; a row whose set is not its node's is left out."""
     for batch in batches:
-        for rows in blocks([batch], "text"):
+        for rows in blocks([batch], "text", SMALL_BLOCK_BYTES):
             sets = shingle_sets(find_words(rows.column("text"), lower=True))
             own = np.array([_fingerprint(s) for s in sets], np.int64) == rows.column("node").to_numpy()
             kept = np.flatnonzero(own)
@@ -156,23 +158,34 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names=["node", "packed", "sketch"])
 
 
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """How many values two sets share."""
+    both = np.sort(np.concatenate((x, y)))
+    return int(np.count_nonzero(both[1:] == both[:-1]))
+
+
 def _measurer(percent: int):
-    def measure(group: pd.DataFrame) -> pd.DataFrame:
-        """Distance of each document of the group from its pivot, and whether they link."""
-        group = group.drop_duplicates("node")  # equal rows give a node several times
-        texts = pa.array([zstandard.decompress(p).decode() for p in group["packed"]])
-        sets = []
-        for rows in blocks([pa.RecordBatch.from_arrays([texts], names=["text"])], "text"):
-            sets += shingle_sets(find_words(rows.column("text"), lower=True))
-        is_pivot = (group["node"] == group["pivot"]).to_numpy()
-        pivot = sets[int(np.flatnonzero(is_pivot)[0])]
-        out = []
-        for node, shingles, skip in zip(group["node"], sets, is_pivot):
-            if not skip:
-                common = len(np.intersect1d(pivot, shingles, assume_unique=True))
-                union = len(pivot) + len(shingles) - common
-                out.append((int(group["pivot"].iloc[0]), int(node), 1 - common / union, 100 * common >= percent * union))
-        return pd.DataFrame(out, columns=["pivot", "node", "distance", "linked"])
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Distance of each document of a group from its pivot, and whether they link. Groups are in order, their pivots first."""
+        group, pivot, last = None, None, None
+        for rows in blocks(batches, "packed", PACKED_BYTES):
+            texts = pa.array([zstandard.decompress(p).decode() for p in rows.column("packed").to_pylist()], pa.large_string())
+            sets = shingle_sets(find_words(texts, lower=True))
+            pivots, parts, nodes = (rows.column(n).to_pylist() for n in ("pivot", "part", "node"))
+            out = []
+            for key, node, shingles in zip(zip(pivots, parts), nodes, sets):
+                if key != group:
+                    if node != key[0]:
+                        raise ValueError(f"no text of pivot {key[0]}")
+                    group, pivot, last = key, shingles, node
+                elif node != last:  # equal rows give a node several times
+                    common, last = _common(pivot, shingles), node
+                    union = len(pivot) + len(shingles) - common
+                    out.append((key[0], node, 1 - common / union, 100 * common >= percent * union))
+            if out:
+                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.bool_())
+                columns = [pa.array(x, kind) for x, kind in zip(zip(*out), kinds)]
+                yield pa.RecordBatch.from_arrays(columns, names=["pivot", "node", "distance", "linked"])
 
     return measure
 
@@ -186,7 +199,11 @@ def _measured(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     # Texts go to their group alone: the narrow rows come to the texts where they may be broadcast.
     near = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
     rows = texts.select("node", "packed").join(near, "node")
-    found = rows.groupBy("pivot", "part").applyInPandas(_measurer(percent), "pivot long, node long, distance double, linked boolean")
+    # Groups are a few documents each: they go through a task in order, not each as a table of its own.
+    grouped = rows.select("pivot", "part", "node", "packed").repartition("pivot", "part").sortWithinPartitions(
+        "pivot", "part", F.col("node") != F.col("pivot"), "node"
+    )
+    found = grouped.mapInArrow(_measurer(percent), "pivot long, node long, distance double, linked boolean")
     return stored(found, "distances")
 
 
