@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortweave.llm import by_value
-from cohortweave.llm.words import LETTERS, Words, blocks, find_words, hash_words, mixed
+from cohortweave.llm.words import LETTERS, SMALL_BLOCK_BYTES, Words, blocks, distinct, find_words, hash_words, mixed
 
 # Features are hashed to 2^BITS coordinates.
 BITS = 20
@@ -65,7 +65,7 @@ def features(words: Words, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _distinct(rows: np.ndarray, at: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    both = np.unique((rows.astype(np.int64) << bits) | at)
+    both = distinct((rows.astype(np.int64) << bits) | at)
     return both >> bits, both & ((1 << bits) - 1)
 
 
@@ -100,7 +100,7 @@ def _trainer(how: Ftrl, bits: int):
     def fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, labels = [], []
         for batch in batches:
-            for rows in blocks([batch], "text"):
+            for rows in blocks([batch], "text", SMALL_BLOCK_BYTES):
                 row, at = _distinct(*features(find_words(rows.column("text"), lower=True, of=LETTERS), bits), bits)
                 texts += np.split(at.astype(np.int32), np.searchsorted(row, np.arange(1, rows.num_rows)))
                 labels += rows.column("label").to_pylist()
@@ -148,7 +148,7 @@ def _scorer(model: Model, text: str):
         weight = np.zeros(1 << model.bits)
         weight[model.index] = model.weight
         known = weight != 0
-        for rows in blocks(batches, text):
+        for rows in blocks(batches, text, SMALL_BLOCK_BYTES):
             row, at = features(find_words(rows.column(text), lower=True, of=LETTERS), model.bits)
             row, at = _distinct(row[known[at]], at[known[at]], model.bits)
             total = model.bias + np.bincount(row, weight[at], rows.num_rows)
