@@ -3,6 +3,7 @@
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -272,3 +273,41 @@ def test_mix_odd_rows(spark, odd):
     assert mixing.mix(odd.limit(0)).count() == 0
     all_of_it = mixing.mix(odd, share=2.0, max_epochs=2)
     assert sorted((r["doc_id"] or 0, r["epoch"]) for r in all_of_it.collect()) == sorted((d, e) for d in (0, 1, 1, 4, 6) for e in (0, 1))
+
+
+def test_distinct_values():
+    from cohortweave.llm.words import distinct
+
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 500):
+        values = rng.integers(0, 90, n).astype(np.uint64)
+        assert distinct(values).tolist() == sorted(set(values.tolist()))
+
+
+def test_pairs_are_measured_across_batches():
+    import zstandard
+
+    from cohortweave.llm.jaccard_join import _measurer
+
+    texts = {1: "a b c d e f g", 2: "a b c d e f g h", 3: "x y z x y z", 9: "a b c d e f g"}
+    rows = [(1, 0, 1), (1, 0, 1), (1, 0, 2), (1, 0, 2), (1, 0, 3), (1, 1, 1), (1, 1, 9), (3, 0, 3), (3, 0, 1)]
+    batches = [
+        pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in zip(*[(*r, zstandard.compress(texts[r[2]].encode())) for r in rows[i : i + 4]])],
+            names=["pivot", "part", "node", "packed"],
+        ) for i in range(0, len(rows), 4)
+    ]
+    found = [tuple(r.values()) for b in _measurer(75)(iter(batches)) for r in b.to_pylist()]
+    assert found == [(1, 2, 0.25, True), (1, 3, 1.0, False), (1, 9, 0.0, True), (3, 1, 1.0, False)]
+
+
+def test_toxicity_works_on_small_blocks(monkeypatch):
+    from cohortweave.llm import toxicity
+    from cohortweave.llm.words import SMALL_BLOCK_BYTES, find_words
+
+    seen = []
+    monkeypatch.setattr(toxicity, "find_words", lambda texts, **how: seen.append(sum(map(len, texts.to_pylist()))) or find_words(texts, **how))
+    batch = pa.RecordBatch.from_arrays([pa.array(["some words " * 4_000] * 100), pa.array([0, 1] * 50)], names=["text", "label"])
+    list(toxicity._trainer(toxicity.Ftrl(epochs=1), 20)([batch]))
+    list(toxicity._scorer(toxicity.Model(0.0, np.zeros(0, np.int32), np.zeros(0)), "text")([batch]))
+    assert sum(seen) == 2 * 100 * 44_000 and max(seen) <= SMALL_BLOCK_BYTES
