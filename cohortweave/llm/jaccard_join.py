@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortweave.llm import by_value
-from cohortweave.llm.components import components
+from cohortweave.llm.components import components, small
 from cohortweave.llm.words import SMALL_BLOCK_BYTES, Words, blocks, distinct, find_words, hash_words, mixed, rolling
 from cohortweave.sources.workspace import stored
 
@@ -36,12 +36,14 @@ PIVOT_ROUNDS = 3
 # shingles, so that frequent ones come last; any order is exact.
 SLOT_BITS = 21
 _CHUNKS = 64
+# Counts of so many tasks are added first, then these sums.
+_TASKS_ADDED = 64
 # A set's sketch counts its shingles by their leading bits.
 SKETCH_BITS = 6
-# Rows of two or three longs that are broadcast at most; more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
 # Shingles of the documents that one group measures against a pivot, about.
 GROUP_SHINGLES = 1_000_000
+# Shingles of pairs that are worth a task of their own.
+TASK_SHINGLES = 250_000
 # Bytes of packed texts that are measured at once: a few times as many of text.
 PACKED_BYTES = 400_000
 
@@ -91,7 +93,7 @@ def _surveyor(percent: int):
             )
         if counts.any():
             packed = [zstandard.compress(c.tobytes(), 1) for c in np.split(counts, _CHUNKS)]
-            part = TaskContext.get().partitionId() % 64
+            part = TaskContext.get().partitionId() // _TASKS_ADDED
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(_CHUNKS, rows.schema.field("doc_id").type), *[pa.nulls(_CHUNKS, pa.int64())] * 3,
                  pa.array(range(_CHUNKS), pa.int32()), pa.array([part] * _CHUNKS, pa.int32()), pa.array(packed, pa.binary())],
@@ -190,19 +192,23 @@ def _measurer(percent: int):
     return measure
 
 
-def _measured(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """(pivot, node, distance, linked) of distinct pairs with the node's size n; large groups of a pivot are split."""
-    size = pairs.groupBy("pivot").agg(F.ceil(F.sum("n") / GROUP_SHINGLES).cast("int").alias("parts"))
-    members = pairs.join(size, "pivot").select("pivot", "node", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
+def _measured(pairs: DataFrame, texts: DataFrame, percent: int, at_most: int | None = None) -> DataFrame:
+    """(pivot, node, distance, linked) of distinct pairs, `at_most` so many, with the node's size n; large groups of a pivot are split."""
+    pairs = stored(pairs, "pairs", at_most)  # they are read three times, and may come from a join of large groups
+    n, shingles = pairs.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    size = stored(pairs.groupBy("pivot").agg(F.ceil(F.sum("n") / GROUP_SHINGLES).cast("int").alias("parts")), "groups", n)
+    members = pairs.join(small(size, n), "pivot").select("pivot", "node", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
     pivots = size.select("pivot", F.col("pivot").alias("node"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    wanted = stored(members.unionByName(pivots), "measured")
+    wanted = stored(members.unionByName(pivots), "measured", n)
     # Texts go to their group alone: the narrow rows come to the texts where they may be broadcast.
-    near = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    rows = texts.select("node", "packed").join(near, "node")
+    rows = texts.select("node", "packed").join(small(wanted, wanted.count()), "node")
     # Groups are a few documents each: they go through a task in order, not each as a table of its own.
     grouped = rows.select("pivot", "part", "node", "packed").repartition("pivot", "part").sortWithinPartitions(
         "pivot", "part", F.col("node") != F.col("pivot"), "node"
     )
+    # Whole partitions one after another, as many as are worth a Python task.
+    tasks = max(2 * texts.sparkSession.sparkContext.defaultParallelism, -(-shingles // TASK_SHINGLES))
+    grouped = grouped.coalesce(tasks)
     found = grouped.mapInArrow(_measurer(percent), "pivot long, node long, distance double, linked boolean")
     return stored(found, "distances")
 
@@ -249,18 +255,18 @@ def _components_of(docs: DataFrame, doc_id: str, text: str, percent: int) -> Dat
     regions = entries.groupBy("region").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
     members = stored(entries.join(regions.select("region"), "region", "left_semi").distinct(), "members")
 
+    n_members = members.count()
     degrees = members.groupBy("node").agg(F.count("*").alias("degree"))
-    wanted = stored(degrees.join(nodes, "node").select("node", "row_hash", "n", "degree"), "wanted")
-    ids = wanted.select("node", "row_hash")
-    picked = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    chosen = docs.join(picked, "row_hash").select("node", "text")
+    wanted = stored(degrees.join(nodes, "node").select("node", "row_hash", "n", "degree"), "wanted", n_members)
+    n_wanted = wanted.count()
+    chosen = docs.join(small(wanted.select("node", "row_hash"), n_wanted), "row_hash").select("node", "text")
     texts = stored(chosen.mapInArrow(_packed, "node long, packed binary, sketch array<int>"), "texts")
 
     links, component = None, None
-    members = members.join(wanted.select("node", "n", "degree"), "node")
+    members = members.join(small(wanted.select("node", "n", "degree"), n_wanted), "node")
     for _ in range(PIVOT_ROUNDS):
         # The member that shares most of its regions stands nearest to the middle of a group.
-        labelled = _labelled(members.drop("pivot"), component)
+        labelled = _labelled(members.drop("pivot"), component, n_wanted)
         split = labelled.groupBy("region").agg(
             F.min(F.struct((-F.col("degree")).alias("rank"), "node", "n", "component")).alias("pivot"),
             F.min("component").alias("low"), F.max("component").alias("high"),
@@ -268,13 +274,13 @@ def _components_of(docs: DataFrame, doc_id: str, text: str, percent: int) -> Dat
         rest = stored(
             labelled.join(split, "region").filter(F.col("node") != F.col("pivot.node"))
             .select("region", "node", "place", "n", "degree", (F.col("component") != F.col("pivot.component")).alias("apart"), F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("pivot_n")),
-            "regions",
+            "regions", n_members,
         )
         pairs = rest.filter(F.col("apart") & _sizes("n", "pivot_n", percent)).select("pivot", "node", "n").distinct()
-        measured = _measured(pairs, texts, percent)
-        links, component = _linked(links, measured)
+        measured = _measured(pairs, texts, percent, n_members)
+        links, component = _linked(links, measured, component)
         members = rest.select("region", "node", "place", "n", "degree", "pivot")
-    left = _labelled(members, component)
+    left = _labelled(members, component, n_wanted)
     split = left.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
     left = left.join(split.select("region"), "region", "left_semi").join(
         measured.select("pivot", "node", "distance"), ["pivot", "node"], "left"
@@ -293,7 +299,7 @@ def _components_of(docs: DataFrame, doc_id: str, text: str, percent: int) -> Dat
         & (differ * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent))
     )
     pairs = x.join(y, crossing).select(F.col("x.node").alias("pivot"), F.col("y.node").alias("node"), F.col("y.n").alias("n")).distinct()
-    _, component = _linked(links, _measured(pairs, texts, percent))
+    _, component = _linked(links, _measured(pairs, texts, percent), component)
 
     labelled = nodes.join(component, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
     return listed.join(labelled, "node", "left").select("doc_id", "row_hash", "n_shingles", "component")
@@ -304,16 +310,17 @@ def _sizes(a: str, b: str, percent: int):
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _labelled(members: DataFrame, component: DataFrame | None) -> DataFrame:
+def _labelled(members: DataFrame, component: DataFrame | None, n_nodes: int) -> DataFrame:
     if component is None:
         return members.withColumn("component", F.col("node"))
-    return members.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return members.join(small(component, n_nodes), "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def _linked(links: DataFrame | None, measured: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _linked(links: DataFrame | None, measured: DataFrame, component: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """All links so far and their components, which grow from those of the links before."""
     new = measured.filter("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     links = new if links is None else links.unionByName(new)
-    return links, components(links)
+    return links, components(links, known=component)
 
 
 def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:

@@ -311,3 +311,35 @@ def test_toxicity_works_on_small_blocks(monkeypatch):
     list(toxicity._trainer(toxicity.Ftrl(epochs=1), 20)([batch]))
     list(toxicity._scorer(toxicity.Model(0.0, np.zeros(0, np.int32), np.zeros(0)), "text")([batch]))
     assert sum(seen) == 2 * 100 * 44_000 and max(seen) <= SMALL_BLOCK_BYTES
+
+
+def test_pairs_are_computed_once_for_their_measures(spark):
+    import zstandard
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(n):
+        seen.add(1)
+        return n
+
+    names = {1: "a b c d e f g h i j", 2: "a b c d e f g h i", 3: "k l m n o p"}
+    texts = spark.createDataFrame([(k, bytearray(zstandard.compress(t.encode()))) for k, t in names.items()], "node long, packed binary")
+    pairs = spark.createDataFrame([(1, 2, 5), (1, 3, 2)], "pivot long, node long, n long")
+    pairs = pairs.select("pivot", "node", F.udf(counted, "long")("n").alias("n"))
+    found = {r["node"]: r["linked"] for r in jaccard_join._measured(pairs, texts, 80, 2).collect()}
+    assert found == {2: True, 3: False}
+    assert seen.value == 2
+
+
+def test_components_grow_from_known_ones_in_few_tasks(spark):
+    from cohortweave.llm.components import components
+    from cohortweave.sources.workspace import stored
+
+    links = spark.createDataFrame([(3, 2), (2, 1), (3, 4), (8, 9), (9, 8)], "a long, b long")
+    known = spark.createDataFrame([(2, 2), (3, 2), (4, 2)], "node long, component long")
+    expected = {1: 1, 2: 1, 3: 1, 4: 1, 8: 8, 9: 8}
+    for before in (None, known):
+        assert {r["node"]: r["component"] for r in components(links, known=before).collect()} == expected
+    many = spark.range(0, 1_000, numPartitions=200)
+    table = stored(many, "narrow", 1_000)
+    assert table.count() == 1_000 and len(table.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism
