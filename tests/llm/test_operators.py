@@ -343,3 +343,16 @@ def test_components_grow_from_known_ones_in_few_tasks(spark):
     many = spark.range(0, 1_000, numPartitions=200)
     table = stored(many, "narrow", 1_000)
     assert table.count() == 1_000 and len(table.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_scoring_needs_little_memory_beside_its_batch():
+    import tracemalloc
+
+    batch = pa.RecordBatch.from_pydict({"text": [" ".join(f"w{i}" for i in range(400))] * 2_000})
+    model = toxicity.Model(0.1, np.arange(1 << 10, dtype=np.int32), np.ones(1 << 10), 16)
+    tracemalloc.start()
+    try:
+        assert sum(b.num_rows for b in toxicity._scorer(model, "text")(iter([batch]))) == 2_000
+        assert tracemalloc.get_traced_memory()[1] < 40_000_000
+    finally:
+        tracemalloc.stop()
