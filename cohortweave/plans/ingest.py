@@ -19,14 +19,12 @@ from cohortweave.operators.fhir import flatten_bundles
 from cohortweave.operators.harmonize import registry_names
 from cohortweave.operators.modalities import MARKERS, READERS, TAGGERS, harmonize_modality
 from cohortweave.operators.status import mark_processed, of_subject, processable, subject_manifests
-from cohortweave.sources import bronze, layouts
+from cohortweave.sources import bronze, layouts, many_files
 from cohortweave.sources.manifest import discover
 from cohortweave.sources.tables import BATCH, silver_types, with_types, write_silver
 from cohortweave.sources.tables import read_silver as read_plugin_silver
-from cohortweave.sources.workspace import exists, small_files, stored
+from cohortweave.sources.workspace import FILES_PER_READ, exists, small_files, stored
 
-# Files that one read lists by name; more are found by their folder and joined to the list.
-FILES_PER_READ = 20_000
 BAD_RECORDS = "_bad_records"
 OUTCOMES = "_outcomes"
 _BAD_DDL = "file string, record string, parsed string, plugin string"
@@ -59,6 +57,15 @@ class Scan:
     files: DataFrame
     n_files: int
     files_per_read: int = FILES_PER_READ
+    # Files of all scans together, which the driver would hold at the same time.
+    n_all: int = 0
+
+    def documents(self) -> DataFrame | None:
+        """(path, content) of its files, stored, where all files are too many for Spark's readers and tasks can open them."""
+        first = self.files.first() if max(self.n_files, self.n_all) > self.files_per_read else None
+        if first is None or not layouts.is_reachable(first["path"]):
+            return None
+        return stored(many_files.contents(self.files, self.n_files), "documents")
 
     def sources(self, files: DataFrame) -> tuple[list[str], bool]:
         """What a reader is given to find the files, and whether it finds others too."""
@@ -92,9 +99,11 @@ def all_scans(manifest: DataFrame, files_per_read: int = FILES_PER_READ) -> dict
     files = manifest.select("plugin", "extension", folder.alias("folder"), "path")
     key = ["plugin", "folder", "extension"]
     scans: dict[str, list[Scan]] = {}
-    for g in files.filter(c("plugin").isNotNull()).groupBy(*key).agg(F.count(F.lit(1)).alias("n")).orderBy(*key).collect():
+    groups = files.filter(c("plugin").isNotNull()).groupBy(*key).agg(F.count(F.lit(1)).alias("n")).orderBy(*key).collect()
+    n_all = sum(g["n"] for g in groups)
+    for g in groups:
         mine = files.filter((c("plugin") == g["plugin"]) & (c("extension") == g["extension"]) & (c("folder") == g["folder"]))
-        scans.setdefault(g["plugin"], []).append(Scan(g["extension"], g["folder"], mine, g["n"], files_per_read))
+        scans.setdefault(g["plugin"], []).append(Scan(g["extension"], g["folder"], mine, g["n"], files_per_read, n_all))
     return scans
 
 
@@ -173,18 +182,25 @@ def read_scan(spark: SparkSession, plugin: str, scan: Scan, as_of: Column, regis
         return _csv_parts(plugin, scan, registry)
     if scan.suffix == ".parquet":
         return _parquet_parts(spark, plugin, scan, registry)
-    paths, more = scan.sources(scan.files)
-    options = scan.options if more else None
+    raw = _raw_documents(spark, plugin, scan)
+    rows, bad = bronze.apart(raw)
     if plugin == "ehr":
-        raw = bronze.read_bundles(spark, paths, extra="_corrupt_record string", options=options)
-        rows, bad = bronze.apart(bronze.only_files(raw, scan.files) if more else raw)
         named = rows.withColumn("_path", c(SOURCE).getField("file"))
         return [Part(flatten_bundles(named, registry, as_of, path="_path", keep=[SOURCE]).drop("_path"), bad=bad)]
-    raw = bronze.read_json(spark, paths, options=options)
-    rows, bad = bronze.apart(bronze.only_files(raw, scan.files) if more else raw)
     return [Part(rows, bad=bad)]
 
 
+def _raw_documents(spark: SparkSession, plugin: str, scan: Scan) -> DataFrame:
+    """JSON documents as they are, with those that could not be read."""
+    extra = "_corrupt_record string"
+    if (documents := scan.documents()) is not None:
+        return bronze.parse_bundles(documents, extra=extra) if plugin == "ehr" else bronze.parse_documents(documents)
+    paths, more = scan.sources(scan.files)
+    options = scan.options if more else None
+    raw = bronze.read_bundles(spark, paths, extra=extra, options=options) if plugin == "ehr" else bronze.read_json(spark, paths, options=options)
+    return bronze.only_files(raw, scan.files) if more else raw
+
+
 def _by_marker(raw: DataFrame) -> list[DataFrame]:
     """Rows apart by the first marker column that they fill, where a file's own columns cannot be seen.
 
@@ -262,9 +278,10 @@ def _outcomes(files: DataFrame, written: DataFrame | None, bad: DataFrame | None
         .agg(F.count(F.lit(1)).alias("bad_records"), F.min(F.left("record", F.lit(200))).alias("first"))
     )
     listed = files.select("plugin", "relative_path", plain(c("path")).alias("_path"), "message")
+    # A row per file on both sides: narrow columns of wide tables look small to the planner, which would gather them in the driver.
     joined = (
-        listed.join(rows, (c("_file") == c("_path")) & (c("_plugin") == c("plugin")), "left")
-        .join(broken, (c("_bad_file") == c("_path")) & (c("_bad_plugin") == c("plugin")), "left")
+        listed.join(rows.hint("merge"), (c("_file") == c("_path")) & (c("_plugin") == c("plugin")), "left")
+        .join(broken.hint("merge"), (c("_bad_file") == c("_path")) & (c("_bad_plugin") == c("plugin")), "left")
     )
     why = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in errors.items() for x in pair]), c("plugin")), F.lit("")) if errors else F.lit("")
     n, k = F.coalesce("rows", F.lit(0)), F.coalesce("bad_records", F.lit(0))

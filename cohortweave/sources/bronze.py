@@ -204,6 +204,28 @@ def read_parquet(spark: SparkSession, paths: str | Sequence[str], options: Mappi
     return raw.select(*[c(n) for n in raw.columns], source_of_row())
 
 
+def _document_schema(texts: DataFrame, options: Mapping[str, str] | None = None) -> T.StructType:
+    """The schema that documents (value) have together."""
+    unmarked = texts.select(F.regexp_replace("value", "^\uFEFF", "").alias("value"))
+    return texts.sparkSession.read.options(**(options or {})).json(unmarked.rdd.map(lambda r: r["value"])).schema
+
+
+def parse_documents(documents: DataFrame, schema: str | None = None) -> DataFrame:
+    """Rows of documents (path, content), one object each, as `read_json` has them. With a schema, the inference pass is saved.
+
+    The file is a column here, so any number of documents costs the driver nothing.
+    """
+    found = _document_schema(documents.select(c("content").alias("value"))) if schema is None else T.StructType.fromDDL(schema)
+    fields = T.StructType([*found, *([] if len(found) else [T.StructField("_none", T.StringType())])])
+    # A file of broken characters is no document; Spark's reader of files finds this, `from_json` does not.
+    broken = F.struct(*[(c("content") if f.name == _CORRUPT else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
+    parsed = F.when(F.is_valid_utf8("content"), F.from_json("content", fields)).otherwise(broken)
+    source = F.struct(c("path").alias("file"), F.lit(0).cast("bigint").alias("block"), F.monotonically_increasing_id().alias("row"))
+    # A blank file gives no row. The array keeps the parser out of filters, which would run it again.
+    whole = documents.select(source.alias(SOURCE), F.filter(F.array(parsed), lambda x: x.isNotNull()).alias("_parsed"))
+    return whole.select(SOURCE, F.inline("_parsed")).select(*[c(f.name) for f in found], SOURCE)
+
+
 def read_json(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -218,14 +240,17 @@ def read_json(
     """
     with listing(spark):
         if schema is None:
-            texts = spark.read.options(**(options or {})).text(paths, wholetext=True)
-            unmarked = texts.select(F.regexp_replace("value", "^\uFEFF", "").alias("value"))
-            schema = spark.read.options(**(options or {})).json(unmarked.rdd.map(lambda r: r["value"])).schema
+            schema = _document_schema(spark.read.options(**(options or {})).text(paths, wholetext=True), options)
         reader = spark.read.options(multiLine=True, **(options or {}))
         raw = (reader.schema(schema) if len(T.StructType.fromDDL(schema) if isinstance(schema, str) else schema) else reader).json(paths)
     return raw.select(*[c(n) for n in raw.columns], source_of_row())
 
 
+def parse_bundles(documents: DataFrame, *, extra: str | None = None) -> DataFrame:
+    """Clinical bundles of documents (path, content), as `read_bundles` has them."""
+    return parse_documents(documents, f"{BUNDLE_DDL}, {extra}" if extra else BUNDLE_DDL)
+
+
 def read_bundles(
     spark: SparkSession,
     paths: str | Sequence[str],

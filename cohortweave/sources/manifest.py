@@ -18,6 +18,7 @@ from cohortweave.functions.paths import (
     session_of,
     subject_of,
 )
+from cohortweave.sources import many_files
 from cohortweave.sources.bronze import plain_path
 from cohortweave.sources.workspace import listing
 
@@ -35,6 +36,12 @@ def json_kind(text):
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """(path, length) of all files below a folder; contents are not read."""
+    if many_files.has_many(folder := many_files.qualified(spark, root)):
+        return many_files.files_below(spark, folder)
+    return _few_files(spark, root)
+
+
+def _few_files(spark: SparkSession, root: str) -> DataFrame:
     with listing(spark):
         return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length")
 
@@ -43,22 +50,27 @@ def list_bronze(spark: SparkSession, root: str, subject: str | None = None, path
     """(path, json_kind) of all files; only JSON files are opened, and no join is needed.
 
     With a subject, or with `paths`, only its files or these are listed and opened: the filter on the
-    path leaves the others out before anything is read.
+    path leaves the others out before anything is read. Documents count by lines, each is a row.
     """
 
     def wanted(path: Column) -> Column:
         return F.lit(True) if subject is None else F.coalesce(subject_of(path), F.lit(UNKNOWN_SUBJECT)) == subject
 
+    folder = None if paths is not None else many_files.qualified(spark, root)
+    many = folder is not None and many_files.has_many(folder)
     if paths is not None:
         listed = spark.createDataFrame([(p,) for p in paths], "path string")
         documents_in = [p for p in paths if p.endswith(".json")]
     else:
-        listed, documents_in = list_files(spark, root), [root]
+        listed, documents_in = many_files.files_below(spark, folder) if many else _few_files(spark, root), [root]
     others = listed.filter(~F.endswith("path", F.lit(".json")) & wanted(c("path"))).select(
         "path", F.lit(None).cast("string").alias("json_kind")
     )
     if not documents_in:
         return others
+    if many:
+        lines = many_files.contents(listed.filter(F.endswith("path", F.lit(".json")) & wanted(c("path"))), by_line=True)
+        return others.unionByName(lines.select("path", json_kind(c("content")).alias("json_kind")))
     path = plain_path(c("_metadata").getField("file_path"))
     with listing(spark):
         texts = spark.read.options(wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json").text(documents_in)
