@@ -150,6 +150,44 @@ def test_template_text_is_left_out_of_articles(spark):
     assert out == [f"Nr {i} Body {i} words" for i in range(4)] + ["Nr 0 Same words Body 0 words"] * 4
 
 
+def extracted(spark, pages):
+    df = spark.createDataFrame([(i, f"http://h.example/{i}", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    return [r["text"] for r in html_extract.extract_text(df).orderBy("page_id").collect()]
+
+
+def test_text_is_of_the_template_in_one_slot_and_content_in_another(spark):
+    pages = [f"<h1>Nr {i}</h1><p>Follow us</p><h2>Body</h2><p>Text {i}</p>{'<p>Follow us</p>' * i}" for i in range(4)]
+    assert extracted(spark, pages) == [" ".join([f"Nr {i}", f"Text {i}", *["Follow us"] * i]) for i in range(4)]
+
+
+def test_slots_nest_in_classes():
+    places = html_extract._places([["a", "z"], ["b", "c", "d"]])
+    assert html_extract.slots_of("axbycxdbcdxzx", places) == [0, *"aabacaaaaa", 0, 0]
+    # An instance ends where its class begins again, and with the slot that holds it.
+    assert html_extract.slots_of("abxbxzxax", places) == [0, *"abab", 0, 0, 0, "a"]
+
+
+def test_roles_out_of_order_leave_their_class():
+    wrong = html_extract.out_of_order
+    assert wrong([1, 9, 2, 3, 4], [[1, 2, 3, 4]]) == wrong([5, 6, 5, 6], [[5, 6]]) == wrong([], [[1, 2]]) == set()
+    assert wrong([4, 1, 2, 3], [[1, 2, 3, 4]]) == {4} and wrong([1, 3, 2, 4], [[1, 2, 3, 4]]) in ({2}, {3})
+    assert wrong([5, 5, 6, 6], [[5, 6]]) == {5, 6}
+
+
+def test_parts_of_some_pages_are_content_and_moved_ones_are_not(spark):
+    menu = ["<li>Home</li>", "<li>Shop</li>", "<li>Help</li>"]
+    pages = [f"<div><ul>{''.join(menu[i % 3:] + menu[:i % 3])}</ul><h1>Nr {i}</h1>{'<h2>Sale</h2><h3>Now</h3>' if i < 3 else ''}</div>" for i in range(5)]
+    assert extracted(spark, pages) == [f"Nr {i}{' Sale Now' if i < 3 else ''}" for i in range(5)]
+
+
+def test_a_name_is_overruled_by_the_other_pages_of_its_slot(spark):
+    page = "<h1>Title of the page {}</h1><div{}>Story {}</div>"
+    pages = [page.format(i, ' class="widget"' if i == 3 else "", i) for i in range(4)]
+    assert extracted(spark, pages)[3] == "Title of the page 3 Story 3"
+    both = [page.format(i, "", i) + ('<div class="comments">Nice</div>' if i > 1 else "") for i in range(4)]
+    assert extracted(spark, both) == [f"Title of the page {i} Story {i}" for i in range(4)]
+
+
 def test_reply_tree_takes_the_best_branch(spark):
     rows = [
         ("t", 1, None, "user", "q", 0.0), ("t", 2, 1, "assistant", "bad", 0.1), ("t", 3, 1, "assistant", "<|end|>&lt;", 0.9),
